@@ -1,0 +1 @@
+"""Empty on purpose: the covered feature set has no stream source, window or state."""
