@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.frames import (
-    TIME_SQL, depth_samples, signals, static_samples, table, time_samples, units, text_samples,
+    DEPTH_SQL, EDGES_SQL, TIME_SQL, depth_samples, edges, signals, table, text_samples, time_samples, units,
 )
 from gaugework.plans.context import Context, Scope
-from gaugework.plans.signals import SignalData, load_signals
+from gaugework.plans.signals import SignalData, load_data, load_signals, table_to_samples
+from gaugework.plans.tables import load_script_table, pivot_table, table_names
+from gaugework.session import new_folder
+from gaugework.sources.pivot_store import delete_pivot, load_pivot, save_pivot
 
 
 def _rounded(df, columns):
@@ -40,3 +43,155 @@ def load_daily(spark, d):
     context = Context("c", january(), machinery(spark, d))
     done = load_signals(data, signals(spark), units(spark), ["pur [cent]", ("view", "K")], context)
     return _rounded(done, ["purchase [cent]", "view [K]"])
+
+
+@query("l1_load_signals_all_aggregations", f"""SELECT entity AS "Entity", date_trunc('month', date) AS "Date",
+round(sum(value_num) FILTER (signal = 'purchase'), 4) AS "purchase [usd]", round(avg(value_num) FILTER (signal = 'view'), 4) AS "view [C]",
+round(max(value_num) FILTER (signal = 'click') / 1000, 7) AS "click [kusd]",
+round(max_by(value_num, {{'d': date, 'v': value_num}}) FILTER (signal = 'signup') / 0.3048, 6) AS "signup [ft]",
+round(quantile_cont(value_num, 0.5) FILTER (signal = 'error'), 4) AS "error [%]",
+string_agg(kind, '' ORDER BY date, kind) AS "kind [ ]"
+FROM (SELECT *, signal AS kind FROM {TIME_SQL}) GROUP BY 1, 2""")
+def load_all_aggregations(spark, d):
+    data = SignalData(time=time_samples(spark, d).drop("event_id").unionByName(text_samples(spark, d)))
+    wanted = ["purchase", "view", "click [kusd]", "signup [ft]", "error", "kind"]
+    done = load_signals(data, signals(spark), units(spark), wanted, Context(scope=Scope(time_step="Monthly")))
+    done = _rounded(done, ["purchase [usd]", "view [C]", "error [%]"])
+    return done.withColumns({"click [kusd]": F.round("`click [kusd]`", 7), "signup [ft]": F.round("`signup [ft]`", 6)})
+
+
+@query("l1_load_signals_rolled_up", f"""WITH RECURSIVE e AS {EDGES_SQL},
+up AS (SELECT child AS d, parent AS a FROM e UNION ALL SELECT up.d, e.parent FROM up JOIN e ON up.a = e.child),
+daily AS (SELECT entity, date_trunc('day', date) AS b, sum(value_num) FILTER (signal = 'purchase') AS p, avg(value_num) FILTER (signal = 'view') AS v
+FROM {TIME_SQL} WHERE signal IN ('purchase', 'view') GROUP BY ALL)
+SELECT a AS "Entity", b AS "Date", round(sum(p), 4) AS "purchase [usd]", round(avg(v), 7) AS "view [C]" FROM daily JOIN up ON entity = d
+WHERE a IN (SELECT r_name FROM region) GROUP BY 1, 2""")
+def load_rolled_up(spark, d):
+    regions = table(spark, d, "region").select(F.col("r_name").alias("name"))
+    context = Context("regions", Scope(time_step="Daily"), regions, edges(spark, d))
+    done = load_signals(SignalData(time=time_samples(spark, d)), signals(spark), units(spark), ["purchase", "view"], context)
+    return _rounded(done, ["purchase [usd]"]).withColumn("view [C]", F.round("`view [C]`", 7))
+
+
+@query("l1_load_signals_raw", f"""SELECT entity AS "Entity", date AS "Date", value_num AS "purchase [usd]" FROM {TIME_SQL} WHERE signal = 'purchase' AND {IN_JANUARY}""")
+def load_raw(spark, d):
+    return load_signals(SignalData(time=time_samples(spark, d)), signals(spark), units(spark), ["purchase"], Context(scope=january(None)), strict=True)
+
+
+@query("l2_load_first_values", f"""SELECT entity, signal, date, value_num FROM (SELECT *, row_number() OVER (PARTITION BY entity, signal ORDER BY date, value_num) AS rn
+FROM {TIME_SQL} WHERE entity IN (SELECT name FROM {MACHINERY_SQL}) AND signal = 'view') WHERE rn <= 2""")
+def load_first(spark, d):
+    pairs = machinery(spark, d).select(F.col("name").alias("entity"), F.lit("view").alias("signal"))
+    return load_data(time_samples(spark, d), "time", pairs, num_values=2).select("entity", "signal", "date", "value_num")
+
+
+@query("l2_load_range_resampled", f"""SELECT entity, signal, date_trunc('hour', date) AS date, round(avg(value_num), 4) AS value_num FROM {TIME_SQL} WHERE {IN_JANUARY} GROUP BY ALL""")
+def load_range(spark, d):
+    s = january()
+    done = load_data(time_samples(spark, d), "time", start=s.time_start, end=s.time_end, step="hour", how="Average")
+    return done.withColumn("value_num", F.round("value_num", 4))
+
+
+@query("l2_load_gap_filled", f"""WITH daily AS (SELECT entity, signal, date_trunc('day', date) AS b, sum(value_num) AS v FROM {TIME_SQL} WHERE {IN_JANUARY} GROUP BY ALL),
+g AS (SELECT entity, signal, unnest(generate_series(TIMESTAMP '2024-01-03', TIMESTAMP '2024-01-20', INTERVAL 1 DAY)) AS b FROM (SELECT DISTINCT entity, signal FROM daily))
+SELECT g.entity, g.signal, CAST(g.b AS TIMESTAMP) AS date, round(coalesce(v, 0), 4) AS value_num FROM g LEFT JOIN daily d ON g.entity = d.entity AND g.signal = d.signal AND g.b = d.b""")
+def load_gap_filled(spark, d):
+    s = january()
+    done = load_data(time_samples(spark, d), "time", start=s.time_start, end=s.time_end, step="day", gap_value=0.0)
+    return done.withColumn("value_num", F.round("value_num", 4))
+
+
+@query("l2_load_range_without_step", f"SELECT entity, signal, date, value_num FROM {TIME_SQL} WHERE {IN_JANUARY}")
+def load_range_plain(spark, d):
+    s = january()
+    return load_data(time_samples(spark, d), "time", start=s.time_start, end=s.time_end).select("entity", "signal", "date", "value_num")
+
+
+@query("l2_load_depth_resampled", f"""SELECT entity, signal, round(b * 0.5::DOUBLE, 9) AS depth, round(v, 4) AS value_num FROM (
+SELECT entity, signal, CAST(floor(round(depth / 0.5::DOUBLE, 9)) AS BIGINT) AS b, sum(value_num) AS v FROM {DEPTH_SQL} WHERE depth BETWEEN 2 AND 9 GROUP BY ALL)""")
+def load_depth(spark, d):
+    done = load_data(depth_samples(spark, d), "depth", start=2.0, end=9.0, step="half meter")
+    return done.withColumn("value_num", F.round("value_num", 4))
+
+
+@query("l3_save_table", """WITH w AS (SELECT c_name AS e, o_orderdate AS d, o_totalprice AS p, o_orderpriority AS k FROM orders JOIN customer ON o_custkey = c_custkey
+WHERE c_mktsegment = 'BUILDING')
+SELECT e AS entity, 'purchase' AS signal, 'cent' AS unit, 'TimeDependent' AS signal_type, d AS date, p AS value_num, CAST(NULL AS VARCHAR) AS value_str FROM w
+UNION ALL SELECT e, 'kind', ' ', 'StringTimeDependent', d, NULL, k FROM w
+UNION ALL SELECT c_name, 'balance', 'usd', 'Static', CAST(NULL AS TIMESTAMP), c_acctbal, NULL FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey IN (SELECT o_custkey FROM orders)""")
+def save_table(spark, d):
+    o, c = table(spark, d, "orders"), table(spark, d, "customer")
+    wide = o.join(c, o["o_custkey"] == c["c_custkey"]).select(
+        F.concat(F.lit("K"), F.col("c_custkey").cast("string")).alias("Entity"), F.col("o_orderdate").alias("Date"), "o_orderkey",
+        F.col("o_totalprice").alias("total [usd]"), F.col("o_orderpriority").alias("kind"), F.col("c_acctbal").alias("balance"), F.lit(1.0).alias("unknown"),
+    )
+    ids = c.select(F.concat(F.lit("K"), F.col("c_custkey").cast("string")).alias("old"), F.col("c_name").alias("new"))
+    known = c.where("c_mktsegment = 'BUILDING'").select(F.col("c_name").alias("name"), F.lit("Customer").alias("type"))
+    rows = table_to_samples(wide, signals(spark), {"total": ("purchase", "cent")}, ids, known, "customer", "o_orderkey")
+    return rows.select("entity", "signal", "unit", "signal_type", "date", "value_num", "value_str")
+
+
+@query("l3_save_wide_table", """SELECT e AS entity, s AS signal, d AS date, v AS value_num FROM (
+SELECT 'A' AS e, 'purchase' AS s, o_orderdate AS d, o_totalprice AS v FROM orders UNION ALL SELECT 'B', 'view', o_orderdate, o_totalprice * 2 FROM orders
+UNION ALL SELECT 'A', 'view', o_orderdate, CAST('NaN' AS DOUBLE) FROM orders UNION ALL SELECT 'B', 'purchase', o_orderdate, CAST('NaN' AS DOUBLE) FROM orders)""")
+def save_wide(spark, d):
+    wide = table(spark, d, "orders").select(F.col("o_orderdate").alias("Date"), F.col("o_totalprice").alias("A : purchase"), (F.col("o_totalprice") * 2).alias("B : view"))
+    return table_to_samples(wide, signals(spark)).select("entity", "signal", "date", "value_num")
+
+
+def definitions(spark, d):
+    """Table definitions, written for every order priority as table name."""
+    names = table(spark, d, "orders").select(F.col("o_orderpriority").alias("table_name")).distinct()
+    columns = [(0, "Spent", "cent", '"purchase" in "cent"'), (1, "Seen", "", 'E "view" in "K"')]
+    cells = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.lit(u).alias("unit"), F.lit(f).alias("formula")) for i, c, u, f in columns]
+    return names.select("table_name", F.inline(F.array(*cells)))
+
+
+_SCRIPT = f"""SELECT entity AS "Entity", date_trunc('day', date) AS "Date", round(sum(value_num) FILTER (signal = 'purchase') * 100, 4) AS "Spent [cent]",
+round(avg(value_num + 273.15) FILTER (signal = 'view'), 4) AS "Seen [K]" FROM {TIME_SQL} WHERE signal IN ('purchase', 'view') GROUP BY 1, 2"""
+
+
+def _script(spark, d, which):
+    data = SignalData(time=time_samples(spark, d))
+    done = load_script_table(definitions(spark, d), which, data, signals(spark), units(spark), Context(scope=Scope(time_step="Daily")))
+    return _rounded(done, ["Spent [cent]", "Seen [K]"])
+
+
+@query("l4_script_table_by_name", _SCRIPT)
+def script_by_name(spark, d):
+    return _script(spark, d, "1-URGENT")
+
+
+@query("l4_script_table_by_index", _SCRIPT)
+def script_by_index(spark, d):
+    return _script(spark, d, -1)
+
+
+@query("l5_table_names", "SELECT DISTINCT o_orderpriority AS table_name FROM orders")
+def names(spark, d):
+    return table_names(definitions(spark, d))
+
+
+_PIVOT = f"""SELECT entity AS "Entity", date_trunc('month', date) AS "Date", round(sum(value_num) FILTER (signal = 'purchase'), 4) AS "purchase [usd]"
+FROM {TIME_SQL} WHERE signal = 'purchase' AND entity IN (SELECT name FROM {MACHINERY_SQL}) GROUP BY 1, 2"""
+
+
+def _pivot(spark, d):
+    context = Context("p", january())
+    done = pivot_table(["purchase"], SignalData(time=time_samples(spark, d)), signals(spark), units(spark), context,
+                       entities=machinery(spark, d), scope=Scope(time_step="Monthly"))
+    return _rounded(done, ["purchase [usd]"])
+
+
+@query("l6_pivot_with_overrides", _PIVOT)
+def pivot_with_overrides(spark, d):
+    return _pivot(spark, d)
+
+
+@query("l7_saved_pivot", _PIVOT)
+def saved_pivot(spark, d):
+    root = new_folder(spark, "l7")
+    save_pivot(_pivot(spark, d), root, "monthly")
+    save_pivot(_pivot(spark, d), root, "other")
+    assert delete_pivot(spark, root, "other")
+    return load_pivot(spark, root, "monthly")

@@ -9,6 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugework.functions.casts import column_type
 from gaugework.functions.names import col, header, quoted, split_header
@@ -20,6 +21,9 @@ from gaugework.operators.units import blank, conversion, converted
 ENTITY_NAMES = ("Entity",)
 TIME_NAMES = ("Timestamp", "Date", "Time")
 KEY_NAMES = ("Key",)
+# Spark type of each column type.
+STORED = {"Numeric": "double", "String": "string", "DateTime": "timestamp_ntz", "Bool": "boolean"}
+WHOLE = "long"
 
 
 @dataclass(frozen=True)
@@ -27,6 +31,7 @@ class ColumnInfo:
     name: str
     unit: str
     type: str
+    stored: str = "double"
 
 
 @dataclass(frozen=True)
@@ -79,7 +84,11 @@ def define(
 
     def info(c: str) -> ColumnInfo:
         n, unit = split_header(c)
-        return ColumnInfo(n, unit or " ", column_type(df.schema[c].dataType))
+        dtype = df.schema[c].dataType
+        kind = column_type(dtype)
+        # Whole numbers stay whole: a key beyond 2^53 has no exact double.
+        whole = isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+        return ColumnInfo(n, unit or " ", kind, WHOLE if whole else STORED[kind])
 
     return RefTable(
         name, split_header(index[0])[0], split_header(index[1])[0], info(index[2]),

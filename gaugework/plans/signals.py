@@ -23,6 +23,8 @@ from gaugework.plans.context import Context
 
 AXIS_COLUMN = {"time": "date", "depth": "depth"}
 OUT_COLUMN = {"time": DATE, "depth": DEPTH}
+# Bucket column while a table is built; column names ignore case, so it may not be Date or Depth yet.
+AT = "__at"
 
 
 @dataclass(frozen=True)
@@ -125,10 +127,9 @@ def _resampled(rows: DataFrame, specs: list[SignalSpec], axis: str, step: str) -
     Median, percentile, mode and concatenation take their own path and meet the table at the end, when
     it is down to one row per bucket. Signals without aggregation keep their own time or depth.
     """
-    c, out = AXIS_COLUMN[axis], OUT_COLUMN[axis]
-    index = ["entity", out]
+    c, index = AXIS_COLUMN[axis], ["entity", AT]
     bucket = time_bucket(F.col(c), step) if axis == "time" else depth_bucket(F.col(c), step)
-    bucketed = rows.withColumn(out, bucket)
+    bucketed = rows.withColumn(AT, bucket)
     early = [s for s in specs if is_algebraic(s.interval_agg, s.text)]
     tables = []
     if early:
@@ -147,9 +148,9 @@ def _resampled(rows: DataFrame, specs: list[SignalSpec], axis: str, step: str) -
             own = bucketed.where(F.col("signal") == s.name).withColumn("__value", s.value)
             tables.append(aggregate(own, index, "__value", s.interval_agg, c, out=s.header))
     if axis == "depth":
-        tables = [t.withColumn(out, depth_of_bucket(F.col(out), step)) for t in tables]
+        tables = [t.withColumn(AT, depth_of_bucket(F.col(AT), step)) for t in tables]
     if passing:
-        tables.append(pivot_signals(_typed(rows.withColumn(out, F.col(c)), passing), index, _cells(passing)))
+        tables.append(pivot_signals(_typed(rows.withColumn(AT, F.col(c)), passing), index, _cells(passing)))
     return _merged(tables, index, specs)
 
 
@@ -179,12 +180,12 @@ def _axis_table(
 ) -> DataFrame:
     rows = _restricted(samples, specs, context, axis, scenario)
     out = OUT_COLUMN.get(axis)
-    index = ["entity", out] if out else ["entity"]
+    index = ["entity", AT] if out else ["entity"]
     step = getattr(context.scope, f"{axis}_step") if out else None
     if step:
         table = _resampled(rows, specs, axis, step)
     else:
-        own = rows.withColumn(out, F.col(AXIS_COLUMN[axis])) if out else rows
+        own = rows.withColumn(AT, F.col(AXIS_COLUMN[axis])) if out else rows
         table = pivot_signals(_typed(own, specs), index, _cells(specs), strict=strict)
     if context.hierarchy is not None:
         table = _rolled_up(table, specs, context.hierarchy, index)
@@ -192,8 +193,8 @@ def _axis_table(
             names = context.entities.select(F.col("name").alias("entity"))
             table = table.join(names, "entity", "left_semi")
     if axis == "depth" and depth_factor != 1.0:
-        table = table.withColumn(DEPTH, F.col(DEPTH) * F.lit(depth_factor))
-    ordered = [F.col("entity").alias(ENTITY), *([F.col(out)] if out else []), *[col(s.header) for s in specs]]
+        table = table.withColumn(AT, F.col(AT) * F.lit(depth_factor))
+    ordered = [F.col("entity").alias(ENTITY), *([F.col(AT).alias(out)] if out else []), *[col(s.header) for s in specs]]
     return table.select(*ordered)
 
 

@@ -10,14 +10,13 @@ from pyspark.sql import types as T
 
 from gaugework.functions.names import col
 from gaugework.operators.reftable import (
-    ColumnInfo, RefTable, define, delete_condition, info_rows, load_rows, to_stored,
+    ColumnInfo, RefTable, define, delete_condition, load_rows, to_stored,
 )
 from gaugework.session import literal_table
 from gaugework.sources.partitioned import PartitionedTable
 
 # Partition column; month of the time part of the key, null for rows without one.
 MONTH = "__month"
-_STORED = {"Numeric": T.DoubleType(), "String": T.StringType(), "DateTime": T.TimestampNTZType(), "Bool": T.BooleanType()}
 
 
 class RefTableStore:
@@ -27,14 +26,14 @@ class RefTableStore:
     def _rows(self, table: RefTable) -> PartitionedTable:
         schema = T.StructType().add(table.entity, T.StringType()).add(table.time, T.TimestampNTZType())
         for c in (table.key, *table.values):
-            schema = schema.add(c.name, _STORED[c.type])
+            schema = schema.add(c.name, c.stored)
         schema = schema.add(MONTH, T.StringType())
         return PartitionedTable(self.spark, f"{self.root}/{table.name}/rows", schema, [MONTH], table.keys)
 
     def _stored(self, table: RefTable, df: DataFrame) -> DataFrame:
         named = to_stored(df, table, self.units)
         cells = {table.entity: T.StringType(), table.time: T.TimestampNTZType()}
-        cells.update({c.name: _STORED[c.type] for c in (table.key, *table.values)})
+        cells.update({c.name: c.stored for c in (table.key, *table.values)})
         typed = named.select(*[col(n).cast(t).alias(n) for n, t in cells.items()])
         return typed.withColumn(MONTH, F.date_format(col(table.time), "yyyy-MM"))
 
@@ -47,7 +46,7 @@ class RefTableStore:
             df = df.select(*map(col, table.sources))
             spec = {
                 "name": name, "entity": table.entity, "time": table.time, "description": description,
-                "columns": info_rows(table),
+                "columns": [(c.name, c.unit, c.type, c.stored) for c in (table.key, *table.values)],
             }
             literal_table(self.spark, [(name, json.dumps(spec))], "name string, spec string").write.mode(
                 "overwrite"
@@ -64,7 +63,7 @@ class RefTableStore:
     def info(self, name: str) -> RefTable:
         row = self.spark.read.schema("name string, spec string").json(f"{self.root}/{name}/definition").head()
         spec = json.loads(row["spec"])
-        infos = [ColumnInfo(n, unit, kind) for _, _, n, unit, kind in spec["columns"]]
+        infos = [ColumnInfo(*c) for c in spec["columns"]]
         return RefTable(name, spec["entity"], spec["time"], infos[0], tuple(infos[1:]), spec["description"])
 
     def save(self, name: str, df: DataFrame, skip_existing: bool = False) -> None:
