@@ -154,7 +154,7 @@ SELECT entity, signal, bucket, round(value, 4) AS value FROM daily
 UNION ALL SELECT a, signal, bucket, round(sum(value), 4) FROM daily JOIN up ON entity = d GROUP BY ALL""")
 def hierarchy_rollup(spark, d):
     daily = resample(time_samples(spark, d), "time", "Daily", "Sum")
-    done = rollup(daily, edges(spark, d), "entity", ["signal", "bucket"], [F.sum("value").alias("value")])
+    done = rollup(daily, edges(spark, d), "entity", ["signal", "bucket"], {"value": F.sum})
     return done.withColumn("value", F.round("value", 4))
 
 
@@ -164,7 +164,7 @@ SELECT a AS entity, round(avg(c_acctbal), 4) AS value FROM customer JOIN up ON C
 UNION ALL SELECT CAST(c_custkey AS VARCHAR), round(c_acctbal, 4) FROM customer""")
 def rollup_static(spark, d):
     balance = static_samples(spark, d).where("signal = 'balance'").select("entity", F.col("value_num").alias("value"))
-    done = rollup(balance, edges(spark, d), "entity", [], [F.avg("value").alias("value")])
+    done = rollup(balance, edges(spark, d), "entity", [], {"value": F.avg})
     return done.withColumn("value", F.round("value", 4))
 
 

@@ -1,12 +1,14 @@
-"""Hierarchies as (child, parent) edges: closure and rollup."""
+"""Hierarchies as (child, parent) edges, one parent per child: closure and rollup."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Each level is one small join; deeper hierarchies raise until the limit is lifted.
-MAX_LEVELS = 5
+# Parents of parents are found by doubling: k joins reach 2^k levels above the first.
+DOUBLINGS = 2
 
 
 def edges_from_map(df: DataFrame, relation: str) -> DataFrame:
@@ -14,67 +16,72 @@ def edges_from_map(df: DataFrame, relation: str) -> DataFrame:
     return df.select(F.explode(relation).alias("child", "parent"))
 
 
-def ancestors(edges: DataFrame, max_levels: int = MAX_LEVELS) -> DataFrame:
-    """(descendant, ancestor, level) for every strict ancestor, level 1 being the parent.
+def paths(edges: DataFrame, doublings: int = DOUBLINGS) -> DataFrame:
+    """(node, path): every node that has a parent, with its ancestors from the parent upwards.
 
-    A hierarchy maps each child to one parent, so ``edges`` has one row per child.
-    Only nodes that are themselves parents can have something below them, so the chain above the first
-    level is walked on those few nodes and joined to the many leaf edges once. Chains longer than
-    ``max_levels`` (a cycle, or a too small limit) raise.
+    Only nodes that are themselves parents matter above the first level. Their paths are built on those
+    few nodes, twice as long with each join, and the many leaf edges are joined to them once. A path
+    longer than the doublings reach (a cycle, or a deeper hierarchy) raises instead of being cut.
     """
     known = edges.where("parent IS NOT NULL").select("child", "parent")
-    inner = known.select(F.col("parent").alias("child")).distinct().join(known, "child")
-    step = inner.select(F.col("child").alias("node"), F.col("parent").alias("ancestor"), F.lit(1).alias("above"))
-    chain = step
-    up = inner.select(F.col("child").alias("ancestor"), F.col("parent").alias("next"))
-    for level in range(2, max_levels + 1):
-        step = step.join(up, "ancestor").select("node", F.col("next").alias("ancestor"), F.lit(level).alias("above"))
-        chain = chain.unionByName(step)
-    chain = chain.withColumn(
-        "above",
-        F.when(F.col("above") < max_levels, F.col("above")).otherwise(
-            F.raise_error(F.lit(f"hierarchy is deeper than {max_levels} levels or has a cycle")).cast("int")
-        ),
+    parents = known.select(F.col("parent").alias("p")).distinct()
+    above = known.join(parents, known["child"] == parents["p"], "left_semi").select(
+        F.col("child").alias("node"), F.array("parent").alias("path")
+    )
+    for _ in range(doublings):
+        higher = above.select(F.col("node").alias("top"), F.col("path").alias("more"))
+        above = above.join(higher, F.element_at("path", -1) == F.col("top"), "left").select(
+            "node", F.concat("path", F.coalesce("more", F.array().cast("array<string>"))).alias("path")
+        )
+    reach = 2**doublings
+    whole = F.when(F.size("path") < reach, F.col("path")).otherwise(
+        F.raise_error(F.lit(f"hierarchy exceeds {reach} levels or has a cycle, raise doublings")).cast("array<string>")
     )
-    first = known.select(F.col("child").alias("descendant"), F.col("parent").alias("ancestor"), F.lit(1).alias("level"))
-    higher = known.join(chain, known["parent"] == chain["node"]).select(
-        F.col("child").alias("descendant"), "ancestor", (F.col("above") + 1).alias("level")
+    above = above.select("node", whole.alias("path"))
+    return known.join(above, known["parent"] == above["node"], "left").select(
+        F.col("child").alias("node"),
+        F.concat(F.array("parent"), F.coalesce("path", F.array().cast("array<string>"))).alias("path"),
     )
-    return first.unionByName(higher)
 
 
-def pool(values: DataFrame, edges: DataFrame, entity: str, max_levels: int = MAX_LEVELS) -> tuple[DataFrame, DataFrame]:
-    """(rows of every parent, rows of leaves).
+def ancestors(edges: DataFrame, doublings: int = DOUBLINGS) -> DataFrame:
+    """(descendant, ancestor, level) for every strict ancestor, level 1 being the parent."""
+    return paths(edges, doublings).select(
+        F.col("node").alias("descendant"), F.posexplode("path").alias("level", "ancestor")
+    ).withColumn("level", F.col("level") + 1)
+
+
+def pool(values: DataFrame, edges: DataFrame, entity: str, doublings: int = DOUBLINGS) -> DataFrame:
+    """Every row under its own entity (``own`` true) and under each ancestor.
 
-    A parent gets its own rows (``own`` true) and those of everything below it, under its own name.
     ``values`` should already be reduced to one row per entity and bucket, which takes the weight out of
-    a hot entity.
+    a hot entity; the right side of the join has one row per node, so a hot one can be split.
     """
-    up = ancestors(edges, max_levels).select(
-        F.col("descendant").alias("__d"), F.col("ancestor").alias("__a"), F.lit(False).alias("own")
+    up = paths(edges, doublings).select(F.col("node").alias("__node"), "path")
+    joined = values.join(up, values[entity] == up["__node"], "left")
+    targets = F.concat(F.array(entity), F.coalesce("path", F.array().cast("array<string>")))
+    spread = joined.select(
+        *[F.col(f"`{c}`") for c in values.columns if c != entity], F.posexplode(targets).alias("__level", entity)
     )
-    parents = edges.where("parent IS NOT NULL").select(F.col("parent").alias("__p")).distinct()
-    reach = up.unionByName(parents.select(F.col("__p").alias("__d"), F.col("__p").alias("__a"), F.lit(True).alias("own")))
-    below = values.join(reach, values[entity] == reach["__d"]).drop(entity, "__d").withColumnRenamed("__a", entity)
-    leaves = values.join(parents, values[entity] == parents["__p"], "left_anti")
-    return below, leaves
+    return spread.withColumn("own", F.col("__level") == 0).drop("__level")
+
+
+def rolled(value: Column, aggregate: Callable[[Column], Column]) -> Column:
+    """Aggregate over a pool; where nothing arrives from below, the entity's own value stays as it is."""
+    below = F.count(F.when(~F.col("own"), value))
+    return F.when(below == 0, F.max(value)).otherwise(aggregate(value))
 
 
 def rollup(
-    values: DataFrame,
-    edges: DataFrame,
-    entity: str,
-    keys: list[str],
-    aggregates: list[Column],
-    max_levels: int = MAX_LEVELS,
+    values: DataFrame, edges: DataFrame, entity: str, keys: list[str],
+    aggregates: dict[str, Callable[[Column], Column]], doublings: int = DOUBLINGS,
 ) -> DataFrame:
-    """A parent's value over its own rows and all below it; a leaf keeps its own.
+    """Each entity's columns aggregated over its own row and all rows below it, in one grouping.
 
-    ``aggregates`` carry the names of the value columns and combine before the shuffle, so a parent with
-    very many descendants is not gathered.
+    Aggregates combine before the shuffle, so an entity with very many descendants is not gathered.
     """
-    below, leaves = pool(values, edges, entity, max_levels)
-    return below.groupBy(entity, *keys).agg(*aggregates).unionByName(leaves)
+    cells = [rolled(F.col(f"`{c}`"), how).alias(c) for c, how in aggregates.items()]
+    return pool(values, edges, entity, doublings).groupBy(entity, *keys).agg(*cells)
 
 
 def merge_hierarchies(parts: list[DataFrame]) -> DataFrame:

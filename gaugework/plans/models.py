@@ -66,7 +66,7 @@ def _tree_splits(df: DataFrame, feature: str, label: str, by_class: bool) -> lis
     """Cut points of one feature from a small tree on the label."""
     tree = (DecisionTreeClassifier if by_class else DecisionTreeRegressor)(
         featuresCol="__f", labelCol=label, maxDepth=3, seed=SEED)
-    rows = VectorAssembler(inputCols=[feature], outputCol="__f").transform(df.select(col(feature), col(label)))
+    rows = VectorAssembler(inputCols=[feature], outputCol="__f").transform(df.select(*map(col, dict.fromkeys((feature, label)))))
     model = tree.fit(rows)
     cuts: set[float] = set()
 

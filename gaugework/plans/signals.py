@@ -15,7 +15,7 @@ from gaugework.functions.names import col, header, split_header
 from gaugework.functions.vocabulary import ALIAS, AXIS_OF_TYPE, DATE, DEPTH, ENTITY, TEXT_TYPES, canonical
 from gaugework.operators import filters
 from gaugework.operators.aggregate import aggregate
-from gaugework.operators.hierarchy import ancestors, pool
+from gaugework.operators.hierarchy import ancestors, pool, rolled
 from gaugework.operators.reshape import has_entity_headers, pivot_signals, signal_columns_last, wide_to_long
 from gaugework.operators.units import conversion, converted
 from gaugework.operators.window import fill_grid, first_values, interpolate_at
@@ -155,23 +155,23 @@ def _resampled(rows: DataFrame, specs: list[SignalSpec], axis: str, step: str) -
 
 
 def _rolled_up(table: DataFrame, specs: list[SignalSpec], edges: DataFrame, index: list[str]) -> DataFrame:
-    """Parents from everything below them, each signal by its own hierarchy aggregation."""
-    below, leaves = pool(table, edges, "entity")
+    """Every entity from its own row and those below it, each signal by its own hierarchy aggregation."""
+    pooled = pool(table, edges, "entity")
     early = [s for s in specs if s.hierarchy_agg == "NoAggregation" or is_algebraic(s.hierarchy_agg, s.text)]
     tables = []
     if early:
         cells = [
             F.max(F.when(F.col("own"), col(s.header))) if s.hierarchy_agg == "NoAggregation"
-            else algebraic(s.hierarchy_agg, col(s.header), F.col("own"), s.text)
+            else rolled(col(s.header), lambda v, s=s: algebraic(s.hierarchy_agg, v, ~F.col("own"), s.text))
             for s in early
         ]
-        tables.append(below.groupBy(*index).agg(*[c.alias(s.header) for c, s in zip(cells, early)]))
+        tables.append(pooled.groupBy(*index).agg(*[c.alias(s.header) for c, s in zip(cells, early)]))
     for s in specs:
         if s not in early:
-            order = index[1] if len(index) > 1 else s.header
-            rows = below.select(*index, col(s.header).alias("__value"), *([] if len(index) > 1 else [col(s.header)]))
+            order = index[1] if len(index) > 1 else "__order"
+            rows = pooled.select(*index, col(s.header).alias("__value"), F.lit(0.0).alias("__order"))
             tables.append(aggregate(rows, index, "__value", s.hierarchy_agg, order, out=s.header))
-    return _merged(tables, index, specs).unionByName(leaves)
+    return _merged(tables, index, specs)
 
 
 def _axis_table(

@@ -1,4 +1,4 @@
-"""Signal samples on disk, by type, signal and year."""
+"""Signal samples on disk, by type, signal and month."""
 
 from __future__ import annotations
 
@@ -23,25 +23,26 @@ SCHEMA = T.StructType(
         T.StructField("value_str", T.StringType()),
         T.StructField("signal_type", T.StringType()),
         T.StructField("signal", T.StringType()),
-        T.StructField("year", T.IntegerType()),
+        T.StructField("month", T.StringType()),
     ]
 )
+MONTH, NO_MONTH = "yyyy-MM", "none"
 IDENTITY = ["signal_type", "signal", "entity", "scenario", "date", "depth", "pressure", "temperature"]
 
 
 class SignalStore:
-    """Samples of all seven signal types; a load prunes to the named signals, types and years."""
+    """Samples of all seven signal types; a load prunes to the named signals, types and months."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.table = PartitionedTable(spark, path, SCHEMA, ["signal_type", "signal", "year"], ["entity", "date", "depth"])
+        self.table = PartitionedTable(spark, path, SCHEMA, ["signal_type", "signal", "month"], ["entity", "date", "depth"])
 
     @staticmethod
     def shaped(samples: DataFrame, signal_type: str | None = None) -> DataFrame:
-        """Samples with every stored column, absent ones null; year is 0 without a date."""
+        """Samples with every stored column, absent ones null."""
         typed = samples.withColumn("signal_type", F.lit(canonical("signal type", signal_type))) if signal_type else samples
         given = set(typed.columns)
         cells = {f.name: (F.col(f.name) if f.name in given else F.lit(None)).cast(f.dataType) for f in SCHEMA}
-        cells["year"] = F.coalesce(F.year(cells["date"]), F.lit(0))
+        cells["month"] = F.coalesce(F.date_format(cells["date"], MONTH), F.lit(NO_MONTH))
         return typed.select(*[c.alias(n) for n, c in cells.items()])
 
     def save(self, samples: DataFrame, signal_type: str | None = None) -> None:
@@ -64,7 +65,7 @@ class SignalStore:
         start=None,
         end=None,
     ) -> DataFrame:
-        """Samples of the wanted signals and entities; year and type prune directories."""
+        """Samples of the wanted signals and entities; type, signal and month prune directories."""
         rows = self.table.read()
         if signal_type:
             rows = rows.where(F.col("signal_type") == canonical("signal type", signal_type))
@@ -75,9 +76,10 @@ class SignalStore:
         for bound, is_start in ((start, True), (end, False)):
             if bound is not None:
                 limit = F.lit(bound).cast("timestamp_ntz")
+                month = F.date_format(limit, MONTH)
                 rows = rows.where(
-                    (F.col("date") >= limit) & (F.col("year") >= F.year(limit)) if is_start
-                    else (F.col("date") <= limit) & (F.col("year") <= F.year(limit))
+                    (F.col("date") >= limit) & (F.col("month") >= month) if is_start
+                    else (F.col("date") <= limit) & (F.col("month") <= month)
                 )
         if entities is not None:
             rows = rows.join(entities.select(F.col("name").alias("entity")), "entity", "left_semi")
