@@ -14,6 +14,7 @@ from gaugework.operators.aggregate import (
     aggregate, data_range, distinct_names, exact_percentile, first_in_order, merge_ranges,
 )
 from gaugework.operators.hierarchy import rollup
+from gaugework.operators.joins import lookup
 from gaugework.plans.signals import resample
 
 _NUMERIC = {
@@ -182,14 +183,14 @@ def range_per_entity(spark, d):
 WHERE entity IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'MACHINERY') GROUP BY 1""")
 def range_entity_list(spark, d):
     chosen = table(spark, d, "customer").where("c_mktsegment = 'MACHINERY'").select(F.col("c_custkey").cast("string").alias("entity"))
-    return data_range(time_samples(spark, d).join(chosen, "entity", "left_semi"), "date", ["signal"])
+    return data_range(lookup(time_samples(spark, d), chosen, ["entity"], "left_semi"), "date", ["signal"])
 
 
 @query("e18_range_of_type", f"""SELECT type, min(date) AS range_start, max(date) AS range_end
 FROM {TIME_SQL} s JOIN {SIGNALS_SQL} d ON s.signal = d.name GROUP BY 1""")
 def range_of_type(spark, d):
     types = signals(spark).select(F.col("name").alias("signal"), "type")
-    return data_range(time_samples(spark, d).join(types, "signal"), "date", ["type"])
+    return data_range(lookup(time_samples(spark, d), types, ["signal"], "inner"), "date", ["type"])
 
 
 @query("e18_range_depth", f"SELECT entity, min(depth) AS range_start, max(depth) AS range_end FROM {DEPTH_SQL} GROUP BY 1")

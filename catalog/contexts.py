@@ -13,6 +13,7 @@ from catalog.frames import (
 from gaugework.functions.vocabulary import DEPTH_INCREMENTS, TIME_INCREMENTS
 from gaugework.operators import filters
 from gaugework.operators.hierarchy import edges_from_map
+from gaugework.operators.joins import lookup
 from gaugework.plans.context import (
     Context, ContextList, Scope, default_bounds, merge_contexts, merge_scope_rows, resolve_context, resolve_entities, resolve_scope,
 )
@@ -31,7 +32,7 @@ def resolved_scope(spark, d):
 FROM {TIME_SQL} WHERE signal IN ('view', 'click') AND entity IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_mktsegment = 'BUILDING')""")
 def bounds_time(spark, d):
     chosen = table(spark, d, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").cast("string").alias("entity"))
-    rows = time_samples(spark, d).where("signal IN ('view', 'click')").join(chosen, "entity", "left_semi")
+    rows = lookup(time_samples(spark, d).where("signal IN ('view', 'click')"), chosen, ["entity"], "left_semi")
     return default_bounds(rows, Scope(time_end=datetime(2024, 1, 20)), "date")
 
 
@@ -73,7 +74,7 @@ def resolved_context(spark, d):
     c = _context(spark, d)
     assert c.hierarchy is None and c.scope.time_step == "Daily"
     rows = filters.in_range(time_samples(spark, d), "date", c.scope.time_start, c.scope.time_end)
-    return rows.join(c.entities.withColumnRenamed("name", "entity"), "entity", "left_semi").select(*_SAMPLE)
+    return lookup(rows, c.entities, [("entity", "name")], "left_semi").select(*_SAMPLE)
 
 
 def _scopes(spark, d):

@@ -14,6 +14,7 @@ from catalog.frames import (
 from gaugework.operators import filters
 from gaugework.operators.aggregate import aggregate
 from gaugework.operators.hierarchy import ancestors
+from gaugework.operators.joins import lookup
 from gaugework.operators.reftable import upsert
 from gaugework.operators.reshape import pivot_signals
 from gaugework.operators.units import convert_rows
@@ -54,7 +55,7 @@ def time_with_static(spark, d):
 @query("d3_values_with_definitions", f"""SELECT s.entity, s.signal, s.date, s.value_num, d.type, d.unit FROM {TIME_SQL} s JOIN {SIGNALS_SQL} d ON s.signal = d.name""")
 def values_with_definitions(spark, d):
     defs = signals(spark).select(F.col("name").alias("signal"), "type", "unit")
-    return time_samples(spark, d).join(defs, "signal").select("entity", "signal", "date", "value_num", "type", "unit")
+    return lookup(time_samples(spark, d), defs, ["signal"], "inner").select("entity", "signal", "date", "value_num", "type", "unit")
 
 
 @query("d4_entities_with_signal", f"""SELECT name, type FROM {ENTITIES_SQL} WHERE type = 'Customer' AND name IN
@@ -76,7 +77,7 @@ def values_with_units(spark, d):
     target = F.when(F.col("measurement") == "Currency", "kusd").when(F.col("measurement") == "Temperature", "F").when(
         F.col("measurement") == "Length", "ft").otherwise(F.col("unit"))
     defs = signals(spark).select(F.col("name").alias("signal"), "unit", target.alias("target"))
-    done = convert_rows(time_samples(spark, d).join(defs, "signal"), units(spark), "value_num", "unit", "target", "value")
+    done = convert_rows(lookup(time_samples(spark, d), defs, ["signal"], "inner"), units(spark), "value_num", "unit", "target", "value")
     return done.select("entity", "signal", "date", F.round("value", 7).alias("value"))
 
 

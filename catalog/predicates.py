@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from catalog import query
 from catalog.frames import DEPTH_SQL, ENTITIES_SQL, SIGNALS_SQL, TIME_SQL, depth_samples, entities, signals, table, time_samples
 from gaugework.operators import filters
+from gaugework.operators.joins import lookup
 
 _SAMPLE = ["entity", "signal", "date", "value_num"]
 
@@ -37,7 +38,7 @@ def all_names(spark, d):
 WHERE d.type = 'TimeDependent' GROUP BY ALL""")
 def signals_of_type(spark, d):
     names = filters.signals_of_type(signals(spark), "time numeric").select(F.col("name").alias("signal"))
-    return time_samples(spark, d).join(names, "signal").groupBy("entity", "signal").agg(F.count(F.lit(1)).alias("n"))
+    return lookup(time_samples(spark, d), names, ["signal"], "inner").groupBy("entity", "signal").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("c4_entity_by_name_or_alias", f"SELECT name, type, alias FROM {ENTITIES_SQL} WHERE name = 'C7' OR alias = 'C7'")
@@ -48,7 +49,7 @@ def entity_by_alias(spark, d):
 @query("c4_signal_by_short_name", f"SELECT entity, signal, date, value_num FROM {TIME_SQL} WHERE signal IN (SELECT name FROM {SIGNALS_SQL} WHERE short_name = 'pur' OR name = 'pur')")
 def signal_by_short_name(spark, d):
     names = filters.find_signal(signals(spark), "pur").select(F.col("name").alias("signal"))
-    return time_samples(spark, d).join(names, "signal", "left_semi").select(*_SAMPLE)
+    return lookup(time_samples(spark, d), names, ["signal"], "left_semi").select(*_SAMPLE)
 
 
 @query("c5_time_range", f"SELECT entity, signal, date, value_num FROM {TIME_SQL} WHERE signal = 'view' AND date BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-09 12:00:00'")

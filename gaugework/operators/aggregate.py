@@ -55,7 +55,8 @@ def exact_percentile(
     cold = join_null_safe(rows, F.broadcast(hot), keys, "left_anti")
     built_in = cold.groupBy(*map(col, keys)).agg(F.percentile("__v", p).alias(out))
 
-    margin = 2.0 / SKETCH_ACCURACY
+    # The sketch's rank error, and two ranks for rounding and interpolation.
+    margin = 2.0 / SKETCH_ACCURACY + 2.0 / hot_rows
     bounds = F.array(F.lit(max(0.0, p - margin)), F.lit(min(1.0, p + margin)))
     bracket = (
         join_null_safe(filled, F.broadcast(hot), keys, "inner")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from gaugework.functions.names import short_name
 from gaugework.functions.vocabulary import canonical_column
+from gaugework.operators.joins import lookup
 
 ENTITY_SCHEMA = "name string, type string, alias string, is_opportunity boolean"
 SIGNAL_SCHEMA = (
@@ -57,8 +58,8 @@ def delete_by_name(existing: DataFrame, names: DataFrame, by: list[str] | None =
 
 def remapped(c: str, mapping: DataFrame, df: DataFrame) -> DataFrame:
     """Replace values found in a (old, new) mapping; the rest stays."""
-    m = mapping.select(F.col("old").alias("__old"), F.col("new").alias("__new"))
-    return df.join(m, df[c] == m["__old"], "left").withColumn(c, F.coalesce("__new", c)).drop("__old", "__new")
+    m = mapping.select("old", F.col("new").alias("__new"))
+    return lookup(df, m, [(c, "old")]).withColumn(c, F.coalesce("__new", c)).drop("__new")
 
 
 def rename_everywhere(tables: dict[str, DataFrame], old: str, new: str, columns: dict[str, str]) -> dict[str, DataFrame]:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugework.functions.vocabulary import canonical
+from gaugework.operators.joins import lookup
 
 
 def entities_of_types(entities: DataFrame, types: list[str] | str) -> DataFrame:
@@ -55,11 +56,11 @@ def of_scenario(samples: DataFrame, scenario: str | None) -> DataFrame:
 def existing_only(samples: DataFrame, entities: DataFrame, types: list[str] | str | None = None) -> DataFrame:
     """Rows whose entity is defined, optionally of given types."""
     names = entity_names(entities, types).withColumnRenamed("name", "entity")
-    return samples.join(names, "entity", "left_semi")
+    return lookup(samples, names, ["entity"], "left_semi")
 
 
 def known_signals_only(samples: DataFrame, signals: DataFrame) -> DataFrame:
-    return samples.join(signals.select(F.col("name").alias("signal")), "signal", "left_semi")
+    return lookup(samples, signals.select("name"), [("signal", "name")], "left_semi")
 
 
 def entities_with_signal(samples: DataFrame, entities: DataFrame, signal: str) -> DataFrame:

@@ -15,6 +15,7 @@ from gaugework.functions.casts import column_type
 from gaugework.functions.names import col, header, quoted, split_header
 from gaugework.operators.aggregate import null_safe
 from gaugework.operators.combine import check_reserved
+from gaugework.operators.joins import lookup
 from gaugework.operators.units import blank, conversion, converted
 
 # Default index column names.
@@ -166,8 +167,8 @@ def load_rows(
 ) -> DataFrame:
     """Filtered rows with headers ``name [unit]``; filters combine by AND and reach the file scan."""
     if isinstance(entities, DataFrame):
-        names = entities.select(F.col(entities.columns[0]).alias("__e"))
-        df = df.join(names, df[quoted(table.entity)] == names["__e"], "left_semi")
+        name = entities.columns[0]
+        df = lookup(df, entities.select(col(name)), [(table.entity, name)], "left_semi")
     elif entities is not None:
         df = df.where(entity_condition(col(table.entity), [entities] if isinstance(entities, str) else list(entities)))
     period = time_condition(col(table.time), start, end)

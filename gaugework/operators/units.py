@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugework.operators.joins import lookup
+
 SCHEMA = T.StructType(
     [
         T.StructField("name", T.StringType()),
@@ -67,16 +69,15 @@ def convert_rows(
     df: DataFrame, units: DataFrame, value: str, source: str, target: str, out: str | None = None
 ) -> DataFrame:
     """Convert row by row when units differ per row; null, blank and equal units pass through."""
-    s = units.select(F.col("name").alias("__sn"), F.col("factor").alias("__sf"), F.col("summand").alias("__ss"))
-    t = units.select(F.col("name").alias("__tn"), F.col("factor").alias("__tf"), F.col("summand").alias("__ts"))
-    src, tgt = spelled_column(F.col(source)), spelled_column(F.col(target))
+    s = units.select(F.col("name"), F.col("factor").alias("__sf"), F.col("summand").alias("__ss"))
+    t = units.select(F.col("name"), F.col("factor").alias("__tf"), F.col("summand").alias("__ts"))
+    src, tgt = F.col("__src"), F.col("__tgt")
+    spelled_rows = df.withColumns({"__src": spelled_column(F.col(source)), "__tgt": spelled_column(F.col(target))})
     same = src.isNull() | tgt.isNull() | (F.trim(src) == "") | (F.trim(tgt) == "") | (src == tgt)
     changed = (F.col(value) * F.col("__sf") + F.col("__ss") - F.col("__ts")) / F.col("__tf")
-    return (
-        df.join(s, src == F.col("__sn"), "left")
-        .join(t, tgt == F.col("__tn"), "left")
-        .withColumn(out or value, F.when(same, F.col(value)).otherwise(changed))
-        .drop("__sn", "__sf", "__ss", "__tn", "__tf", "__ts")
+    known = lookup(lookup(spelled_rows, s, [("__src", "name")]), t, [("__tgt", "name")])
+    return known.withColumn(out or value, F.when(same, F.col(value)).otherwise(changed)).drop(
+        "__src", "__tgt", "__sf", "__ss", "__tf", "__ts"
     )
 
 

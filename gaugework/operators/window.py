@@ -9,6 +9,7 @@ from pyspark.sql.window import Window as W
 from gaugework.functions.buckets import TIME_STEP_INTERVALS, time_bucket
 from gaugework.functions.names import col
 from gaugework.functions.vocabulary import canonical
+from gaugework.operators.joins import salt
 
 # Up to this N Spark limits each group before the shuffle by itself.
 _GROUP_LIMIT = 1000
@@ -21,9 +22,8 @@ def first_values(df: DataFrame, keys: list[str], axis: str, n: int, ties: tuple[
     order = [direction(c) for c in (axis, *ties)]
     rows, group = df, list(map(col, keys))
     if abs(n) > _GROUP_LIMIT:
-        salt = F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS))
         rows = (
-            df.withColumn("__salt", salt)
+            df.withColumn("__salt", salt(df, _SALTS))
             .withColumn("__n", F.row_number().over(W.partitionBy(*group, "__salt").orderBy(*order)))
             .where(F.col("__n") <= abs(n))
             .drop("__salt", "__n")

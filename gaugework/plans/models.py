@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from gaugework.functions.names import col, quoted
 from gaugework.functions.vocabulary import canonical
+from gaugework.operators.joins import lookup
 
 SEED = 17
 BINS = 10
@@ -206,7 +207,8 @@ def predict_per_entity(df: DataFrame, coefficients: DataFrame, entity: str, feat
     value = c[0]
     for i, f in enumerate(features):
         value = value + c[i + 1] * col(f)
-    return df.join(coefficients.select(entity, "coefficients"), entity).withColumn("prediction", value).drop("coefficients")
+    fitted = lookup(df, coefficients.select(entity, "coefficients"), [entity], "inner")
+    return fitted.withColumn("prediction", value).drop("coefficients")
 
 
 # --- statistics ---------------------------------------------------------------------------------------

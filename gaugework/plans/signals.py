@@ -16,6 +16,8 @@ from gaugework.functions.vocabulary import ALIAS, AXIS_OF_TYPE, DATE, DEPTH, ENT
 from gaugework.operators import filters
 from gaugework.operators.aggregate import aggregate
 from gaugework.operators.hierarchy import ancestors, pool, rolled
+from gaugework.operators.definitions import remapped
+from gaugework.operators.joins import lookup
 from gaugework.operators.reshape import has_entity_headers, pivot_signals, signal_columns_last, wide_to_long
 from gaugework.operators.units import conversion, converted
 from gaugework.operators.window import fill_grid, first_values, interpolate_at
@@ -97,7 +99,7 @@ def _restricted(samples: DataFrame, specs: list[SignalSpec], context: Context, a
     rows = filters.of_scenario(rows, scenario)
     if context.entities is not None:
         names = _with_descendants(context)
-        rows = rows.join(names, "entity", "left_semi")
+        rows = lookup(rows, names, ["entity"], "left_semi")
     return rows
 
 
@@ -238,7 +240,9 @@ def load_signals(
             tables[axis] = _axis_table(samples, mine, context, axis, scenario, depth_factor, strict)
     if not tables:
         raise ValueError("no samples for the wanted signals")
-    result = reduce(lambda a, b: a.join(b, ENTITY), tables.values())
+    # The short tables meet first; the long time table comes last, with no grouping after it, so a hot
+    # entity can be split.
+    result = reduce(lambda a, b: b.join(a, ENTITY), reversed(list(tables.values())))
     first = [c for c in (ENTITY, DATE, DEPTH) if c in result.columns]
     result = result.select(*first, *[col(c) for c in result.columns if c not in first])
     result = signal_columns_last(result, [s.name for s in specs])
@@ -271,7 +275,7 @@ def load_data(
     """Samples of (entity, signal) pairs: first or last N, a point, a range, resampled, gap-filled."""
     axis = AXIS_OF_TYPE.get(canonical("signal type", signal_type), "static")
     value = "value_str" if canonical("signal type", signal_type) in TEXT_TYPES.values() else "value_num"
-    rows = samples if pairs is None else samples.join(pairs, ["entity", "signal"], "left_semi")
+    rows = samples if pairs is None else lookup(samples, pairs.select("entity", "signal"), ["entity", "signal"], "left_semi")
     if axis == "static":
         return rows
     c, keys = AXIS_COLUMN[axis], ["entity", "signal"]
@@ -357,8 +361,7 @@ def table_to_samples(
         F.inline(F.array(*cells)),
     )
     if entity_map is not None:
-        m = entity_map.select(F.col("old").alias("__old"), F.col("new").alias("__new"))
-        rows = rows.join(m, rows["entity"] == m["__old"], "left").withColumn("entity", F.coalesce("__new", "entity")).drop("__old", "__new")
+        rows = remapped("entity", entity_map, rows)
     if entities is not None:
         rows = filters.existing_only(rows, entities, entity_type)
     series = rows.where(~F.col("signal_type").isin("Static", "String")).drop("row_id")

@@ -15,6 +15,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even where a grouping on the same key follows.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
 }
@@ -37,6 +39,14 @@ def local_session(cpus: int | str = "*", app: str = "gaugework", **conf: str) ->
     return session
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session made elsewhere."""
+    for key, value in DEFAULTS.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

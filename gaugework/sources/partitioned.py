@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugework.operators.aggregate import null_safe
+from gaugework.operators.joins import lookup
 from gaugework.operators.reftable import upsert
 from gaugework.session import literal_table
 
@@ -63,8 +64,8 @@ class PartitionedTable:
     def append(self, new: DataFrame) -> None:
         new.select(*[F.col(f"`{c}`") for c in self.schema.names]).write.mode("append").partitionBy(*self.partitions).parquet(self.path)
 
-    def delete(self, condition: Column | None = None, keys: DataFrame | None = None, on: Column | None = None) -> None:
-        """Delete rows by condition, or by a join with key rows (``on`` sees both sides)."""
+    def delete(self, condition: Column | None = None, keys: DataFrame | None = None, on: list[str] | None = None) -> None:
+        """Delete the rows that meet the condition and, when ``keys`` is given, match one of its rows."""
         if not self.exists():
             return
         if condition is None and keys is None:
@@ -72,13 +73,13 @@ class PartitionedTable:
             return
         stored = self.read()
         gone = F.coalesce(condition, F.lit(False)) if condition is not None else F.lit(True)
-        hit = stored.where(gone) if keys is None else stored.join(keys, on, "left_semi").where(gone)
+        hit = stored.where(gone) if keys is None else lookup(stored.where(gone), keys, on, "left_semi", null_safe=True)
         # Partition values are directory names: as many as directories, never as many as rows.
         emptied = {tuple(r) for r in hit.select(*self.partitions).distinct().collect()}
         if not emptied:
             return
         touched = self._touched(hit)
-        kept = touched.where(~gone) if keys is None else touched.join(keys, on & gone, "left_anti")
+        kept = touched.where(~gone) if keys is None else lookup(touched, keys, on, "left_anti", null_safe=True, condition=gone)
         emptied -= {tuple(r) for r in kept.select(*self.partitions).distinct().collect()}
         self._write(kept)
         for values in emptied:

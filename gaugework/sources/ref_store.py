@@ -87,11 +87,8 @@ class RefTableStore:
         if keys is None:
             rows.delete(condition)
             return
-        renamed = keys.select(*[F.col(f"`{k}`").alias(f"k_{i}") for i, k in enumerate(keys.columns)])
-        on = F.lit(True)
-        for i, k in enumerate(table.keys):
-            on = on & col(k).eqNullSafe(F.col(f"k_{i}"))
-        rows.delete(condition, renamed, on)
+        tuples = keys.select(*[col(given).alias(k) for given, k in zip(keys.columns, table.keys)])
+        rows.delete(condition, tuples, table.keys)
 
     def drop(self, name: str) -> None:
         """Rows first, then the definition."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugework.operators.aggregate import hot_groups
+from gaugework.operators.joins import lookup
 
 # A record holds about this many samples at most; longer series are spread over several records.
 MAX_SAMPLES = 5_000_000
@@ -41,5 +42,5 @@ def nest_series(
 
 def nest_by_type(samples: DataFrame, types: DataFrame, axis: str = "Date", max_samples: int = MAX_SAMPLES) -> DataFrame:
     """As :func:`nest_series`, each record with its signal type for a save per type."""
-    typed = samples.join(types.select(F.col("name").alias("Signal"), F.col("type").alias("SignalType")), "Signal")
+    typed = lookup(samples, types.select("name", F.col("type").alias("SignalType")), [("Signal", "name")], "inner")
     return nest_series(typed, axis, ("Entity", "Signal", "Unit", "SignalType"), max_samples)

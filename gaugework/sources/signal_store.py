@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugework.functions.vocabulary import canonical
+from gaugework.operators.joins import lookup
 from gaugework.sources.logs import activity_log, append_logs
 from gaugework.sources.partitioned import PartitionedTable
 
@@ -82,15 +83,13 @@ class SignalStore:
                     else (F.col("date") <= limit) & (F.col("month") <= month)
                 )
         if entities is not None:
-            rows = rows.join(entities.select(F.col("name").alias("entity")), "entity", "left_semi")
+            rows = lookup(rows, entities.select("name"), [("entity", "name")], "left_semi")
         return rows
 
     def delete(self, pairs: DataFrame, axis: str | None = None, start=None, end=None) -> None:
         """Delete by (entity, signal) rows and an optional inclusive range of date or depth."""
         stored = self.table.read()
-        keys = pairs.select(F.col("entity").alias("k_entity"), F.col("signal").alias("k_signal"))
-        on = (F.col("entity") == F.col("k_entity")) & (F.col("signal") == F.col("k_signal"))
-        self.table.delete(range_condition(stored, axis, start, end), keys, on)
+        self.table.delete(range_condition(stored, axis, start, end), pairs.select("entity", "signal"), ["entity", "signal"])
 
 
 def range_condition(df: DataFrame, axis: str | None, start=None, end=None) -> Column:
@@ -104,6 +103,5 @@ def range_condition(df: DataFrame, axis: str | None, start=None, end=None) -> Co
 
 def without_pairs(samples: DataFrame, pairs: DataFrame, axis: str | None = None, start=None, end=None) -> DataFrame:
     """What a delete leaves, as a plain DataFrame."""
-    keys = pairs.select(F.col("entity").alias("k_entity"), F.col("signal").alias("k_signal"))
-    on = (F.col("entity") == F.col("k_entity")) & (F.col("signal") == F.col("k_signal"))
-    return samples.join(keys, on & range_condition(samples, axis, start, end), "left_anti")
+    inside = range_condition(samples, axis, start, end)
+    return lookup(samples, pairs.select("entity", "signal"), ["entity", "signal"], "left_anti", condition=inside)
