@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugework.operators.definitions import SIGNAL_SCHEMA
 from gaugework.operators.units import SCHEMA as UNIT_SCHEMA
-from gaugework.session import literal_table
+from gaugework.session import literal_table, tune
+
+
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    """One of the given tables; its schema is read from the files once, then stated."""
+    path = f"{d}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = tune(spark).read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 # --- units -----------------------------------------------------------------------------------------

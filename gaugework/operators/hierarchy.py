@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugework.operators.joins import lookup
+from gaugework.session import kept
+
 # Parents of parents are found by doubling: k joins reach 2^k levels above the first.
 DOUBLINGS = 2
 
@@ -24,23 +27,22 @@ def paths(edges: DataFrame, doublings: int = DOUBLINGS) -> DataFrame:
     longer than the doublings reach (a cycle, or a deeper hierarchy) raises instead of being cut.
     """
     known = edges.where("parent IS NOT NULL").select("child", "parent")
-    parents = known.select(F.col("parent").alias("p")).distinct()
-    above = known.join(parents, known["child"] == parents["p"], "left_semi").select(
-        F.col("child").alias("node"), F.array("parent").alias("path")
-    )
+    parents = known.select("parent").distinct()
+    none = F.array().cast("array<string>")
+    inner = kept(known.join(parents.withColumnRenamed("parent", "child"), "child", "left_semi"))
+    above = inner.select(F.col("child").alias("node"), F.array("parent").alias("path"))
     for _ in range(doublings):
         higher = above.select(F.col("node").alias("top"), F.col("path").alias("more"))
         above = above.join(higher, F.element_at("path", -1) == F.col("top"), "left").select(
-            "node", F.concat("path", F.coalesce("more", F.array().cast("array<string>"))).alias("path")
+            "node", F.concat("path", F.coalesce("more", none)).alias("path")
         )
     reach = 2**doublings
     whole = F.when(F.size("path") < reach, F.col("path")).otherwise(
         F.raise_error(F.lit(f"hierarchy exceeds {reach} levels or has a cycle, raise doublings")).cast("array<string>")
     )
-    above = above.select("node", whole.alias("path"))
-    return known.join(above, known["parent"] == above["node"], "left").select(
-        F.col("child").alias("node"),
-        F.concat(F.array("parent"), F.coalesce("path", F.array().cast("array<string>"))).alias("path"),
+    above = kept(above.select("node", whole.alias("path")))
+    return lookup(known, above, [("parent", "node")]).select(
+        F.col("child").alias("node"), F.concat(F.array("parent"), F.coalesce("path", none)).alias("path")
     )
 
 
@@ -51,14 +53,13 @@ def ancestors(edges: DataFrame, doublings: int = DOUBLINGS) -> DataFrame:
     ).withColumn("level", F.col("level") + 1)
 
 
-def pool(values: DataFrame, edges: DataFrame, entity: str, doublings: int = DOUBLINGS) -> DataFrame:
-    """Every row under its own entity (``own`` true) and under each ancestor.
+def pool(values: DataFrame, up: DataFrame, entity: str) -> DataFrame:
+    """Every row under its own entity (``own`` true) and under each ancestor in ``up``, the paths.
 
     ``values`` should already be reduced to one row per entity and bucket, which takes the weight out of
-    a hot entity; the right side of the join has one row per node, so a hot one can be split.
+    a hot entity.
     """
-    up = paths(edges, doublings).select(F.col("node").alias("__node"), "path")
-    joined = values.join(up, values[entity] == up["__node"], "left")
+    joined = lookup(values, up, [(entity, "node")])
     targets = F.concat(F.array(entity), F.coalesce("path", F.array().cast("array<string>")))
     spread = joined.select(
         *[F.col(f"`{c}`") for c in values.columns if c != entity], F.posexplode(targets).alias("__level", entity)
@@ -81,7 +82,7 @@ def rollup(
     Aggregates combine before the shuffle, so an entity with very many descendants is not gathered.
     """
     cells = [rolled(F.col(f"`{c}`"), how).alias(c) for c, how in aggregates.items()]
-    return pool(values, edges, entity, doublings).groupBy(entity, *keys).agg(*cells)
+    return pool(values, kept(paths(edges, doublings)), entity).groupBy(entity, *keys).agg(*cells)
 
 
 def merge_hierarchies(parts: list[DataFrame]) -> DataFrame:

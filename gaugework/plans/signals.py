@@ -15,13 +15,14 @@ from gaugework.functions.names import col, header, split_header
 from gaugework.functions.vocabulary import ALIAS, AXIS_OF_TYPE, DATE, DEPTH, ENTITY, TEXT_TYPES, canonical
 from gaugework.operators import filters
 from gaugework.operators.aggregate import aggregate
-from gaugework.operators.hierarchy import ancestors, pool, rolled
+from gaugework.operators.hierarchy import paths, pool, rolled
 from gaugework.operators.definitions import remapped
 from gaugework.operators.joins import lookup
 from gaugework.operators.reshape import has_entity_headers, pivot_signals, signal_columns_last, wide_to_long
 from gaugework.operators.units import conversion, converted
 from gaugework.operators.window import fill_grid, first_values, interpolate_at
 from gaugework.plans.context import Context
+from gaugework.session import kept
 
 AXIS_COLUMN = {"time": "date", "depth": "depth"}
 OUT_COLUMN = {"time": DATE, "depth": DEPTH}
@@ -90,28 +91,30 @@ def resolve_signals(wanted: list, signals: DataFrame, units: DataFrame) -> list[
     return [s if s.text else replace(s, **dict(zip(("scale", "shift"), factors[(stored[s.name], s.unit)]))) for s in specs]
 
 
-def _restricted(samples: DataFrame, specs: list[SignalSpec], context: Context, axis: str, scenario: str | None) -> DataFrame:
+def _restricted(
+    samples: DataFrame, specs: list[SignalSpec], context: Context, axis: str, scenario: str | None, names: DataFrame | None
+) -> DataFrame:
     """Wanted signals, entities, range and scenario; all but the entities reach the file scan."""
     rows = samples.where(F.col("signal").isin([s.name for s in specs]))
     if axis in AXIS_COLUMN:
         start, end = getattr(context.scope, f"{axis}_start"), getattr(context.scope, f"{axis}_end")
         rows = filters.in_range(rows, AXIS_COLUMN[axis], start, end)
     rows = filters.of_scenario(rows, scenario)
-    if context.entities is not None:
-        names = _with_descendants(context)
+    if names is not None:
         rows = lookup(rows, names, ["entity"], "left_semi")
     return rows
 
 
-def _with_descendants(context: Context) -> DataFrame:
+def _wanted_entities(context: Context, up: DataFrame | None) -> DataFrame | None:
     """Wanted entities, and with a hierarchy also everything that rolls up into them."""
+    if context.entities is None:
+        return None
     names = context.entities.select(F.col("name").alias("entity"))
-    if context.hierarchy is None:
+    if up is None:
         return names
-    below = ancestors(context.hierarchy)
-    wanted = names.distinct()
-    under = below.join(wanted, below["ancestor"] == wanted["entity"], "left_semi").select(F.col("descendant").alias("entity"))
-    return names.unionByName(under).distinct()
+    below = up.select("node", F.explode("path").alias("ancestor"))
+    under = lookup(below, names, [("ancestor", "entity")], "left_semi").select(F.col("node").alias("entity"))
+    return kept(names.unionByName(under).distinct())
 
 
 def _merged(tables: list[DataFrame], index: list[str], specs: list[SignalSpec]) -> DataFrame:
@@ -156,9 +159,9 @@ def _resampled(rows: DataFrame, specs: list[SignalSpec], axis: str, step: str) -
     return _merged(tables, index, specs)
 
 
-def _rolled_up(table: DataFrame, specs: list[SignalSpec], edges: DataFrame, index: list[str]) -> DataFrame:
+def _rolled_up(table: DataFrame, specs: list[SignalSpec], up: DataFrame, index: list[str]) -> DataFrame:
     """Every entity from its own row and those below it, each signal by its own hierarchy aggregation."""
-    pooled = pool(table, edges, "entity")
+    pooled = pool(table, up, "entity")
     early = [s for s in specs if s.hierarchy_agg == "NoAggregation" or is_algebraic(s.hierarchy_agg, s.text)]
     tables = []
     if early:
@@ -178,9 +181,9 @@ def _rolled_up(table: DataFrame, specs: list[SignalSpec], edges: DataFrame, inde
 
 def _axis_table(
     samples: DataFrame, specs: list[SignalSpec], context: Context, axis: str, scenario: str | None, depth_factor: float,
-    strict: bool,
+    strict: bool, names: DataFrame | None, up: DataFrame | None,
 ) -> DataFrame:
-    rows = _restricted(samples, specs, context, axis, scenario)
+    rows = _restricted(samples, specs, context, axis, scenario, names)
     out = OUT_COLUMN.get(axis)
     index = ["entity", AT] if out else ["entity"]
     step = getattr(context.scope, f"{axis}_step") if out else None
@@ -189,11 +192,10 @@ def _axis_table(
     else:
         own = rows.withColumn(AT, F.col(AXIS_COLUMN[axis])) if out else rows
         table = pivot_signals(_typed(own, specs), index, _cells(specs), strict=strict)
-    if context.hierarchy is not None:
-        table = _rolled_up(table, specs, context.hierarchy, index)
+    if up is not None:
+        table = _rolled_up(table, specs, up, index)
         if context.entities is not None:
-            names = context.entities.select(F.col("name").alias("entity"))
-            table = table.join(names, "entity", "left_semi")
+            table = lookup(table, context.entities.select("name"), [("entity", "name")], "left_semi")
     if axis == "depth" and depth_factor != 1.0:
         table = table.withColumn(AT, F.col(AT) * F.lit(depth_factor))
     ordered = [F.col("entity").alias(ENTITY), *([F.col(AT).alias(out)] if out else []), *[col(s.header) for s in specs]]
@@ -232,12 +234,14 @@ def load_signals(
         raise ValueError("the entity set is empty")
     specs = resolve_signals(wanted, signals, units)
     depth_factor = conversion(units, [("m", depth_unit)])[("m", depth_unit)][0] if depth_unit else 1.0
+    up = kept(paths(context.hierarchy)) if context.hierarchy is not None else None
+    names = _wanted_entities(context, up)
     tables = {}
     for axis in ("time", "depth", "static"):
         mine = [s for s in specs if s.axis == axis]
         samples = getattr(data, axis)
         if mine and samples is not None:
-            tables[axis] = _axis_table(samples, mine, context, axis, scenario, depth_factor, strict)
+            tables[axis] = _axis_table(samples, mine, context, axis, scenario, depth_factor, strict, names, up)
     if not tables:
         raise ValueError("no samples for the wanted signals")
     # The short tables meet first; the long time table comes last, with no grouping after it, so a hot

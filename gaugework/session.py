@@ -64,6 +64,17 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """A result that several steps use, computed once into the shared folder and cut from its lineage.
+
+    Meant for dimension-sized results; a lost executor costs nothing, since the files are shared.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str | T.StructType) -> DataFrame:
     """Rows written in code as a local relation, whose size the optimizer knows."""
     fields = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
