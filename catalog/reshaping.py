@@ -84,11 +84,11 @@ def from_rows(spark, d):
     return reshape.table_from_rows(o.select(cells.alias("r")), "r", heads, ["Numeric", "String", "Numeric", "Bool", "String"])
 
 
-@query("i6_tab_table", f"""SELECT "Date", 'A' AS "Entity", price FROM (SELECT o_orderdate AS "Date", o_totalprice AS price FROM orders WHERE o_orderkey % 2 = 0)
+@query("i6_tab_table", f"""SELECT "Date", 'A' AS "Entity", price FROM (SELECT o_orderdate AS "Date", o_totalprice AS price FROM orders WHERE o_orderstatus = 'F')
 UNION ALL SELECT o_orderdate, 'B', o_totalprice + 1 FROM orders""")
 def tab_table(spark, d):
     o = table(spark, d, "orders")
-    a = F.when(F.col("o_orderkey") % 2 == 0, F.col("o_totalprice").cast("decimal(18,2)").cast("string")).otherwise("")
+    a = F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice").cast("decimal(18,2)").cast("string")).otherwise("")
     b = (F.col("o_totalprice") + 1).cast("decimal(18,2)").cast("string")
     lines = o.select(F.concat_ws("\t", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), a, b).alias("value"))
     return reshape.tab_table(lines, ["Date", "A : price", "B : price"])

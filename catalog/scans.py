@@ -23,8 +23,8 @@ def read_table(spark, d):
     return files.read_delimited(spark, path, schema="s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double")
 
 
-_LINES = """SELECT CAST(c_custkey AS VARCHAR) || chr(9) || c_name || CASE WHEN c_custkey % 5 = 0 THEN '' ELSE chr(9) || c_mktsegment END
-|| CASE WHEN c_custkey % 11 = 0 THEN chr(9) || 'x' || chr(9) || 'y' ELSE '' END AS value FROM customer"""
+_LINES = """SELECT CAST(c_custkey AS VARCHAR) || chr(9) || c_name || CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE chr(9) || c_mktsegment END
+|| CASE WHEN c_nationkey = 11 THEN chr(9) || 'x' || chr(9) || 'y' ELSE '' END AS value FROM customer"""
 
 
 def customer_lines(spark, d):
@@ -33,8 +33,8 @@ def customer_lines(spark, d):
     return c.select(
         F.concat(
             F.col("c_custkey").cast("string"), F.lit("\t"), F.col("c_name"),
-            F.when(F.col("c_custkey") % 5 == 0, "").otherwise(F.concat(F.lit("\t"), F.col("c_mktsegment"))),
-            F.when(F.col("c_custkey") % 11 == 0, "\tx\ty").otherwise(""),
+            F.when(F.col("c_mktsegment") == "BUILDING", "").otherwise(F.concat(F.lit("\t"), F.col("c_mktsegment"))),
+            F.when(F.col("c_nationkey") == 11, "\tx\ty").otherwise(""),
         ).alias("value")
     )
 

@@ -59,7 +59,7 @@ def pool(values: DataFrame, up: DataFrame, entity: str) -> DataFrame:
     ``values`` should already be reduced to one row per entity and bucket, which takes the weight out of
     a hot entity.
     """
-    joined = lookup(values, up, [(entity, "node")])
+    joined = values.join(up.withColumnRenamed("node", "__node"), F.col(f"`{entity}`") == F.col("__node"), "left")
     targets = F.concat(F.array(entity), F.coalesce("path", F.array().cast("array<string>")))
     spread = joined.select(
         *[F.col(f"`{c}`") for c in values.columns if c != entity], F.posexplode(targets).alias("__level", entity)

@@ -194,10 +194,13 @@ def load_rows(
 
 
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str], skip_existing: bool = False) -> DataFrame:
-    """New rows replace those of the same key, or are dropped when existing ones are to be kept."""
+    """New rows replace those of the same key, or are dropped when existing ones are to be kept.
+
+    A small batch is broadcast, so the existing rows are not shuffled for it.
+    """
     if skip_existing:
         return existing.unionByName(new.join(existing, null_safe(new, existing, keys), "left_anti"))
-    return existing.join(new, null_safe(existing, new, keys), "left_anti").unionByName(new)
+    return lookup(existing, new.select(*map(col, keys)), keys, "left_anti", null_safe=True).unionByName(new)
 
 
 def delete_condition(
@@ -226,7 +229,5 @@ def delete_rows(df: DataFrame, table: RefTable, keys: DataFrame | None = None, *
     condition = delete_condition(table, **conditions)
     if keys is None:
         return df.limit(0) if condition is None else df.where(~F.coalesce(condition, F.lit(False)))
-    if condition is None:
-        return df.join(keys, null_safe(df, keys, table.keys), "left_anti")
-    on = null_safe(df, keys, table.keys)
-    return df.join(keys, on & F.coalesce(condition, F.lit(False)), "left_anti")
+    met = None if condition is None else F.coalesce(condition, F.lit(False))
+    return lookup(df, keys.select(*map(col, table.keys)), table.keys, "left_anti", null_safe=True, condition=met)

@@ -61,9 +61,6 @@ class PartitionedTable:
             return
         self._write(upsert(self._touched(new), new, keys, skip_existing))
 
-    def append(self, new: DataFrame) -> None:
-        new.select(*[F.col(f"`{c}`") for c in self.schema.names]).write.mode("append").partitionBy(*self.partitions).parquet(self.path)
-
     def delete(self, condition: Column | None = None, keys: DataFrame | None = None, on: list[str] | None = None) -> None:
         """Delete the rows that meet the condition and, when ``keys`` is given, match one of its rows."""
         if not self.exists():
