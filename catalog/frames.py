@@ -32,6 +32,8 @@ UNITS = [
     ("m", "Length", 1.0, 0.0),
     ("cm", "Length", 0.01, 0.0),
     ("ft", "Length", 0.3048, 0.0),
+    ("Pa", "Pressure", 1.0, 0.0),
+    ("kPa", "Pressure", 1000.0, 0.0),
     ("K", "Temperature", 1.0, 0.0),
     ("C", "Temperature", 1.0, 273.15),
     ("F", "Temperature", 0.5555555555555556, 255.3722222222222),

@@ -9,6 +9,7 @@ from catalog.frames import DEPTH_SQL, TIME_SQL, depth_samples, static_samples, t
 from gaugework.operators import reshape
 from gaugework.operators.aggregate import aggregate
 from gaugework.session import new_folder
+from gaugework.sources.files import write_per_entity
 
 
 def _daily(spark, d):
@@ -69,7 +70,7 @@ def long_to_wide_found(spark, d):
 def split_per_entity(spark, d):
     path = new_folder(spark, "i4")
     rows = table(spark, d, "customer").select(F.col("c_mktsegment").alias("Entity"), "c_custkey", "c_acctbal")
-    rows.hint("rebalance", F.col("Entity")).write.partitionBy("Entity").parquet(path)
+    write_per_entity(rows, path)
     return spark.read.parquet(path).select("Entity", "c_custkey", "c_acctbal")
 
 

@@ -11,7 +11,7 @@ from catalog.frames import DEPTH_SQL, TIME_SQL, depth_samples, order_table, stat
 from gaugework.operators.reshape import tab_lines
 from gaugework.session import new_folder
 from gaugework.sources import files
-from gaugework.sources.logs import append_logs, log_rows, read_logs, workflow_log_rows
+from gaugework.sources.logs import append_logs, log_rows, read_logs, with_logs, workflow_log_rows
 from gaugework.sources.series import flatten_series, nest_series
 from gaugework.sources.signal_store import SignalStore, without_pairs
 
@@ -227,6 +227,12 @@ def save_with_logs(spark, d):
     return read_logs(spark, path).select("Entity", "Signal", "Message", "NumberOfItems")
 
 
+@query("a14_load_with_logs", f"""SELECT entity AS "Entity", signal AS "Signal", 'Loaded' AS "Message", count(*) AS "NumberOfItems" FROM {TIME_SQL} WHERE signal = 'view' GROUP BY 1, 2""")
+def load_with_logs(spark, d):
+    _, found = with_logs(time_samples(spark, d).where("signal = 'view'"), "Loaded")
+    return found.select("Entity", "Signal", "Message", "NumberOfItems")
+
+
 @query("a15_empty_table", """SELECT CAST(n_name AS VARCHAR) AS "Entity", CAST(NULL AS DOUBLE) AS "Rate", CAST(NULL AS TIMESTAMP) AS "Time" FROM nation""")
 def empty_table(spark, d):
     empty = files.empty_table(spark, {"Entity": "string", "Rate": "float64", "Time": "datetime64[ns]"})

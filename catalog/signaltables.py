@@ -10,8 +10,8 @@ from catalog import query
 from catalog.frames import (
     DEPTH_SQL, EDGES_SQL, TIME_SQL, depth_samples, edges, signals, table, text_samples, time_samples, units,
 )
-from gaugework.plans.context import Context, Scope
-from gaugework.plans.signals import SignalData, load_data, load_signals, table_to_samples
+from gaugework.plans.context import Context, ContextList, Scope
+from gaugework.plans.signals import SignalData, load_contexts, load_data, load_pvt, load_signals, table_to_samples
 from gaugework.plans.tables import load_script_table, pivot_table, table_names
 from gaugework.session import new_folder
 from gaugework.sources.pivot_store import delete_pivot, load_pivot, save_pivot
@@ -195,3 +195,32 @@ def saved_pivot(spark, d):
     save_pivot(_pivot(spark, d), root, "other")
     assert delete_pivot(spark, root, "other")
     return load_pivot(spark, root, "monthly")
+
+
+@query("l2_load_rolled_up", f"""WITH RECURSIVE e AS {EDGES_SQL},
+up AS (SELECT child AS d, parent AS a FROM e UNION ALL SELECT up.d, e.parent FROM up JOIN e ON up.a = e.child),
+m AS (SELECT entity, signal, date_trunc('month', date) AS date, max(value_num) AS v FROM {TIME_SQL} WHERE {IN_JANUARY} GROUP BY ALL)
+SELECT entity, signal, date, v AS value_num FROM m UNION ALL SELECT a, signal, date, max(v) FROM m JOIN up ON entity = d GROUP BY ALL""")
+def load_data_rolled_up(spark, d):
+    s = january()
+    return load_data(time_samples(spark, d), "time", start=s.time_start, end=s.time_end, step="month", how="Max", hierarchy=edges(spark, d))
+
+
+@query("l2_load_pvt", """SELECT CAST(s_suppkey AS VARCHAR) AS entity, round(s_acctbal / 1000, 6) AS pressure, round(CAST(s_nationkey + 300 AS DOUBLE) - 273.15, 6) AS temperature, 1.5::DOUBLE AS value_num FROM supplier""")
+def load_pvt_rows(spark, d):
+    rows = table(spark, d, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("entity"), F.col("s_acctbal").alias("pressure"), (F.col("s_nationkey") + 300).cast("double").alias("temperature"), F.lit(1.5).alias("value_num"))
+    done = load_pvt(rows, units(spark), "kPa", "C")
+    return done.withColumns({c: F.round(c, 6) for c in ("pressure", "temperature")})
+
+
+@query("k8_load_contexts", f"""SELECT 'first half' AS "Context", entity AS "Entity", date_trunc('day', date) AS "Date", round(sum(value_num), 4) AS "purchase [usd]" FROM {TIME_SQL}
+WHERE signal = 'purchase' AND date <= TIMESTAMP '2024-01-15' GROUP BY ALL
+UNION ALL SELECT 'machinery', entity, date_trunc('month', date), round(sum(value_num), 4) FROM {TIME_SQL} WHERE signal = 'purchase' AND entity IN (SELECT name FROM {MACHINERY_SQL}) GROUP BY ALL""")
+def contexts_loaded(spark, d):
+    contexts = ContextList((
+        Context("first half", Scope(time_end=datetime(2024, 1, 15), time_step="Daily")),
+        Context("machinery", Scope(time_step="Monthly"), machinery(spark, d)),
+    ))
+    done = load_contexts(SignalData(time=time_samples(spark, d)), signals(spark), units(spark), ["purchase"], contexts)
+    return _rounded(done, ["purchase [usd]"])

@@ -95,6 +95,7 @@ def fill_grid(
 
 def newest(df: DataFrame, keys: list[str], batch: str) -> DataFrame:
     """One row per key, the one of the highest batch; a fixed-size buffer, so repeated keys combine early."""
-    others = [c for c in df.columns if c not in keys]
+    others = [c for c in df.columns if c not in keys and c != batch]
     best = F.max_by(F.struct(*map(col, others)), col(batch)).alias("__r")
-    return df.groupBy(*map(col, keys)).agg(best).select(*map(col, keys), *[F.col(f"__r.`{c}`") for c in others])
+    top = df.groupBy(*map(col, keys)).agg(best, F.max(col(batch)).alias("__b"))
+    return top.select(*map(col, keys), *[F.col(f"__r.`{c}`") for c in others], F.col("__b").alias(batch)).select(*map(col, df.columns))

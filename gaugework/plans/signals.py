@@ -21,7 +21,7 @@ from gaugework.operators.joins import lookup
 from gaugework.operators.reshape import has_entity_headers, pivot_signals, signal_columns_last, wide_to_long
 from gaugework.operators.units import conversion, converted
 from gaugework.operators.window import fill_grid, first_values, interpolate_at
-from gaugework.plans.context import Context
+from gaugework.plans.context import Context, ContextList
 from gaugework.session import kept
 
 AXIS_COLUMN = {"time": "date", "depth": "depth"}
@@ -275,8 +275,12 @@ def load_data(
     gap_value=None,
     interpolated: bool = False,
     how: str = "Sum",
+    hierarchy: DataFrame | None = None,
 ) -> DataFrame:
-    """Samples of (entity, signal) pairs: first or last N, a point, a range, resampled, gap-filled."""
+    """Samples of (entity, signal) pairs: first or last N, a point, a range, resampled, gap-filled.
+
+    With a hierarchy, resampled time series also roll up by the same aggregation.
+    """
     axis = AXIS_OF_TYPE.get(canonical("signal type", signal_type), "static")
     value = "value_str" if canonical("signal type", signal_type) in TEXT_TYPES.values() else "value_num"
     rows = samples if pairs is None else lookup(samples, pairs.select("entity", "signal"), ["entity", "signal"], "left_semi")
@@ -291,6 +295,9 @@ def load_data(
     if step is None:
         return rows
     table = resample(rows, axis, step, how, value, out=value)
+    if hierarchy is not None and axis == "time":
+        pooled = pool(table, kept(paths(hierarchy)), "entity")
+        table = aggregate(pooled, ["entity", "signal", "bucket"], value, how, "bucket", out=value)
     if gap_value is not None and axis == "time":
         ends = [F.lit(e).cast("timestamp_ntz") if e is not None else None for e in (start, end)]
         table = fill_grid(table, keys, "bucket", value, step, gap_value, *ends)
@@ -299,6 +306,24 @@ def load_data(
     return table.withColumnRenamed("bucket", c)
 
 
+def load_pvt(samples: DataFrame, units: DataFrame, pressure_unit: str = "Pa", temperature_unit: str = "K") -> DataFrame:
+    """Pressure-temperature samples, stored in Pa and K, in the wanted units."""
+    wanted = {"pressure": ("Pa", pressure_unit), "temperature": ("K", temperature_unit)}
+    factors = conversion(units, list(wanted.values()))
+    return samples.withColumns({c: converted(F.col(c), *factors[pair]) for c, pair in wanted.items()})
+
+
+def load_contexts(
+    data: SignalData, signals: DataFrame, units: DataFrame, wanted: list, contexts: ContextList, **options
+) -> DataFrame:
+    """The same signals in each context of a list, with the context's name in a column."""
+    tables = [
+        load_signals(data, signals, units, wanted, c, **options).select(F.lit(c.name).alias("Context"), "*")
+        for c in contexts.contexts
+    ]
+    return reduce(DataFrame.unionByName, tables)
+
+
 def column_mapping(columns: list[str], mapping: dict | None = None) -> list[tuple[str, str, str]]:
     """(column, signal, unit) of each value column; the mapping wins over the header."""
     rows = []

@@ -73,6 +73,11 @@ def read_folder(spark: SparkSession, folder: str, prefix: str = "") -> DataFrame
     return named.where(F.col("name").startswith(prefix)) if prefix else named
 
 
+def write_per_entity(df: DataFrame, path: str, entity: str = "Entity") -> None:
+    """One directory per entity; a hot entity is written by many tasks."""
+    df.hint("rebalance", col(entity)).write.partitionBy(entity).parquet(path)
+
+
 def relative_name(path, folder: str):
     base = folder.split(":", 1)[-1].strip("/")
     return F.regexp_replace(path, rf"^(?:[a-z0-9]+:)?/*\Q{base}\E/*", "")

@@ -61,6 +61,11 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(path)
 
 
+def with_logs(rows: DataFrame, message: str) -> tuple[DataFrame, DataFrame]:
+    """A job's rows together with its log rows."""
+    return rows, activity_log(rows, message)
+
+
 def activity_log(samples: DataFrame, message: str) -> DataFrame:
     """One log row per entity and signal with the number of samples."""
     counts = samples.groupBy("entity", "signal").agg(F.count(F.lit(1)).alias("NumberOfItems"))

@@ -55,7 +55,7 @@ class PartitionedTable:
         return stored.join(parts, null_safe(stored, parts, self.partitions), "left_semi")
 
     def save(self, new: DataFrame, keys: list[str], skip_existing: bool = False) -> None:
-        """Upsert, or only add the rows whose key is not stored yet."""
+        """Upsert, or only add the rows whose key is not stored yet; ``new`` has one row per key."""
         if not self.exists():
             self._write(new)
             return

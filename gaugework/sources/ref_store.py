@@ -12,6 +12,7 @@ from gaugework.functions.names import col
 from gaugework.operators.reftable import (
     ColumnInfo, RefTable, define, delete_condition, load_rows, to_stored,
 )
+from gaugework.operators.window import newest
 from gaugework.session import literal_table
 from gaugework.sources.partitioned import PartitionedTable
 
@@ -66,8 +67,12 @@ class RefTableStore:
         infos = [ColumnInfo(*c) for c in spec["columns"]]
         return RefTable(name, spec["entity"], spec["time"], infos[0], tuple(infos[1:]), spec["description"])
 
-    def save(self, name: str, df: DataFrame, skip_existing: bool = False) -> None:
+    def save(self, name: str, df: DataFrame, skip_existing: bool = False, order: str | None = None) -> None:
+        """Upsert or skip by key. ``order`` names an extra column that picks the newest of repeated keys."""
         table = self.info(name)
+        if order:
+            index = [c for c in df.columns if c != order][:3]
+            df = newest(df, index, order).drop(order)
         self._rows(table).save(self._stored(table, df), table.keys, skip_existing)
 
     def load(self, name: str, start=None, end=None, **options) -> DataFrame:

@@ -118,6 +118,12 @@ def test_upserts_keep_a_hundred_rows(store, hundred):
         store.save("t", hundred.drop("A"))
 
 
+def test_newest_of_repeated_keys_in_a_batch(store, hundred):
+    twice = hundred.withColumn("n", F.lit(1)).unionByName(hundred.withColumns({"n": F.lit(2), "A": F.lit(-2.0)}))
+    store.save("t", twice, order="n")
+    assert store.load("t").count() == 100 and store.load("t").where("`A [ ]` = -2").count() == 100
+
+
 def test_filters_units_and_top(store):
     got = store.load("t", start="2025-01-01", end="2025-01-02", columns=["F [cm]", "E [cm]"], all_columns=False, top=10,
                      entities="Well 001", where="[Entity] = 'Well 001' AND [Key] >= '20'")
