@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.frames import (
-    DEPTH_SQL, EDGES_SQL, TEXT_SQL, TIME_SQL, depth_samples, edges, entities, ENTITIES_SQL, signals, SIGNALS_SQL, static_samples, table,
+    DEPTH_SQL, EDGES_SQL, TEXT_SQL, TIME_SQL, depth_samples, edges, signals, SIGNALS_SQL, static_samples, table,
     text_samples, time_samples,
 )
 from gaugework.functions.buckets import depth_of_bucket

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.frames import (
-    DEPTH_SQL, EDGES_SQL, ENTITIES_SQL, TIME_SQL, depth_samples, edges, entities, table, time_samples,
+    DEPTH_SQL, ENTITIES_SQL, TIME_SQL, depth_samples, edges, entities, table, time_samples,
 )
 from gaugework.functions.vocabulary import DEPTH_INCREMENTS, TIME_INCREMENTS
 from gaugework.operators import filters

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import functions as F
 
 from catalog import query
@@ -12,7 +10,6 @@ from catalog.frames import (
     time_samples, units,
 )
 from gaugework.operators import filters
-from gaugework.operators.aggregate import aggregate
 from gaugework.operators.hierarchy import ancestors
 from gaugework.operators.joins import lookup
 from gaugework.operators.reftable import upsert

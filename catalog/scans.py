@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.frames import DEPTH_SQL, TIME_SQL, depth_samples, order_table, static_samples, table, text_samples, time_samples
+from catalog.frames import DEPTH_SQL, TIME_SQL, depth_samples, static_samples, table, text_samples, time_samples
 from gaugework.operators.reshape import tab_lines
 from gaugework.session import new_folder
 from gaugework.sources import files

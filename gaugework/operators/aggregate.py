@@ -13,9 +13,12 @@ from gaugework.functions.aggregates import algebraic, is_algebraic
 from gaugework.functions.buckets import time_bucket
 from gaugework.functions.names import col
 from gaugework.functions.vocabulary import canonical
+from gaugework.session import kept
 
 # Groups above this many rows take the bracketed path of exact_percentile.
 HOT_ROWS = 5_000_000
+# Size of the sample, relative to that, in which such groups are looked for.
+SAMPLE_ROWS = 5_000
 # Rank error of the bracket is 1 / SKETCH_ACCURACY of the group's rows.
 SKETCH_ACCURACY = 50_000
 
@@ -34,9 +37,20 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str)
     return left.join(renamed, on, how).drop(*[f"__{k}" for k in keys])
 
 
-def hot_groups(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
-    """Groups with more than ``rows`` rows: at most (all rows / rows) of them, so broadcastable."""
-    return df.groupBy(*map(col, keys)).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > rows)
+def hot_groups(df: DataFrame, keys: list[str], rows: int) -> DataFrame | None:
+    """(keys, n_rows) of groups that hold about ``rows`` rows or more, or None when there are none.
+
+    Found in a sample, so no count over all groups is shuffled, and stored, so that every use sees the
+    same list. It has at most 2 * (all rows / rows) entries and is small enough to broadcast. Which
+    groups it names decides how they are computed, not what comes out; ``n_rows`` is an estimate.
+    """
+    fraction = min(1.0, SAMPLE_ROWS / rows)
+    sample = df.select(*map(col, keys))
+    if fraction < 1.0:
+        sample = sample.sample(fraction, seed=11)
+    counts = sample.groupBy(*map(col, keys)).agg(F.count(F.lit(1)).alias("hits"))
+    hot = kept(counts.where(F.col("hits") >= rows * fraction / 2).select(*map(col, keys), (F.col("hits") / fraction).alias("n_rows")))
+    return None if hot.isEmpty() else hot
 
 
 def exact_percentile(
@@ -52,16 +66,19 @@ def exact_percentile(
     rows = df.select(*map(col, keys), col(value).alias("__v"))
     filled = rows.where("__v IS NOT NULL")
     hot = hot_groups(filled, keys, hot_rows)
+    if hot is None:
+        return rows.groupBy(*map(col, keys)).agg(F.percentile("__v", p).alias(out))
+    hot = hot.drop("n_rows")
     cold = join_null_safe(rows, F.broadcast(hot), keys, "left_anti")
     built_in = cold.groupBy(*map(col, keys)).agg(F.percentile("__v", p).alias(out))
 
-    # The sketch's rank error, and two ranks for rounding and interpolation.
-    margin = 2.0 / SKETCH_ACCURACY + 2.0 / hot_rows
+    # The sketch's rank error, and some ranks for rounding and interpolation.
+    margin = 2.0 / SKETCH_ACCURACY + 8.0 / hot_rows
     bounds = F.array(F.lit(max(0.0, p - margin)), F.lit(min(1.0, p + margin)))
     bracket = (
         join_null_safe(filled, F.broadcast(hot), keys, "inner")
-        .groupBy(*map(col, keys), "n_rows")
-        .agg(F.percentile_approx("__v", bounds, SKETCH_ACCURACY).alias("b"))
+        .groupBy(*map(col, keys))
+        .agg(F.percentile_approx("__v", bounds, SKETCH_ACCURACY).alias("b"), F.count(F.lit(1)).alias("n_rows"))
         .select(*map(col, keys), "n_rows", F.col("b")[0].alias("low"), F.col("b")[1].alias("high"))
     )
     inside = (

@@ -47,16 +47,20 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_LOCAL_FOLDER: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only when the session does not name one (a local test) is a temporary folder set.
+    Only when the session does not name one (a local test) is a temporary folder made.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="gaugework-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    if not _LOCAL_FOLDER:
+        _LOCAL_FOLDER.append(tempfile.mkdtemp(prefix="gaugework-"))
+    return _LOCAL_FOLDER[0]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

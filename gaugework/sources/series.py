@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.operators.aggregate import hot_groups
+from gaugework.operators.aggregate import hot_groups, join_null_safe
 from gaugework.operators.joins import lookup
 
 # A record holds about this many samples at most; longer series are spread over several records.
@@ -25,17 +25,16 @@ def nest_series(
 ) -> DataFrame:
     """Rows (keys, axis, Value) -> records with Data ordered along the axis.
 
-    A series longer than ``max_samples`` becomes several records, so no task holds it whole; reading the
-    records back with :func:`flatten_series` gives the same rows.
+    A series of more than about ``max_samples`` becomes several records, so no task holds it whole;
+    reading the records back with :func:`flatten_series` gives the same rows.
     """
-    hot = hot_groups(samples, list(keys), max_samples).select(
-        *[F.col(k).alias(f"__{k}") for k in keys], F.ceil(F.col("n_rows") / max_samples).alias("__parts")
-    )
-    on = F.lit(True)
-    for k in keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    part = F.pmod(F.xxhash64(axis, "Value"), F.coalesce("__parts", F.lit(1)))
-    parts = samples.join(F.broadcast(hot), on, "left").withColumn("__part", part)
+    hot = hot_groups(samples, list(keys), max_samples)
+    if hot is None:
+        parts = samples.withColumn("__part", F.lit(0))
+    else:
+        spread = hot.select(*keys, F.ceil(F.col("n_rows") / max_samples).alias("__parts"))
+        part = F.pmod(F.xxhash64(axis, "Value"), F.coalesce("__parts", F.lit(1)))
+        parts = join_null_safe(samples, F.broadcast(spread), list(keys), "left").withColumn("__part", part)
     data = F.array_sort(F.collect_list(F.struct(axis, "Value")))
     return parts.groupBy(*keys, "__part").agg(data.alias("Data")).drop("__part")
 

@@ -1,6 +1,5 @@
 """Aggregations, hot groups, lookups, windows and hierarchies against pandas and brute force."""
 
-import statistics
 from datetime import datetime, timedelta
 
 import numpy as np
