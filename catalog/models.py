@@ -65,12 +65,22 @@ def train_multiple(spark, d):
     return _classes(spark, d, "multi", "l_returnflag", normalisation="MinMax")
 
 
-@query("o2_train_naive_bayes")
+_GAUSS = " + ".join(f"ln(v{i}) + pow(x{i} - m{i}, 2) / v{i}" for i in range(4))
+
+
+@query("o2_train_naive_bayes", f"""WITH r AS (SELECT row_number() OVER () AS id, l_returnflag AS label, l_quantity AS x0, l_discount AS x1, l_tax AS x2, l_extendedprice AS x3 FROM lineitem),
+c AS (SELECT label AS class, row_number() OVER (ORDER BY label) - 1 AS k, count(*) AS n, {", ".join(f"avg(x{i}) AS m{i}, var_pop(x{i}) AS v{i}" for i in range(4))} FROM r GROUP BY 1),
+p AS (SELECT id, label, arg_max(k, ln(n) - 0.5 * ({_GAUSS})) AS best FROM r, c GROUP BY 1, 2)
+SELECT label, CAST(best AS DOUBLE) AS prediction, count(*) AS n FROM p GROUP BY 1, 2""")
 def train_bayes(spark, d):
     return _classes(spark, d, "naive bayes", "l_returnflag")
 
 
-@query("o2_train_naive_bayes_categorical")
+@query("o2_train_naive_bayes_categorical", """WITH k AS (SELECT o_orderstatus AS s, row_number() OVER (ORDER BY o_orderstatus) - 1 AS i, count(*) AS n FROM orders GROUP BY 1),
+f AS (SELECT count(DISTINCT o_orderpriority) + 1 AS features FROM orders),
+c AS (SELECT o_orderpriority AS p, o_orderstatus AS s, count(*) AS n FROM orders GROUP BY 1, 2),
+best AS (SELECT c.p, arg_max(k.i, ln(k.n + 1) + ln((c.n + 1) / (k.n + features))) AS i FROM c JOIN k ON c.s = k.s, f GROUP BY 1)
+SELECT o_orderpriority, CAST(i AS DOUBLE) AS prediction, count(*) AS n FROM orders JOIN best ON p = o_orderpriority GROUP BY 1, 2""")
 def train_bayes_categorical(spark, d):
     o = table(spark, d, "orders")
     model = models.train(o, "bayes categorical", ["o_orderpriority"], "o_orderstatus")
@@ -137,12 +147,19 @@ def normalise_contrast(spark, d):
     return _normalised(spark, d, "global contrast")
 
 
-@query("o3_normalise_robust")
+def _rank(c: str, p: float) -> str:
+    return f"(SELECT quantile_disc({c}, {p}) FROM {_TWO})"
+
+
+@query("o3_normalise_robust", "SELECT p_partkey, " + ", ".join(
+    f"round(({c} - {_rank(c, 0.5)}) / ({_rank(c, 0.75)} - {_rank(c, 0.25)}), 6) AS {c}" for c in "ab") + f" FROM {_TWO}")
 def normalise_robust(spark, d):
     return _normalised(spark, d, "robust scaling")
 
 
-@query("o3_normalise_binning")
+@query("o3_normalise_binning", "SELECT p_partkey, " + ", ".join(
+    f"(SELECT CAST(count(DISTINCT q) AS DOUBLE) FROM (SELECT unnest(quantile_disc({c}, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS q FROM {_TWO}) WHERE q <= r.{c}) AS {c}"
+    for c in "ab") + f" FROM {_TWO} r")
 def normalise_binning(spark, d):
     return _normalised(spark, d, "binning")
 

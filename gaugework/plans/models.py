@@ -25,6 +25,7 @@ from gaugework.operators.joins import lookup
 
 SEED = 17
 BINS = 10
+QUANTILE_ERROR = 1e-4
 DEFAULT_CLUSTERS = 5
 TRAINERS: dict[str, dict[str, type]] = {
     "Regression": {"linear": LinearRegression, "boosted": GBTRegressor, "forest": RandomForestRegressor},
@@ -91,7 +92,7 @@ def normaliser(name: str, features: list[str], out: str, df: DataFrame | None =
     if kind == "MinMax":
         return [gather, MinMaxScaler(inputCol=raw, outputCol=out)]
     if kind == "RobustScaling":
-        return [gather, RobustScaler(inputCol=raw, outputCol=out, withCentering=True, withScaling=True)]
+        return [gather, RobustScaler(inputCol=raw, outputCol=out, withCentering=True, withScaling=True, relativeError=QUANTILE_ERROR)]
     if kind == "LpNorm":
         return [gather, Normalizer(inputCol=raw, outputCol=out, p=p)]
     names = [f"__n{i}" for i in range(len(features))]
@@ -106,7 +107,7 @@ def normaliser(name: str, features: list[str], out: str, df: DataFrame | None =
         cells = ", ".join(f"coalesce(({c} - {mean}) / nullif({norm}, 0D), 0D) AS {n}" for c, n in zip(safe, names))
         return [SQLTransformer(statement=f"SELECT *, {cells} FROM __THIS__"), VectorAssembler(inputCols=names, outputCol=out)]
     if kind == "Binning":
-        cut = QuantileDiscretizer(inputCols=features, outputCols=names, numBuckets=BINS, relativeError=1e-4)
+        cut = QuantileDiscretizer(inputCols=features, outputCols=names, numBuckets=BINS, relativeError=QUANTILE_ERROR)
     else:
         splits = [_tree_splits(df, f, label, by_class) for f in features]
         cut = Bucketizer(splitsArray=splits, inputCols=features, outputCols=names)
