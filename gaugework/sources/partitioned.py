@@ -6,11 +6,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugework.operators.aggregate import null_safe
 from gaugework.operators.joins import lookup
 from gaugework.operators.reftable import upsert
 from gaugework.session import literal_table
 
+MONTH = "yyyy-MM"
+
+
+def months(start=None, end=None, column: str = "month") -> Column:
+    """Months that an inclusive time range can reach, as a constant partition filter."""
+    condition = F.lit(True)
+    for bound, is_start in ((start, True), (end, False)):
+        if bound is not None:
+            month = F.date_format(F.lit(bound).cast("timestamp_ntz"), MONTH)
+            condition = condition & (F.col(column) >= month if is_start else F.col(column) <= month)
+    return condition
+
 
 class PartitionedTable:
     """Rows under one path, split into directories by a few low-cardinality columns.
@@ -48,18 +59,28 @@ class PartitionedTable:
             .parquet(self.path)
         )
 
-    def _touched(self, rows: DataFrame) -> DataFrame:
-        """Stored rows of the partitions that ``rows`` falls into; the scan prunes the rest."""
+    def _values(self, rows: DataFrame) -> list[tuple]:
+        """Partitions that rows fall into: directory names, so as many as directories, never as rows."""
+        return [tuple(r) for r in rows.select(*self.partitions).distinct().collect()]
+
+    def _in(self, values: list[tuple]) -> DataFrame:
+        """Stored rows of exactly these partitions; constant filters per column prune the listing and scan."""
         stored = self.read()
-        parts = rows.select(*self.partitions).distinct()
-        return stored.join(parts, null_safe(stored, parts, self.partitions), "left_semi")
+        for name, wanted in zip(self.partitions, zip(*values)):
+            known = sorted({v for v in wanted if v is not None})
+            missing = F.col(name).isNull() if None in wanted else F.lit(False)
+            stored = stored.where(F.col(name).isin(known) | missing)
+        exact = literal_table(self.spark, values, T.StructType([self.schema[n] for n in self.partitions]))
+        return lookup(stored, exact, self.partitions, "left_semi", null_safe=True)
 
     def save(self, new: DataFrame, keys: list[str], skip_existing: bool = False) -> None:
         """Upsert, or only add the rows whose key is not stored yet; ``new`` has one row per key."""
         if not self.exists():
             self._write(new)
             return
-        self._write(upsert(self._touched(new), new, keys, skip_existing))
+        touched = self._values(new)
+        if touched:
+            self._write(upsert(self._in(touched), new, keys, skip_existing))
 
     def delete(self, condition: Column | None = None, keys: DataFrame | None = None, on: list[str] | None = None) -> None:
         """Delete the rows that meet the condition and, when ``keys`` is given, match one of its rows."""
@@ -71,13 +92,12 @@ class PartitionedTable:
         stored = self.read()
         gone = F.coalesce(condition, F.lit(False)) if condition is not None else F.lit(True)
         hit = stored.where(gone) if keys is None else lookup(stored.where(gone), keys, on, "left_semi", null_safe=True)
-        # Partition values are directory names: as many as directories, never as many as rows.
-        emptied = {tuple(r) for r in hit.select(*self.partitions).distinct().collect()}
-        if not emptied:
+        touched = self._values(hit)
+        if not touched:
             return
-        touched = self._touched(hit)
-        kept = touched.where(~gone) if keys is None else lookup(touched, keys, on, "left_anti", null_safe=True, condition=gone)
-        emptied -= {tuple(r) for r in kept.select(*self.partitions).distinct().collect()}
+        rows = self._in(touched)
+        kept = rows.where(~gone) if keys is None else lookup(rows, keys, on, "left_anti", null_safe=True, condition=gone)
+        emptied = set(touched) - set(self._values(kept))
         self._write(kept)
         for values in emptied:
             path = self.path

@@ -14,7 +14,7 @@ from gaugework.operators.reftable import (
 )
 from gaugework.operators.window import newest
 from gaugework.session import literal_table
-from gaugework.sources.partitioned import PartitionedTable
+from gaugework.sources.partitioned import PartitionedTable, months
 
 # Partition column; month of the time part of the key, null for rows without one.
 MONTH = "__month"
@@ -79,15 +79,19 @@ class RefTableStore:
         """Filters reach the scan; a time range also prunes months."""
         table = self.info(name)
         rows = self._rows(table).read()
-        for bound, is_start in ((start, True), (end, False)):
-            if bound is not None:
-                month = F.date_format(F.lit(bound).cast("timestamp_ntz"), "yyyy-MM")
-                rows = rows.where(F.col(MONTH) >= month if is_start else F.col(MONTH) <= month)
+        if start is not None or end is not None:
+            rows = rows.where(months(start, end, MONTH))
         return load_rows(rows.drop(MONTH), table, self.units, start=start, end=end, **options)
 
-    def delete(self, name: str, keys: DataFrame | None = None, **conditions) -> None:
+    def delete(
+        self, name: str, keys: DataFrame | None = None, start=None, end=None, drop_null_times: bool = False, **conditions
+    ) -> None:
+        """Delete by conditions combined by AND; a time range also prunes months."""
         table = self.info(name)
-        condition = delete_condition(table, **conditions)
+        condition = delete_condition(table, start=start, end=end, drop_null_times=drop_null_times, **conditions)
+        if start is not None or end is not None:
+            reached = months(start, end, MONTH)
+            condition = condition & (reached | F.col(MONTH).isNull() if drop_null_times else reached)
         rows = self._rows(table)
         if keys is None:
             rows.delete(condition)

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from gaugework.functions.vocabulary import canonical
 from gaugework.operators.joins import lookup
 from gaugework.sources.logs import activity_log, append_logs
-from gaugework.sources.partitioned import PartitionedTable
+from gaugework.sources.partitioned import MONTH, PartitionedTable, months
 
 SCHEMA = T.StructType(
     [
@@ -27,7 +27,7 @@ SCHEMA = T.StructType(
         T.StructField("month", T.StringType()),
     ]
 )
-MONTH, NO_MONTH = "yyyy-MM", "none"
+NO_MONTH = "none"
 IDENTITY = ["signal_type", "signal", "entity", "scenario", "date", "depth", "pressure", "temperature"]
 
 
@@ -74,14 +74,8 @@ class SignalStore:
             rows = rows.where(F.col("signal").isin(signals))
         if scenario:
             rows = rows.where(F.col("scenario") == scenario)
-        for bound, is_start in ((start, True), (end, False)):
-            if bound is not None:
-                limit = F.lit(bound).cast("timestamp_ntz")
-                month = F.date_format(limit, MONTH)
-                rows = rows.where(
-                    (F.col("date") >= limit) & (F.col("month") >= month) if is_start
-                    else (F.col("date") <= limit) & (F.col("month") <= month)
-                )
+        if start is not None or end is not None:
+            rows = rows.where(range_condition(rows, "date", start, end) & months(start, end))
         if entities is not None:
             rows = lookup(rows, entities.select("name"), [("entity", "name")], "left_semi")
         return rows
@@ -89,7 +83,10 @@ class SignalStore:
     def delete(self, pairs: DataFrame, axis: str | None = None, start=None, end=None) -> None:
         """Delete by (entity, signal) rows and an optional inclusive range of date or depth."""
         stored = self.table.read()
-        self.table.delete(range_condition(stored, axis, start, end), pairs.select("entity", "signal"), ["entity", "signal"])
+        inside = range_condition(stored, axis, start, end)
+        if axis == "date":
+            inside = inside & months(start, end)
+        self.table.delete(inside, pairs.select("entity", "signal"), ["entity", "signal"])
 
 
 def range_condition(df: DataFrame, axis: str | None, start=None, end=None) -> Column:
