@@ -9,6 +9,7 @@ from catalog.frames import (
     DEPTH_SQL, EDGES_SQL, ENTITIES_SQL, SIGNALS_SQL, TIME_SQL, UNITS_SQL, depth_samples, edges, entities, signals, static_samples, table,
     time_samples, units,
 )
+from gaugework.functions.buckets import time_bucket
 from gaugework.operators import filters
 from gaugework.operators.hierarchy import ancestors
 from gaugework.operators.joins import lookup
@@ -98,5 +99,5 @@ def all_ancestors(spark, d):
 max(value_num) FILTER (signal = 'click') AS click, max(value_num) FILTER (signal = 'purchase') AS purchase
 FROM {TIME_SQL} WHERE signal IN ('view', 'click', 'purchase') GROUP BY ALL""")
 def merged_columns(spark, d):
-    hourly = time_samples(spark, d).withColumn("hour", F.date_trunc("hour", "date").cast("timestamp_ntz"))
+    hourly = time_samples(spark, d).withColumn("hour", time_bucket(F.col("date"), "Hourly"))
     return pivot_signals(hourly, ["entity", "hour"], {s: ("value_num", s) for s in ("view", "click", "purchase")})

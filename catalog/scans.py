@@ -12,7 +12,7 @@ from gaugework.operators.reshape import tab_lines
 from gaugework.session import new_folder
 from gaugework.sources import files
 from gaugework.sources.logs import append_logs, log_rows, read_logs, with_logs, workflow_log_rows
-from gaugework.sources.series import flatten_series, nest_series
+from gaugework.sources.series import flatten_series, nest_series, records_from_json, records_to_json
 from gaugework.sources.signal_store import SignalStore, without_pairs
 
 
@@ -68,6 +68,22 @@ def json_round_trip(spark, d):
     return files.read_json(spark, path, rows.schema)
 
 
+@query("a5_json_keeps_microseconds", "SELECT event_id, ts, value FROM events")
+def json_times(spark, d):
+    path = new_folder(spark, "a5t")
+    rows = table(spark, d, "events").select("event_id", "ts", "value")
+    files.write_json(rows, path)
+    return files.read_json(spark, path, rows.schema)
+
+
+@query("a1_table_keeps_microseconds", "SELECT event_id, ts, value FROM events")
+def csv_times(spark, d):
+    path = new_folder(spark, "a1t")
+    rows = table(spark, d, "events").select("event_id", "ts", "value")
+    files.write_csv(rows, path, delimiter="\t", date_format=False)
+    return files.read_delimited(spark, path, schema=rows.schema)
+
+
 @query("a6_text_content", "SELECT item_id, regexp_replace(text, '[\\r\\n\\t]', ' ', 'g') AS text FROM benchmark")
 def text_content(spark, d):
     path = new_folder(spark, "a6")
@@ -118,6 +134,11 @@ def flatten(spark, d):
     return flatten_series(_records(spark, d))
 
 
+@query("a8_flatten_json", f"""SELECT entity AS "Entity", signal AS "Signal", 'usd' AS "Unit", date AS "Date", value_num AS "Value" FROM {TIME_SQL}""")
+def flatten_json(spark, d):
+    return flatten_series(records_from_json(records_to_json(_records(spark, d))))
+
+
 @query("a8_flatten_depth", f"""SELECT entity AS "Entity", signal AS "Signal", 'usd' AS "Unit", depth AS "Depth", value_num AS "Value" FROM {DEPTH_SQL}""")
 def flatten_depth(spark, d):
     rows = depth_samples(spark, d).select(

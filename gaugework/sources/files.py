@@ -10,13 +10,15 @@ from gaugework.functions.casts import CSV_DATE_TEXT, type_name
 from gaugework.functions.names import col
 from gaugework.session import literal_table
 
+# Microseconds are kept in text files, which Spark's default layout would cut to milliseconds.
+TIME_TEXT = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]"}
 _TIMES = (T.TimestampType, T.TimestampNTZType, T.DateType)
 _SPARK_TYPES = {"numeric": "double", "time": "timestamp_ntz", "string": "string", "bool": "boolean", "object": "string"}
 
 
 def read_delimited(spark: SparkSession, path: str, delimiter: str = "\t", schema=None) -> DataFrame:
     """A delimited file with a header; without a schema all columns are text, so nothing is read twice."""
-    reader = spark.read.option("header", True).option("sep", delimiter)
+    reader = spark.read.options(**TIME_TEXT).option("header", True).option("sep", delimiter)
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
@@ -30,7 +32,7 @@ def csv_ready(df: DataFrame, date_format: bool = True) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, delimiter: str = ",", date_format: bool = True) -> None:
     """CSV with a header and no row index, one file per partition."""
-    csv_ready(df, date_format).write.option("header", True).option("sep", delimiter).csv(path)
+    csv_ready(df, date_format).write.options(**TIME_TEXT).option("header", True).option("sep", delimiter).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -38,12 +40,12 @@ def read_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    df.write.json(path)
+    df.write.options(**TIME_TEXT).json(path)
 
 
 def read_json(spark: SparkSession, path: str, schema=None, multi_line: bool = False) -> DataFrame:
     """JSON lines split across tasks; ``multi_line`` is for files that hold one document."""
-    reader = spark.read.option("multiLine", multi_line)
+    reader = spark.read.options(**TIME_TEXT).option("multiLine", multi_line)
     return (reader.schema(schema) if schema else reader).json(path)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gaugework.operators.aggregate import hot_groups, join_null_safe
 from gaugework.operators.joins import lookup
+from gaugework.sources.files import TIME_TEXT
 
 # A record holds about this many samples at most; longer series are spread over several records.
 MAX_SAMPLES = 5_000_000
@@ -19,6 +20,18 @@ def flatten_series(records: DataFrame, keep: tuple[str, ...] = ("Entity", "Signa
     return records.select(*keep, F.inline("Data"))
 
 
+def records_from_json(lines: DataFrame, column: str = "value", axis: str = "Date", value: str = "double") -> DataFrame:
+    """Nested records from JSON text, one per line; ``axis`` None stands for static records."""
+    moment = "timestamp_ntz" if axis == "Date" else "double"
+    data = f"array<struct<{axis}: {moment}, Value: {value}>>" if axis else value
+    schema = f"Entity string, Signal string, Unit string, Data {data}"
+    return lines.select(F.from_json(column, schema, TIME_TEXT).alias("r")).select("r.*")
+
+
+def records_to_json(records: DataFrame, column: str = "value") -> DataFrame:
+    return records.select(F.to_json(F.struct("*"), TIME_TEXT).alias(column))
+
+
 def nest_series(
     samples: DataFrame, axis: str = "Date", keys: tuple[str, ...] = ("Entity", "Signal", "Unit"),
     max_samples: int = MAX_SAMPLES,
