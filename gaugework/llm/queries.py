@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugework.llm import hilbert_shards, hyperminhash, mixing
-from gaugework.llm.frames import table
+from gaugework.llm import bottom_k, dictionary_warc, hilbert_shards, hyperminhash, language_id, latent_decontamination, mixing
+from gaugework.llm.frames import id_crc, table
 from gaugework.llm.registry import query
-from gaugework.llm.sql import curve_sql, mixing_sql, near_duplicates_sql
+from gaugework.llm.sql import ARCHIVES_SQL, curve_sql, mixing_sql, near_duplicates_sql
 
 
 @query("op1_hilbert_shards", curve_sql())
@@ -16,6 +16,32 @@ def op1_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards.shard(table(spark, sf_dir, "documents"))
 
 
+@query("op2_bottom_k")
+def op2_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bottom_k.fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", "edited_sha256", bottom_k.text_of("sketch").alias("fingerprint"), bottom_k.text_of("edited_sketch").alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = language_id.labelled(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    held = (id_crc("doc_id") % 4 == 2).alias("held_out")
+    return found.select("doc_id", held, F.col("_lang_pred").alias("lang_pred"), F.col("_lang_score").alias("score"))
+
+
+@query("op5_latent_decontamination")
+def op5_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latent_decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_dictionary_warc", ARCHIVES_SQL)
+def op6_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dictionary_warc.archived(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op7_hyperminhash", near_duplicates_sql())
 def op7_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)

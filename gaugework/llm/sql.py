@@ -97,7 +97,7 @@ w AS (SELECT *, {weight} AS w, {share} * sum(n) OVER () AS budget, {most} * n /
 l AS (SELECT *, coalesce(sum({most} * n) OVER o, 0) AS capped, (budget - coalesce(sum({most} * n) OVER o, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER o, 0)) AS level
   FROM w WHERE n > 0 WINDOW o AS (ORDER BY ratio, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 v AS (SELECT first(level ORDER BY ratio, no) FILTER (WHERE level <= ratio) AS least FROM l),
-q AS (SELECT f.source, f.no, f.n, CASE WHEN f.n = 0 THEN 0.0 ELSE least({most} * f.n, v.least * w.w) END::DOUBLE AS target, -(-f.n // {block}) AS blocks FROM f JOIN w USING (no), v),
+q AS (SELECT f.source, f.no, f.n, CASE WHEN f.n = 0 THEN 0.0 ELSE least({most} * f.n, v.least * w.w) END::DOUBLE AS target, (f.n + {block - 1}) // {block} AS blocks FROM f JOIN w USING (no), v),
 b AS (SELECT *, CASE WHEN n > 0 THEN floor(target * blocks / n + 0.5)::BIGINT ELSE 0 END AS slots FROM q),
 j AS (SELECT no, blocks, unnest(range(slots)) AS slot FROM b),
 z0 AS (SELECT no, blocks, (slot // blocks)::VARCHAR AS pass, slot % blocks AS x FROM j),
@@ -108,3 +108,13 @@ x AS (SELECT *, unnest(range((upto - size) // {block}, CASE WHEN size > 0 THEN (
 y AS (SELECT doc_id, no, sum((least(upto, (block_no + 1) * {block}) - greatest(upto - size, block_no * {block})) * coalesce(reads, 0)) AS taken FROM x LEFT JOIN reads USING (no, block_no) GROUP BY 1, 2)
 SELECT i.doc_id, i.size, i.n AS source_size, i.target, coalesce(y.taken, 0)::BIGINT AS taken FROM i LEFT JOIN y ON i.doc_id = y.doc_id AND i.no = y.no
 """
+
+
+ARCHIVES_SQL = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM f
+"""

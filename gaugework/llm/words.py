@@ -1,6 +1,6 @@
 """Words of whole texts as 64-bit hashes, computed over many documents at once in numpy.
 
-A word is a longest run of bytes other than space and tab to carriage return; A-Z count as a-z. Its hash is a polynomial
+A word is a longest run of bytes other than those of `between`, by default space and tab to carriage return; A-Z count as a-z. Its hash is a polynomial
 over its bytes modulo 2^64, taken from prefix sums, and mixed; equal words have equal hashes on every machine.
 """
 
@@ -9,8 +9,11 @@ from __future__ import annotations
 import numpy as np
 
 _U = np.uint64
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+NO_LETTER = np.arange(256) < 128  # ASCII other than letters and digits
+for _a, _b in ((48, 58), (65, 91), (97, 123)):
+    NO_LETTER[_a:_b] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -43,10 +46,10 @@ def prefix_sums(data: np.ndarray, values: np.ndarray) -> np.ndarray:
     return sums
 
 
-def bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def bounds(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First byte of each word, the byte after its last, and the words' offsets by document."""
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = ~_SPACE[data]
+    inside[1:-1] = ~between[data]
     cut = np.zeros(len(data) + 1, bool)
     cut[offsets] = True
     starts = np.flatnonzero(inside[1:] & (cut | ~inside[:-1]) & np.append(inside[1:-1], False))
@@ -54,9 +57,9 @@ def bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """Hash of each word, and the words' offsets by document."""
-    starts, ends, by_doc = bounds(data, offsets)
+    starts, ends, by_doc = bounds(data, offsets, between)
     sums = prefix_sums(data, _FOLDED)
     _, down = powers(len(data))
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), by_doc
