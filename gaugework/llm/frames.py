@@ -97,3 +97,21 @@ def text_runs(column: pa.Array, most: int) -> Iterator[tuple[int, int, np.ndarra
     data, offsets = binary_column(column)
     for a, b in runs(offsets, most):
         yield a, b, data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a]
+
+
+def vector_sums(rows: DataFrame, parts: int = 64) -> DataFrame:
+    """(k, v): the sums of float32 vectors `v` (binary) by key `k`. A task adds as it reads and holds one vector per key."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, v in zip(b.column(0).to_pylist(), b.column(1)):
+                v = np.frombuffer(v.as_buffer(), np.float32)
+                if k in total:
+                    total[k] += v
+                else:
+                    total[k] = v.astype(np.float64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(total), pa.int64()), pa.array([v.astype(np.float32).tobytes() for v in total.values()], pa.binary())], names=["k", "v"],
+        )
+
+    return rows.select(F.col("k").cast("long").alias("k"), "v").repartition(parts, "k").mapInArrow(add, "k long, v binary")

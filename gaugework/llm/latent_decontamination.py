@@ -22,12 +22,11 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.llm.frames import text_runs
+from gaugework.llm.frames import text_runs, vector_sums
 from gaugework.llm.words import NO_LETTER, mix, word_hashes
 
 BITS = 17
@@ -110,13 +109,7 @@ def multiplied(items: DataFrame, idf: np.ndarray, right: np.ndarray | None, take
             [pa.array(list(total), pa.int64()), pa.array([v.astype(np.float32).tobytes() for v in total.values()], pa.binary())], names=["k", "v"],
         )
 
-    def add(group: pd.DataFrame) -> pd.DataFrame:
-        keys, at = np.unique(group["k"].to_numpy(), return_inverse=True)
-        out = np.zeros((len(keys), width), np.float32)
-        np.add.at(out, at, np.frombuffer(b"".join(group["v"]), np.float32).reshape(-1, width))
-        return pd.DataFrame({"k": keys, "v": [v.tobytes() for v in out]})
-
-    sums = items.select("text").mapInArrow(run, "k long, v binary").groupBy(F.expr("k % 64")).applyInPandas(add, "k long, v binary")
+    sums = vector_sums(items.select("text").mapInArrow(run, "k long, v binary"))
     got = sorted((r["k"], r["v"]) for r in sums.collect())
     return np.array([k for k, _ in got], np.int64), np.frombuffer(b"".join(v for _, v in got), np.float32).reshape(-1, width)
 

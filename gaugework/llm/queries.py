@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugework.llm import bottom_k, dictionary_warc, hilbert_shards, hyperminhash, language_id, latent_decontamination, mixing
+from gaugework.llm import bottom_k, dictionary_warc, hilbert_shards, hyperminhash, language_id, latent_decontamination, maxent_lm, mixing
 from gaugework.llm.frames import id_crc, table
 from gaugework.llm.registry import query
 from gaugework.llm.sql import ARCHIVES_SQL, curve_sql, mixing_sql, near_duplicates_sql
@@ -48,6 +48,11 @@ def op7_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query("op9_maxent_lm")
+def op9_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.scored(table(spark, sf_dir, "documents"))
+
+
 @query("op10_mixing", mixing_sql())
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
