@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugework.llm import bottom_k, dictionary_warc, hilbert_shards, hyperminhash, language_id, latent_decontamination, maxent_lm, mixing
+from gaugework.llm import bottom_k, dictionary_warc, hilbert_shards, hyperminhash, language_id, latent_decontamination, maxent_lm, mixing, suffix_dedup, surrogates
 from gaugework.llm.frames import id_crc, table
 from gaugework.llm.registry import query
 from gaugework.llm.sql import ARCHIVES_SQL, curve_sql, mixing_sql, near_duplicates_sql
@@ -24,6 +24,11 @@ def op2_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op4_language_id")
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language_id.labelled(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
@@ -48,6 +53,12 @@ def op7_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+@query("op8_surrogates")
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = surrogates.replaced(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.size("entities").cast("long").alias("n_entities"), "entities", "text")
+
+
 @query("op9_maxent_lm")
 def op9_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent_lm.scored(table(spark, sf_dir, "documents"))
