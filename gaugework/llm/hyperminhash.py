@@ -10,7 +10,8 @@ in different components are compared with each other. Candidates are judged by t
 the full sets.
 
 With 32 bands of 4 registers two sets at the threshold 0.8 share no band in fewer than 5 of 10^8 cases, and the estimate of a
-pair at the threshold falls below `ESTIMATE_FROM` in fewer than 1 of 10^6.
+pair at the threshold falls below `ESTIMATE_FROM` in fewer than 1 of 10^6. What is left to compare after the pivots is cut down by an
+exact bound: of two sets, no more can be common than either shares with any other.
 
 Defined results: a null, empty or blank text has no shingles, is linked with nothing and kept. A text with fewer than
 `size` words has one shingle. Repeated rows get the same result. A null doc_id counts as larger than all others; a component
@@ -27,12 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugework.llm.components import components
-from gaugework.llm.frames import stored, text_runs
+from gaugework.llm.frames import runs, stored, text_runs
 from gaugework.llm.words import distinct_by_doc, mix, shingle_hashes, word_hashes
 
 REGISTERS, PER_BAND, MANTISSA = 128, 4, 10
 BANDS = REGISTERS // PER_BAND
-ESTIMATE_FROM = 0.6
+ESTIMATE_FROM = 0.62
 RUN_BYTES = 1 << 18  # text worked on at once, so that a register's pass stays in the cache
 _U = np.uint64
 _SEEDS = mix(np.arange(1, 2 * REGISTERS + 1, dtype=np.uint64) * _U(0xA0761D6478BD642F))
@@ -42,8 +43,8 @@ _FLIP, _TIMES = _SEEDS[:REGISTERS], _SEEDS[REGISTERS:] | _U(1)
 def compress(least: np.ndarray) -> np.ndarray:
     """64-bit minima to registers: leading zeros above, mantissa below. Larger minima give smaller leading-zero counts."""
     value = least | _U(1)
-    top = np.floor(np.log2(value.astype(np.float64))).astype(np.int64)
-    top -= (value >> top.astype(np.uint64).clip(max=_U(63))) == 0  # rounding to float may reach the next power
+    top = np.floor(np.log2(value.astype(np.float64))).astype(np.int64).clip(max=63)
+    top -= (value >> top.astype(np.uint64)) == 0  # rounding to float may reach the next power
     shifted = value << (63 - top).astype(np.uint64)
     mantissa = (shifted << _U(1)) >> _U(64 - MANTISSA)
     return ((63 - top).astype(np.uint64) << _U(MANTISSA) | mantissa).astype(np.uint16)
@@ -131,8 +132,8 @@ def estimated(pairs: DataFrame, classes: DataFrame, from_: float) -> DataFrame:
     return rows.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a binary, b binary")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of stored `pairs` with 100 * intersection >= percent * union of the full sets."""
+def full_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
+    """(node, members): the whole shingle sets of classes, as packed sorted hashes, from one document of each."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for x, y, data, offsets in text_runs(b.column(1), RUN_BYTES):
@@ -141,6 +142,14 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, p
                     [b.column(0).slice(x, y - x), pa.array([shingles[p:q].tobytes() for p, q in zip(by_doc[:-1], by_doc[1:])], pa.binary())], names=["node", "members"],
                 )
 
+    source = nodes.join(classes, "node").select("node", "source.*")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+    found = texts.join(source, (texts["text_key"] == source["text_key"]) & texts["doc_id"].eqNullSafe(source["doc_id"])).select("node", "text")
+    return stored(found.mapInArrow(sets, "node binary, members binary").dropDuplicates(["node"]), "sets")
+
+
+def verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) with 100 * intersection >= percent * union of the full sets."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
@@ -152,19 +161,36 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, p
                 keep.append(100 * inter >= percent * (len(both) - inter))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    source = wanted.join(classes, "node").select("node", "source.*")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    found = texts.join(source, (texts["text_key"] == source["text_key"]) & texts["doc_id"].eqNullSafe(source["doc_id"])).select("node", "text")
-    full = stored(found.mapInArrow(sets, "node binary, members binary").dropDuplicates(["node"]), "sets")
     side = lambda x: full.select(F.col("node").alias(x), F.col("members").alias(f"s_{x}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "s_a", "s_b").mapInArrow(compare, "a binary, b binary")
 
 
+def shareable(nodes: DataFrame, full: DataFrame) -> DataFrame:
+    """(node, common): how many of its shingles a class shares with any other of `nodes`."""
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x, y in runs(np.concatenate([[0], np.cumsum([len(v) for v in b.column(1).to_pylist()])]), 8 * RUN_BYTES):
+                part = b.column(1).slice(x, y - x).to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k for k, v in zip(b.column(0).slice(x, y - x).to_pylist(), part) for _ in range(len(v) // 8)], pa.binary()), pa.array(np.frombuffer(b"".join(part), np.int64))],
+                    names=["node", "h"],
+                )
+
+    rows = full.join(nodes, "node").select("node", "members").mapInArrow(hashes, "node binary, h long")
+    own = rows.groupBy("h").agg(F.count("*").alias("n"), F.first("node").alias("node")).where("n = 1").groupBy("node").agg(F.count("*").alias("own"))
+    return nodes.join(own, "node", "left").select("node", F.coalesce("own", F.lit(0)).alias("own"))
+
+
 def ordered(a: str, b: str) -> list:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def torn(placed: DataFrame) -> DataFrame:
+    """The rows of buckets that hold different labels."""
+    buckets = placed.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band", "key")
+    return placed.join(buckets, ["band", "key"], "left_semi")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, text_key, n_shingles, component_id, kept) for every row of `docs` (doc_id, text).
 
@@ -177,24 +203,35 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         every.where("n_shingles > 0").groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs"), least.alias("source")), "classes",
     )
     # Bands: 16 hexadecimal digits of the registers are one key.
-    bands = classes.select("node", F.posexplode(F.expr(
+    bands = classes.select("node", "n_shingles", F.posexplode(F.expr(
         f"transform(sequence(0, {BANDS - 1}), i -> substring(regs, 1 + {2 * PER_BAND} * i, {2 * PER_BAND}))",
     )).alias("band", "key"))
-    shared = bands.groupBy("band", "key").agg(F.count("*").alias("n"), F.min_by("node", F.xxhash64("node", "band")).alias("pivot")).where("n > 1")
-    members = stored(bands.join(shared.drop("n"), ["band", "key"]), "members")
-    star = members.where("node <> pivot").select(*ordered("node", "pivot")).distinct()
-    links = stored(verified(stored(estimated(star, classes, ESTIMATE_FROM), "likely"), docs, classes, size, percent), "links")
+    shared = bands.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(bands.join(shared, ["band", "key"]), "members")
+    # The pivot of a bucket is the member that shares most: the middle of a group of near copies.
+    weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    pivots = members.join(weight, "node").groupBy("band", "key").agg(F.max_by("node", F.struct("weight", "node")).alias("pivot"))
+    members = stored(members.drop("n").join(pivots, ["band", "key"]), "pivots").where("node <> pivot")
+    full = full_sets(members.select("node").union(members.select("pivot")).distinct(), docs, classes, size)
+    star = members.select(*ordered("node", "pivot")).distinct()
+    links = stored(verified(estimated(star, classes, ESTIMATE_FROM), full, percent), "links")
     labels = components(links)
 
-    # What the pivots left apart: members of one bucket in different components.
+    # What the pivots left apart: members of one bucket in different components. A class whose shingles occur nowhere else in
+    # such buckets cannot reach the threshold with one as large or larger, which leaves few to compare.
     placed = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    torn = placed.where("node <> pivot").groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band", "key")
-    apart = stored(placed.where("node <> pivot").join(torn, ["band", "key"]).select("band", "key", "node", "label"), "apart")
-    other = apart.select("band", "key", F.col("node").alias("node2"), F.col("label").alias("label2"))
-    crossed = apart.join(other, ["band", "key"]).where("label < label2").select(*ordered("node", "node2")).distinct()
+    apart = stored(torn(placed).select("band", "key", "node", "label", "n_shingles"), "apart")
+    own = shareable(apart.select("node").distinct(), full)
+    bound = apart.join(own, "node").withColumn("common", F.col("n_shingles") - F.col("own"))
+    least = bound.groupBy("band", "key").agg(F.min("n_shingles").alias("least"))
+    able = bound.join(least, ["band", "key"]).where(F.expr(f"{percent} * (n_shingles + least) <= {100 + percent} * common"))
+    able = stored(torn(able).select("band", "key", "node", "label", "n_shingles", "common"), "able")
+    other = able.select("band", "key", *[F.col(c).alias(f"{c}2") for c in ("node", "label", "n_shingles", "common")])
+    may = F.expr(f"label < label2 and {percent} * (n_shingles + n_shingles2) <= {100 + percent} * least(common, common2)")
+    crossed = able.join(other, ["band", "key"]).where(may).select(*ordered("node", "node2")).distinct()
     rest = stored(estimated(crossed, classes, ESTIMATE_FROM), "likely")
     if not rest.isEmpty():
-        labels = components(links.union(verified(rest, docs, classes, size, percent)))
+        labels = components(links.union(verified(rest, full, percent)))
 
     first = classes.select("node", F.col("source.doc_id").alias("id"))
     named = first.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
