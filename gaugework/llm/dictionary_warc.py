@@ -77,7 +77,7 @@ class Archive:
     def __init__(self, folder: str):
         self.path = f"{folder}/{uuid.uuid4().hex}.warc.zst"
         fs, at = pafs.FileSystem.from_uri(self.path if "://" in self.path or self.path.startswith("file:") else f"file://{self.path}")
-        self.file, self.held, self.held_bytes, self.bytes, self.records, self.writer = fs.open_output_stream(at), [], 0, 0, 0, None
+        self.file, self.held, self.held_bytes, self.bytes, self.records, self.writer = fs.open_output_stream(at, compression=None), [], 0, 0, 0, None
 
     def add(self, raw: bytes) -> None:
         self.records += 1
@@ -111,7 +111,7 @@ class Archive:
 def records_of(path: str) -> Iterator[bytes]:
     """The records of an archive, one after the other."""
     fs, at = pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
-    with fs.open_input_stream(at) as file:
+    with fs.open_input_stream(at, compression=None) as file:
         magic, size = struct.unpack("<II", file.read(8))
         if magic != SKIPPABLE:
             raise ValueError(f"{path} has no dictionary frame")
