@@ -169,6 +169,17 @@ def rollup_static(spark, d):
     return done.withColumn("value", F.round("value", 4))
 
 
+@query("e17_rollup_deep", """WITH RECURSIVE e AS (SELECT c_custkey AS child, c_custkey // 2 AS parent FROM customer WHERE c_custkey > 1),
+up AS (SELECT c_custkey AS d, c_custkey AS a FROM customer UNION ALL SELECT up.d, e.parent FROM up JOIN e ON up.a = e.child)
+SELECT CAST(a AS VARCHAR) AS entity, round(sum(c_acctbal), 2) AS value FROM up JOIN customer ON c_custkey = d GROUP BY a""")
+def rollup_deep(spark, d):
+    from catalog.joins import halved
+
+    balance = static_samples(spark, d).where("signal = 'balance'").select("entity", F.col("value_num").alias("value"))
+    done = rollup(balance, halved(spark, d), "entity", [], {"value": F.sum})
+    return done.withColumn("value", F.round("value", 2))
+
+
 @query("e18_range_per_signal", f"SELECT signal, min(date) AS range_start, max(date) AS range_end FROM {TIME_SQL} GROUP BY 1")
 def range_per_signal(spark, d):
     return data_range(time_samples(spark, d), "date", ["signal"])

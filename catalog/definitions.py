@@ -76,9 +76,9 @@ def item_field(spark, d):
     return items(spark, d).select("name", F.get("labels", F.lit(0)).alias("first_label"), F.size("labels").cast("bigint").alias("n_labels"))
 
 
-@query("n4_enumeration_ids", """SELECT doc_id, item, id FROM (SELECT p_partkey AS doc_id, string_split(p_name, ' ') AS l FROM part), LATERAL (SELECT unnest(l) AS item, unnest(generate_series(0, len(l) - 1)) AS id) WHERE l[1] <> l[2]""")
+@query("n4_enumeration_ids", """SELECT doc_id, item, max(id) AS id FROM (SELECT p_partkey AS doc_id, string_split(p_name, ' ') AS l FROM part), LATERAL (SELECT unnest(l) AS item, unnest(generate_series(0, len(l) - 1)) AS id) GROUP BY ALL""")
 def enumeration_ids(spark, d):
-    words = table(spark, d, "part").select(F.col("p_partkey").alias("doc_id"), F.array_distinct(F.split("p_name", " ")).alias("l")).where(F.size("l") > 1)
+    words = table(spark, d, "part").select(F.col("p_partkey").alias("doc_id"), F.split("p_name", " ").alias("l"))
     done = words.select("doc_id", F.explode(defs.enumeration(F.col("l"))).alias("item", "id"))
     return done.withColumn("id", F.col("id").cast("bigint"))
 

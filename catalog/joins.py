@@ -95,9 +95,25 @@ def all_ancestors(spark, d):
     return ancestors(edges(spark, d)).select("descendant", "ancestor", "level")
 
 
+_HALVED = "(SELECT CAST(c_custkey AS VARCHAR) AS child, CAST(c_custkey // 2 AS VARCHAR) AS parent FROM customer WHERE c_custkey > 1)"
+
+
+def halved(spark, d):
+    """A hierarchy as deep as the customers are many: each under the one of half its number."""
+    key = F.col("c_custkey")
+    return table(spark, d, "customer").where("c_custkey > 1").select(key.cast("string").alias("child"), F.expr("cast(c_custkey div 2 as string)").alias("parent"))
+
+
+@query("d7_ancestors_deep", f"""WITH RECURSIVE e AS {_HALVED},
+up AS (SELECT child AS d, parent AS a, 1 AS level FROM e UNION ALL SELECT up.d, e.parent, up.level + 1 FROM up JOIN e ON up.a = e.child)
+SELECT d AS descendant, a AS ancestor, level FROM up""")
+def deep_ancestors(spark, d):
+    return ancestors(halved(spark, d)).select("descendant", "ancestor", "level")
+
+
 @query("d8_merged_columns", f"""SELECT entity, date_trunc('hour', date) AS hour, max(value_num) FILTER (signal = 'view') AS view,
 max(value_num) FILTER (signal = 'click') AS click, max(value_num) FILTER (signal = 'purchase') AS purchase
 FROM {TIME_SQL} WHERE signal IN ('view', 'click', 'purchase') GROUP BY ALL""")
 def merged_columns(spark, d):
     hourly = time_samples(spark, d).withColumn("hour", time_bucket(F.col("date"), "Hourly"))
-    return pivot_signals(hourly, ["entity", "hour"], {s: ("value_num", s) for s in ("view", "click", "purchase")})
+    return pivot_signals(hourly, ["entity", "hour"], {s: ("value_num", s) for s in ("view", "click", "purchase")}, strict=False)

@@ -106,6 +106,15 @@ def upsert_stored(spark, d):
     return store.load("orders", columns=["Price"], all_columns=False)
 
 
+@query("j6_upsert_repeated_keys", f"""SELECT "Entity", "Time", "Key" AS "Key [ ]", CASE WHEN "Status" = 'O' THEN "Price" + 2 ELSE "Price" END AS "Price [usd]" FROM {ORDERS_SQL}""")
+def upsert_repeated(spark, d):
+    store = _store(spark, d, "j6r")
+    open_rows = order_table(spark, d).where("Status = 'O'")
+    twice = open_rows.withColumn("turn", F.explode(F.array(F.lit(1), F.lit(2)))).withColumn("Price [usd]", F.col("`Price [usd]`") + F.col("turn"))
+    store.save("orders", twice, order="turn")
+    return store.load("orders", columns=["Price"], all_columns=False)
+
+
 @query("j6_skip_stored", f"""SELECT "Entity", "Time", "Key" AS "Key [ ]", "Price" AS "Price [usd]" FROM {ORDERS_SQL}""")
 def skip_stored(spark, d):
     store = _store(spark, d, "j6s")

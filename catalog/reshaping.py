@@ -27,7 +27,7 @@ def pivot_time(spark, d):
 @query("i1_pivot_depth", f"""SELECT entity AS "Entity", depth AS "Depth", max(value_num) AS "price [usd]" FROM {DEPTH_SQL} GROUP BY 1, 2""")
 def pivot_depth(spark, d):
     rows = depth_samples(spark, d).withColumnsRenamed({"entity": "Entity", "depth": "Depth"})
-    return reshape.pivot_signals(rows, ["Entity", "Depth"], {"price": ("value_num", "price [usd]")})
+    return reshape.pivot_signals(rows, ["Entity", "Depth"], {"price": ("value_num", "price [usd]")}, strict=False)
 
 
 @query("i1_pivot_static", """SELECT CAST(c_custkey AS VARCHAR) AS "Entity", c_acctbal AS "balance [usd]", c_mktsegment AS "segment [ ]" FROM customer""")

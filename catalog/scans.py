@@ -126,7 +126,7 @@ def _records(spark, d):
         F.col("entity").alias("Entity"), F.col("signal").alias("Signal"), F.lit("usd").alias("Unit"),
         F.col("date").alias("Date"), F.col("value_num").alias("Value"),
     )
-    return nest_series(rows, max_samples=1000)
+    return nest_series(rows)
 
 
 @query("a8_flatten_series", f"""SELECT entity AS "Entity", signal AS "Signal", 'usd' AS "Unit", date AS "Date", value_num AS "Value" FROM {TIME_SQL}""")

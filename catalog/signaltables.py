@@ -133,7 +133,7 @@ def save_table(spark, d):
 
 @query("l3_save_wide_table", """SELECT e AS entity, s AS signal, d AS date, v AS value_num FROM (
 SELECT 'A' AS e, 'purchase' AS s, o_orderdate AS d, o_totalprice AS v FROM orders UNION ALL SELECT 'B', 'view', o_orderdate, o_totalprice * 2 FROM orders
-UNION ALL SELECT 'A', 'view', o_orderdate, CAST('NaN' AS DOUBLE) FROM orders UNION ALL SELECT 'B', 'purchase', o_orderdate, CAST('NaN' AS DOUBLE) FROM orders)""")
+UNION ALL SELECT 'A', 'view', o_orderdate, CAST(NULL AS DOUBLE) FROM orders UNION ALL SELECT 'B', 'purchase', o_orderdate, CAST(NULL AS DOUBLE) FROM orders)""")
 def save_wide(spark, d):
     wide = table(spark, d, "orders").select(F.col("o_orderdate").alias("Date"), F.col("o_totalprice").alias("A : purchase"), (F.col("o_totalprice") * 2).alias("B : view"))
     return table_to_samples(wide, signals(spark)).select("entity", "signal", "date", "value_num")

@@ -76,33 +76,46 @@ def signal_attributes(signals: DataFrame, units: DataFrame) -> DataFrame:
     return signals.select("name", "type", "measurement", F.col("unit").alias("storage_unit")).join(u, "measurement")
 
 
+def last_wins(entries: Column) -> Column:
+    """An array of (key, value) entries as a map in which the last entry of a key counts."""
+    def is_last(entry: Column, at: Column) -> Column:
+        later = F.slice(entries, at + 2, F.size(entries))
+        return ~F.exists(later, lambda other: other["key"] == entry["key"])
+
+    return F.map_from_entries(F.filter(entries, is_last))
+
+
 def enumeration(values: Column) -> Column:
-    """A list of labels -> label to running id."""
-    return F.map_from_arrays(values, F.sequence(F.lit(0), F.size(values) - 1))
+    """A list of labels -> label to running id, the last place of a repeated label."""
+    return last_wins(F.transform(values, lambda v, i: F.struct(v.alias("key"), i.alias("value"))))
+
+
+def _running_ids(labels: tuple) -> dict[str, int]:
+    """Label to id: a label's own id where it comes as (label, id), else one more than the one before."""
+    ids, following = {}, 0
+    for entry in labels:
+        label, *own = entry if isinstance(entry, (tuple, list)) else (entry,)
+        ids[str(label)] = int(own[0]) if own else following
+        following = ids[str(label)] + 1
+    return ids
+
+
+# What each kind of Python value fills in; the first that fits counts.
+_FILLED = (
+    (str, lambda v, unit: {"value_type": "String", "str": v}),
+    ((int, float), lambda v, unit: {"value_type": "NumericWithUnit" if unit else "Numeric", "num": float(v), "unit": unit or None}),
+    (dict, lambda v, unit: {"value_type": "Dictionary", "dict": dict(zip(map(str, v), map(str, v.values())))}),
+    (tuple, lambda v, unit: {"value_type": "Enumeration", "enum": _running_ids(v)}),
+    (list, lambda v, unit: {"value_type": "List", "list": list(map(str, v))}),
+)
 
 
 def parameter(name: str, value: Any, unit: str = "", description: str = "") -> dict[str, Any]:
     """One parameter row; the type follows from the Python value."""
-    row: dict[str, Any] = {f.name: None for f in PARAMETER_SCHEMA}
-    row.update(name=name, description=description)
-    if isinstance(value, list):
-        row.update(value_type="List", list=[str(v) for v in value])
-    elif isinstance(value, dict):
-        row.update(value_type="Dictionary", dict={str(k): str(v) for k, v in value.items()})
-    elif isinstance(value, tuple):
-        ids: dict[str, int] = {}
-        last = -1
-        for v in value:
-            label, last = (v[0], int(v[1])) if isinstance(v, (tuple, list)) and len(v) > 1 else (v, last + 1)
-            ids[str(label)] = last
-        row.update(value_type="Enumeration", enum=ids)
-    elif isinstance(value, str):
-        row.update(value_type="String", str=value)
-    elif isinstance(value, (int, float)):
-        row.update(value_type="NumericWithUnit" if unit else "Numeric", num=float(value), unit=unit or None)
-    else:
+    filled = next((fill for kind, fill in _FILLED if isinstance(value, kind)), None)
+    if filled is None:
         raise TypeError(f"no parameter type for {type(value).__name__}")
-    return row
+    return dict.fromkeys(PARAMETER_SCHEMA.names) | {"name": name, "description": description} | filled(value, unit)
 
 
 def parameter_text(parameters: DataFrame) -> DataFrame:
@@ -120,13 +133,15 @@ def parameter_text(parameters: DataFrame) -> DataFrame:
 
 
 def pairs_to_map(df: DataFrame, by: list[str], columns: list[str], row_id: str) -> DataFrame:
-    """A pair list per group as one map: keyed by the first column, or by position when there is only one.
+    """A pair list per group as one map: keyed by the first column, the last of repeated keys in order of ``row_id``
+    counting, or by position when there is only one.
 
     The map is one cell, so the groups must be small lists (the attributes of one definition).
     """
     if len(columns) > 1:
-        entry = F.struct(F.col(columns[0]).cast("string"), F.col(columns[1]).cast("string"))
-        return df.groupBy(*by).agg(F.map_from_entries(F.collect_list(entry)).alias("pairs"))
+        key, value = (F.col(c).cast("string") for c in columns[:2])
+        last = df.groupBy(*by, key.alias("key")).agg(F.max_by(value, row_id).alias("value"))
+        return last.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("key", "value"))).alias("pairs"))
     values = F.array_sort(F.collect_list(F.struct(F.col(row_id).alias("i"), F.col(columns[0]).cast("string").alias("v"))))
     positions = F.transform(F.sequence(F.lit(0), F.size("l") - 1), lambda i: i.cast("string"))
     return df.groupBy(*by).agg(values.alias("l")).select(*by, F.map_from_arrays(positions, F.col("l.v")).alias("pairs"))

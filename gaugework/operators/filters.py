@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import date, datetime
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugework.functions.vocabulary import canonical
@@ -38,14 +40,21 @@ def find_signal(signals: DataFrame, name: str) -> DataFrame:
     return signals.where((F.col("name") == name) | (F.col("short_name") == name))
 
 
+def bound(value) -> Column:
+    """A bound as a constant. Dates and times are wall-clock times: no zone, of client or session, moves them."""
+    if isinstance(value, (datetime, date)):
+        return F.lit(value.isoformat()).cast("timestamp_ntz")
+    return F.lit(value)
+
+
 def in_range(samples: DataFrame, axis: str, start=None, end=None) -> DataFrame:
     """Inclusive range, either side open; equal ends are one point."""
     if start is not None and end is not None and start == end:
-        return samples.where(F.col(axis) == F.lit(start))
+        return samples.where(F.col(axis) == bound(start))
     if start is not None:
-        samples = samples.where(F.col(axis) >= F.lit(start))
+        samples = samples.where(F.col(axis) >= bound(start))
     if end is not None:
-        samples = samples.where(F.col(axis) <= F.lit(end))
+        samples = samples.where(F.col(axis) <= bound(end))
     return samples
 
 
@@ -83,8 +92,8 @@ def item_labels(items: DataFrame) -> DataFrame:
 
 
 def item_page(items: DataFrame, page: int, page_size: int) -> DataFrame:
-    """Page from 1, in name order."""
-    return items.orderBy("name").offset((page - 1) * page_size).limit(page_size)
+    """Page from 1, in order of name and then type."""
+    return items.orderBy("name", "type").offset((page - 1) * page_size).limit(page_size)
 
 
 def parameters_of_type(parameters: DataFrame, value_type: str) -> DataFrame:

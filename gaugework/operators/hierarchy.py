@@ -10,45 +10,42 @@ from pyspark.sql import functions as F
 from gaugework.operators.joins import lookup
 from gaugework.session import kept
 
-# Parents of parents are found by doubling: k joins reach 2^k levels above the first.
-DOUBLINGS = 2
-
-
 def edges_from_map(df: DataFrame, relation: str) -> DataFrame:
     """A child -> parent map column as edge rows."""
     return df.select(F.explode(relation).alias("child", "parent"))
 
 
-def paths(edges: DataFrame, doublings: int = DOUBLINGS) -> DataFrame:
+def paths(edges: DataFrame) -> DataFrame:
     """(node, path): every node that has a parent, with its ancestors from the parent upwards.
 
     Only nodes that are themselves parents matter above the first level. Their paths are built on those
-    few nodes, twice as long with each join, and the many leaf edges are joined to them once. A path
-    longer than the doublings reach (a cycle, or a deeper hierarchy) raises instead of being cut.
+    few nodes and double with each join until none grows, whatever the depth; the many leaf edges are joined
+    to them once. A cycle raises: a path that meets its own node, or is longer than there are inner nodes.
     """
     known = edges.where("parent IS NOT NULL").select("child", "parent")
     parents = known.select("parent").distinct()
     none = F.array().cast("array<string>")
-    inner = kept(known.join(parents.withColumnRenamed("parent", "child"), "child", "left_semi"))
-    above = inner.select(F.col("child").alias("node"), F.array("parent").alias("path"))
-    for _ in range(doublings):
+    inner = known.join(parents.withColumnRenamed("parent", "child"), "child", "left_semi")
+    above = kept(inner.select(F.col("child").alias("node"), F.array("parent").alias("path")))
+    nodes, reach = above.count(), 1
+    while True:
+        if above.where(F.array_contains("path", F.col("node")) | (F.size("path") > nodes)).limit(1).count():
+            raise ValueError("the hierarchy has a cycle")
+        if above.where(F.size("path") >= reach).limit(1).count() == 0:
+            break
         higher = above.select(F.col("node").alias("top"), F.col("path").alias("more"))
-        above = above.join(higher, F.element_at("path", -1) == F.col("top"), "left").select(
+        above = kept(above.join(higher, F.element_at("path", -1) == F.col("top"), "left").select(
             "node", F.concat("path", F.coalesce("more", none)).alias("path")
-        )
-    reach = 2**doublings
-    whole = F.when(F.size("path") < reach, F.col("path")).otherwise(
-        F.raise_error(F.lit(f"hierarchy exceeds {reach} levels or has a cycle, raise doublings")).cast("array<string>")
-    )
-    above = kept(above.select("node", whole.alias("path")))
+        ))
+        reach *= 2
     return lookup(known, above, [("parent", "node")]).select(
         F.col("child").alias("node"), F.concat(F.array("parent"), F.coalesce("path", none)).alias("path")
     )
 
 
-def ancestors(edges: DataFrame, doublings: int = DOUBLINGS) -> DataFrame:
+def ancestors(edges: DataFrame) -> DataFrame:
     """(descendant, ancestor, level) for every strict ancestor, level 1 being the parent."""
-    return paths(edges, doublings).select(
+    return paths(edges).select(
         F.col("node").alias("descendant"), F.posexplode("path").alias("level", "ancestor")
     ).withColumn("level", F.col("level") + 1)
 
@@ -75,14 +72,14 @@ def rolled(value: Column, aggregate: Callable[[Column], Column]) -> Column:
 
 def rollup(
     values: DataFrame, edges: DataFrame, entity: str, keys: list[str],
-    aggregates: dict[str, Callable[[Column], Column]], doublings: int = DOUBLINGS,
+    aggregates: dict[str, Callable[[Column], Column]],
 ) -> DataFrame:
     """Each entity's columns aggregated over its own row and all rows below it, in one grouping.
 
     Aggregates combine before the shuffle, so an entity with very many descendants is not gathered.
     """
     cells = [rolled(F.col(f"`{c}`"), how).alias(c) for c, how in aggregates.items()]
-    return pool(values, kept(paths(edges, doublings)), entity).groupBy(entity, *keys).agg(*cells)
+    return pool(values, paths(edges), entity).groupBy(entity, *keys).agg(*cells)
 
 
 def merge_hierarchies(parts: list[DataFrame]) -> DataFrame:

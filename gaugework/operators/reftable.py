@@ -150,7 +150,7 @@ def entity_condition(c: Column, entities: list[str | None]) -> Column:
     """Listed entities; None stands for rows without one."""
     named = [e for e in entities if e is not None]
     parts = ([c.isin(named)] if named else []) + ([c.isNull()] if None in entities else [])
-    return reduce(lambda a, b: a | b, parts)
+    return reduce(lambda a, b: a | b, parts, F.lit(False))
 
 
 def load_rows(
@@ -196,10 +196,11 @@ def load_rows(
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str], skip_existing: bool = False) -> DataFrame:
     """New rows replace those of the same key, or are dropped when existing ones are to be kept.
 
-    A small batch is broadcast, so the existing rows are not shuffled for it.
+    A small batch is broadcast either way, so the existing rows are not shuffled for it.
     """
     if skip_existing:
-        return existing.unionByName(new.join(existing, null_safe(new, existing, keys), "left_anti"))
+        present = lookup(existing.select(*map(col, keys)), new.select(*map(col, keys)), keys, "left_semi", null_safe=True).distinct()
+        return existing.unionByName(lookup(new, present, keys, "left_anti", null_safe=True))
     return lookup(existing, new.select(*map(col, keys)), keys, "left_anti", null_safe=True).unionByName(new)
 
 

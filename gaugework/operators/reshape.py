@@ -10,8 +10,6 @@ from gaugework.functions.casts import type_name
 from gaugework.functions.names import col, header, split_entity_header, split_header
 from gaugework.functions.vocabulary import ALIAS, DATE, DEPTH, ENTITY, OPPORTUNITY, TIME, TYPE
 
-# Widest table a pivot over entities may produce when the entities are not named by the caller.
-MAX_ENTITIES = 2_000
 # Types of the headers with a fixed meaning.
 KNOWN_TYPES = {DATE: "time", TIME: "time", ENTITY: "string", ALIAS: "string", TYPE: "string", OPPORTUNITY: "bool"}
 TAB_TYPES = {ENTITY: "string", ALIAS: "string", DATE: "time", DEPTH: "numeric"}
@@ -22,12 +20,12 @@ def pivot_signals(
     index: list[str],
     columns: dict[str, tuple[str, str]],
     signal: str = "signal",
-    strict: bool = False,
+    strict: bool = True,
 ) -> DataFrame:
     """One column per signal in a single grouping.
 
-    ``columns`` maps each signal to (value column, output header). Strict mode raises when a signal has
-    two rows for one index.
+    ``columns`` maps each signal to (value column, output header). Two rows of a signal for one index
+    raise; without ``strict`` the largest value is kept.
     """
     cells = []
     for name, (value, head) in columns.items():
@@ -71,12 +69,9 @@ def wide_to_long(df: DataFrame) -> DataFrame:
     return long.na.drop("all", subset=[f"`{n}`" for n in names])
 
 
-def entities_in(df: DataFrame, limit: int = MAX_ENTITIES) -> list[str]:
-    """Entities for column headers; a table wider than the limit is refused."""
-    found = [r[0] for r in df.select(col(ENTITY)).distinct().where(col(ENTITY).isNotNull()).limit(limit + 1).collect()]
-    if len(found) > limit:
-        raise ValueError(f"more than {limit} entities cannot become columns, name the wanted ones")
-    return sorted(found)
+def entities_in(df: DataFrame) -> list[str]:
+    """Entities for column headers: as many names as the result has columns."""
+    return sorted(r[0] for r in df.select(col(ENTITY)).distinct().where(col(ENTITY).isNotNull()).collect())
 
 
 def long_to_wide(

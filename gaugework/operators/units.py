@@ -68,16 +68,21 @@ def converted(value: Column, scale: float, shift: float) -> Column:
 def convert_rows(
     df: DataFrame, units: DataFrame, value: str, source: str, target: str, out: str | None = None
 ) -> DataFrame:
-    """Convert row by row when units differ per row; null, blank and equal units pass through."""
-    s = units.select(F.col("name"), F.col("factor").alias("__sf"), F.col("summand").alias("__ss"))
-    t = units.select(F.col("name"), F.col("factor").alias("__tf"), F.col("summand").alias("__ts"))
+    """Convert row by row when units differ per row; null, blank and equal units pass through.
+
+    An unknown unit, or one of another measurement, raises as :func:`conversion` does.
+    """
+    s = units.select(F.col("name"), F.col("factor").alias("__sf"), F.col("summand").alias("__ss"), F.col("measurement").alias("__sm"))
+    t = units.select(F.col("name"), F.col("factor").alias("__tf"), F.col("summand").alias("__ts"), F.col("measurement").alias("__tm"))
     src, tgt = F.col("__src"), F.col("__tgt")
     spelled_rows = df.withColumns({"__src": spelled_column(F.col(source)), "__tgt": spelled_column(F.col(target))})
     same = src.isNull() | tgt.isNull() | (F.trim(src) == "") | (F.trim(tgt) == "") | (src == tgt)
     changed = (F.col(value) * F.col("__sf") + F.col("__ss") - F.col("__ts")) / F.col("__tf")
     known = lookup(lookup(spelled_rows, s, [("__src", "name")]), t, [("__tgt", "name")])
-    return known.withColumn(out or value, F.when(same, F.col(value)).otherwise(changed)).drop(
-        "__src", "__tgt", "__sf", "__ss", "__tf", "__ts"
+    wrong = F.concat(F.lit("cannot convert '"), src, F.lit("' to '"), tgt, F.lit("'"))
+    checked = F.when(F.col("__sm") == F.col("__tm"), changed).otherwise(F.raise_error(wrong).cast("double"))
+    return known.withColumn(out or value, F.when(same, F.col(value)).otherwise(checked)).drop(
+        "__src", "__tgt", "__sf", "__ss", "__sm", "__tf", "__ts", "__tm"
     )
 
 

@@ -135,7 +135,7 @@ def train(
     target = label
     if kind in _CLASSES:
         target = "__label"
-        stages.append(StringIndexer(inputCol=label, outputCol=target, stringOrderType="alphabetAsc", handleInvalid="keep"))
+        stages.append(StringIndexer(inputCol=label, outputCol=target, stringOrderType="alphabetAsc", handleInvalid="error"))
     if kind == "NaiveBayesCategorical":
         indexed, hot = [f"__i{i}" for i in range(len(features))], [f"__h{i}" for i in range(len(features))]
         stages += [
@@ -144,7 +144,8 @@ def train(
             VectorAssembler(inputCols=hot, outputCol="__features"),
         ]
     else:
-        labelled = stages[0].fit(rows).transform(rows) if stages else rows
+        supervised = stages and canonical("normalisation", normalisation) == "SupervisedBinning"
+        labelled = stages[0].fit(rows).transform(rows) if supervised else rows
         stages += normaliser(normalisation, features, "__features", labelled, target, by_class=kind in _CLASSES)
     model: Estimator = (known[trainer] if trainer else next(iter(known.values())))()
     model.setFeaturesCol("__features")

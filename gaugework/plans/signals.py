@@ -78,6 +78,8 @@ def resolve_signals(wanted: list, signals: DataFrame, units: DataFrame) -> list[
     for name, unit in asked:
         r = by_name[name]
         kind = canonical("signal type", r["type"])
+        if kind not in AXIS_OF_TYPE:
+            continue  # PVT signals have no place in a table
         axis = AXIS_OF_TYPE[kind]
         specs.append(
             SignalSpec(
@@ -223,7 +225,7 @@ def load_signals(
     context: Context,
     scenario: str | None = None,
     depth_unit: str | None = None,
-    strict: bool = False,
+    strict: bool = True,
 ) -> DataFrame:
     """Wanted signals as one table: Entity, Date, Depth, then one ``name [unit]`` column per signal.
 
@@ -299,7 +301,7 @@ def load_data(
         pooled = pool(table, kept(paths(hierarchy)), "entity")
         table = aggregate(pooled, ["entity", "signal", "bucket"], value, how, "bucket", out=value)
     if gap_value is not None and axis == "time":
-        ends = [F.lit(e).cast("timestamp_ntz") if e is not None else None for e in (start, end)]
+        ends = [filters.bound(e).cast("timestamp_ntz") if e is not None else None for e in (start, end)]
         table = fill_grid(table, keys, "bucket", value, step, gap_value, *ends)
     if axis == "depth":
         table = table.withColumn("bucket", depth_of_bucket(F.col("bucket"), step))
@@ -367,6 +369,8 @@ def table_to_samples(
         if signal not in known:
             continue
         kind = canonical("signal type", known[signal]["type"])
+        if kind not in AXIS_OF_TYPE:
+            continue
         axes.add(AXIS_OF_TYPE[kind])
         text = kind in TEXT_TYPES.values()
         numeric = isinstance(long.schema[c].dataType, T.StringType)
@@ -376,7 +380,7 @@ def table_to_samples(
                 F.lit(signal).alias("signal"),
                 F.lit(unit or known[signal]["unit"]).alias("unit"),
                 F.lit(kind).alias("signal_type"),
-                (F.lit(None).cast("double") if text else F.coalesce(number, F.lit(float("nan")))).alias("value_num"),
+                (F.lit(None).cast("double") if text else F.nullif(number, F.lit(float("nan")))).alias("value_num"),
                 (F.coalesce(col(c).cast("string"), F.lit("")) if text else F.lit(None).cast("string")).alias("value_str"),
             )
         )

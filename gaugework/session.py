@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -18,7 +19,6 @@ DEFAULTS = {
     # Split a skewed join even where a grouping on the same key follows.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.session.timeZone": "UTC",
 }
 
 
@@ -27,6 +27,7 @@ def local_session(cpus: int | str = "*", app: str = "gaugework", **conf: str) ->
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     settings = {
         **DEFAULTS,
+        "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
         "spark.driver.memory": "8g",
@@ -53,14 +54,17 @@ _LOCAL_FOLDER: list[str] = []
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only when the session does not name one (a local test) is a temporary folder made.
+    Only where the session does not name one and runs locally (a test) is a temporary folder made. What lies in the folder is
+    the cluster's to clear, as with any checkpoint directory.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if folder:
         return folder.rstrip("/")
-    if not _LOCAL_FOLDER:
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if not _LOCAL_FOLDER or not os.path.isdir(_LOCAL_FOLDER[-1]):
         _LOCAL_FOLDER.append(tempfile.mkdtemp(prefix="gaugework-"))
-    return _LOCAL_FOLDER[0]
+    return _LOCAL_FOLDER[-1]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gaugework.operators.filters import bound as wall_clock
 from gaugework.operators.joins import lookup
 from gaugework.operators.reftable import upsert
-from gaugework.session import literal_table
+from gaugework.session import literal_table, new_folder
 
 MONTH = "yyyy-MM"
 
@@ -18,11 +19,26 @@ def months(start=None, end=None, column: str = "month") -> Column:
     condition = F.lit(True)
     for bound, is_start in ((start, True), (end, False)):
         if bound is not None:
-            month = F.date_format(F.lit(bound).cast("timestamp_ntz"), MONTH)
+            month = F.date_format(wall_clock(bound).cast("timestamp_ntz"), MONTH)
             condition = condition & (F.col(column) >= month if is_start else F.col(column) <= month)
     return condition
 
 
+def one_per_key(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows, or an error where two of them share a key; keys may be null. The counts combine before the shuffle."""
+    value = F.struct(*[F.col(f"`{c}`") for c in rows.columns if c not in keys] or [F.lit(1).alias("one")])
+    repeated = F.raise_error(F.lit("rows share a key; name the order that picks one")).cast(rows.select(value.alias("v")).schema["v"].dataType)
+    only = F.when(F.count(F.lit(1)) > 1, repeated).otherwise(F.first(value)).alias("__row")
+    reduced = rows.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(only)
+    return reduced.select(*[F.col(f"`{c}`") if c in keys else F.col(f"__row.`{c}`") for c in rows.columns])
+
+
+def stored_once(rows: DataFrame) -> DataFrame:
+    folder = new_folder(rows.sparkSession, "batch")
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 class PartitionedTable:
     """Rows under one path, split into directories by a few low-cardinality columns.
 
@@ -74,7 +90,11 @@ class PartitionedTable:
         return lookup(stored, exact, self.partitions, "left_semi", null_safe=True)
 
     def save(self, new: DataFrame, keys: list[str], skip_existing: bool = False) -> None:
-        """Upsert, or only add the rows whose key is not stored yet; ``new`` has one row per key."""
+        """Upsert, or only add the rows whose key is not stored yet. Repeated keys within ``new`` raise.
+
+        ``new`` is computed once, into the shared folder, and used from there.
+        """
+        new = stored_once(one_per_key(new, keys))
         if not self.exists():
             self._write(new)
             return

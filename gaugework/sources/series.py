@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.operators.aggregate import hot_groups, join_null_safe
 from gaugework.operators.joins import lookup
 from gaugework.sources.files import TIME_TEXT
 
-# A record holds about this many samples at most; longer series are spread over several records.
-MAX_SAMPLES = 5_000_000
-
 
 def flatten_series(records: DataFrame, keep: tuple[str, ...] = ("Entity", "Signal", "Unit")) -> DataFrame:
     """Nested records -> one row per sample; static records carry their one value already."""
@@ -33,26 +29,21 @@ def records_to_json(records: DataFrame, column: str = "value") -> DataFrame:
 
 
 def nest_series(
-    samples: DataFrame, axis: str = "Date", keys: tuple[str, ...] = ("Entity", "Signal", "Unit"),
-    max_samples: int = MAX_SAMPLES,
+    samples: DataFrame, axis: str = "Date", keys: tuple[str, ...] = ("Entity", "Signal", "Unit"), part: Column | None = None,
 ) -> DataFrame:
-    """Rows (keys, axis, Value) -> records with Data ordered along the axis.
+    """Rows (keys, axis, Value) -> records with Data ordered along the axis: one per series.
 
-    A series of more than about ``max_samples`` becomes several records, so no task holds it whole;
-    reading the records back with :func:`flatten_series` gives the same rows.
+    A record is one cell. Where series are too long for that, ``part`` names a bucket of the axis, such as
+    the month; a series then has one record per bucket, which comes as a column ``Part``. How a series is
+    cut never depends on its size.
     """
-    hot = hot_groups(samples, list(keys), max_samples)
-    if hot is None:
-        parts = samples.withColumn("__part", F.lit(0))
-    else:
-        spread = hot.select(*keys, F.ceil(F.col("n_rows") / max_samples).alias("__parts"))
-        part = F.pmod(F.xxhash64(axis, "Value"), F.coalesce("__parts", F.lit(1)))
-        parts = join_null_safe(samples, F.broadcast(spread), list(keys), "left").withColumn("__part", part)
-    data = F.array_sort(F.collect_list(F.struct(axis, "Value")))
-    return parts.groupBy(*keys, "__part").agg(data.alias("Data")).drop("__part")
-
-
-def nest_by_type(samples: DataFrame, types: DataFrame, axis: str = "Date", max_samples: int = MAX_SAMPLES) -> DataFrame:
+    data = F.array_sort(F.collect_list(F.struct(axis, "Value"))).alias("Data")
+    if part is None:
+        return samples.groupBy(*keys).agg(data)
+    return samples.withColumn("Part", part).groupBy(*keys, "Part").agg(data)
+
+
+def nest_by_type(samples: DataFrame, types: DataFrame, axis: str = "Date", part: Column | None = None) -> DataFrame:
     """As :func:`nest_series`, each record with its signal type for a save per type."""
     typed = lookup(samples, types.select("name", F.col("type").alias("SignalType")), [("Signal", "name")], "inner")
-    return nest_series(typed, axis, ("Entity", "Signal", "Unit", "SignalType"), max_samples)
+    return nest_series(typed, axis, ("Entity", "Signal", "Unit", "SignalType"), part)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugework.functions.vocabulary import canonical
+from gaugework.operators.filters import bound
 from gaugework.operators.joins import lookup
 from gaugework.sources.logs import activity_log, append_logs
 from gaugework.sources.partitioned import MONTH, PartitionedTable, months
@@ -92,9 +93,9 @@ class SignalStore:
 def range_condition(df: DataFrame, axis: str | None, start=None, end=None) -> Column:
     condition = F.lit(True)
     if axis and start is not None:
-        condition = condition & (F.col(axis) >= F.lit(start).cast(df.schema[axis].dataType))
+        condition = condition & (F.col(axis) >= bound(start).cast(df.schema[axis].dataType))
     if axis and end is not None:
-        condition = condition & (F.col(axis) <= F.lit(end).cast(df.schema[axis].dataType))
+        condition = condition & (F.col(axis) <= bound(end).cast(df.schema[axis].dataType))
     return condition
 
 

@@ -169,7 +169,7 @@ def test_table_to_samples(spark, signals):
     ids = literal_table(spark, [("w1", "W1")], "old string, new string")
     got = table_to_samples(df, signals, None, ids, known, "well", "row").collect()
     by = {(r["signal"], r["value_str"], str(r["value_num"])) for r in got}
-    assert by == {("static numeric signal", None, "nan"), ("static string signal", "y", "None"), ("time numeric signal", None, "nan"), ("time numeric signal", None, "7.0")}
+    assert by == {("static numeric signal", None, "None"), ("static string signal", "y", "None"), ("time numeric signal", None, "None"), ("time numeric signal", None, "7.0")}
     assert {r["entity"] for r in got} == {"W1"}
 
 

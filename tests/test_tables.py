@@ -28,9 +28,15 @@ def rows_of(df, *columns):
 
 
 # --- reshaping -------------------------------------------------------------------------------------
+def test_pivot_raises_on_duplicates_by_default(spark):
+    df = literal_table(spark, [("e", "s", 1.0), ("e", "s", 2.0)], "Entity string, signal string, v double")
+    with pytest.raises(Exception, match="duplicate rows"):
+        reshape.pivot_signals(df, ["Entity"], {"s": ("v", "s")}).collect()
+
+
 def test_pivot_strict_raises_on_duplicates(spark):
     df = literal_table(spark, [("w", "s", 1.0), ("w", "s", 2.0)], "Entity string, signal string, v double")
-    assert reshape.pivot_signals(df, ["Entity"], {"s": ("v", "s")}).head()["s"] == 2.0
+    assert reshape.pivot_signals(df, ["Entity"], {"s": ("v", "s")}, strict=False).head()["s"] == 2.0
     with pytest.raises(Exception, match="duplicate rows for signal s"):
         reshape.pivot_signals(df, ["Entity"], {"s": ("v", "s")}, strict=True).collect()
 
@@ -56,8 +62,8 @@ def test_long_to_wide_by_row_and_limit(spark):
     long = literal_table(spark, [(0, "A", 1, 1.0), (1, "B", 1, 2.0)], "row int, Entity string, Date int, v double")
     assert reshape.long_to_wide(long.drop("row")).count() == 1
     assert reshape.long_to_wide(long, row_id="row").count() == 2
-    with pytest.raises(ValueError, match="more than 1 entities"):
-        reshape.entities_in(long, limit=1)
+    many = literal_table(spark, [(f"e{i}", 1, float(i)) for i in range(2100)], "Entity string, Date int, v double")
+    assert len(reshape.entities_in(many)) == 2100
 
 
 def test_tab_lines_short_and_long(spark):
@@ -217,8 +223,8 @@ def test_scan_prunes_directories(spark):
 def test_series_are_split_and_joined_again(spark):
     rows = [("w" if i % 4 else "v", "s", None, START + timedelta(minutes=i), float(i)) for i in range(1000)]
     df = literal_table(spark, rows, "Entity string, Signal string, Unit string, Date timestamp_ntz, Value double")
-    for limit, n in ((10_000, {1}), (100, {8, 3})):
-        nested = series.nest_series(df, max_samples=limit)
+    for part, n in ((None, {1}), (F.date_trunc("hour", "Date"), {17})):
+        nested = series.nest_series(df, part=part)
         assert {r["count"] for r in nested.groupBy("Entity").count().collect()} == n
         assert all(list(r["Data"]) == sorted(r["Data"]) for r in nested.collect())
         assert rows_of(series.flatten_series(nested), "Entity", "Date", "Value") == rows_of(df, "Entity", "Date", "Value")
