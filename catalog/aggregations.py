@@ -71,7 +71,7 @@ def percentile_90(spark, d):
 
 @query("e9_median_hot_groups", """SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.5), 4) AS median FROM lineitem GROUP BY 1""")
 def median_hot_groups(spark, d):
-    found = exact_percentile(table(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", 0.5, "median", hot_rows=1000)
+    found = exact_percentile(table(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice", 0.5, "median")
     return found.withColumn("median", F.round("median", 4))
 
 

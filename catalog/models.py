@@ -87,6 +87,17 @@ def train_bayes_categorical(spark, d):
     return models.predict(model, o.select("o_orderkey", "o_orderpriority", "o_orderstatus")).groupBy("o_orderpriority", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("o7_predict_labels", """WITH k AS (SELECT o_orderstatus AS s, count(*) AS n FROM orders GROUP BY 1),
+f AS (SELECT count(DISTINCT o_orderpriority) + 1 AS features FROM orders),
+c AS (SELECT o_orderpriority AS p, o_orderstatus AS s, count(*) AS n FROM orders GROUP BY 1, 2),
+best AS (SELECT c.p, arg_max(k.s, ln(k.n + 1) + ln((c.n + 1) / (k.n + features))) AS label FROM c JOIN k ON c.s = k.s, f GROUP BY 1)
+SELECT o_orderpriority, label AS prediction, count(*) AS n FROM orders JOIN best ON p = o_orderpriority GROUP BY 1, 2""")
+def predict_labels(spark, d):
+    o = table(spark, d, "orders")
+    model = models.train(o, "bayes categorical", ["o_orderpriority"], "o_orderstatus")
+    return models.predict(model, o, as_labels=True).groupBy("o_orderpriority", "prediction").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("o2_train_clusters")
 def train_clusters(spark, d):
     rows = lines(spark, d).select("l_orderkey", *_FEATURES)

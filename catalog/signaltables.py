@@ -206,6 +206,15 @@ def load_data_rolled_up(spark, d):
     return load_data(time_samples(spark, d), "time", start=s.time_start, end=s.time_end, step="month", how="Max", hierarchy=edges(spark, d))
 
 
+@query("l2_load_rolled_up_count", f"""WITH RECURSIVE e AS {EDGES_SQL},
+up AS (SELECT child AS d, parent AS a FROM e UNION ALL SELECT up.d, e.parent FROM up JOIN e ON up.a = e.child),
+m AS (SELECT entity, signal, date_trunc('month', date) AS date, count(value_num) AS v FROM {TIME_SQL} WHERE {IN_JANUARY} GROUP BY ALL)
+SELECT entity, signal, date, v AS value_num FROM m UNION ALL SELECT a, signal, date, count(v) FROM m JOIN up ON entity = d GROUP BY ALL""")
+def load_data_rolled_up_count(spark, d):
+    s = january()
+    return load_data(time_samples(spark, d), "time", start=s.time_start, end=s.time_end, step="month", how="Count", hierarchy=edges(spark, d))
+
+
 @query("l2_load_pvt", """SELECT CAST(s_suppkey AS VARCHAR) AS entity, round(s_acctbal / 1000, 6) AS pressure, round(CAST(s_nationkey + 300 AS DOUBLE) - 273.15, 6) AS temperature, 1.5::DOUBLE AS value_num FROM supplier""")
 def load_pvt_rows(spark, d):
     rows = table(spark, d, "supplier").select(

@@ -15,14 +15,6 @@ from gaugework.functions.names import col
 from gaugework.functions.vocabulary import canonical
 from gaugework.session import kept
 
-# Groups above this many rows take the bracketed path of exact_percentile.
-HOT_ROWS = 5_000_000
-# Size of the sample, relative to that, in which such groups are looked for.
-SAMPLE_ROWS = 5_000
-# Rank error of the bracket is 1 / SKETCH_ACCURACY of the group's rows.
-SKETCH_ACCURACY = 50_000
-
-
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     """Equality over keys that may be null; still a hash or sort-merge equi-join."""
     return reduce(lambda a, b: a & b, [left[f"`{k}`"].eqNullSafe(right[f"`{k}`"]) for k in keys])
@@ -37,83 +29,36 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str)
     return left.join(renamed, on, how).drop(*[f"__{k}" for k in keys])
 
 
-def hot_groups(df: DataFrame, keys: list[str], rows: int) -> DataFrame | None:
-    """(keys, n_rows) of groups that hold about ``rows`` rows or more, or None when there are none.
-
-    Found in a sample, so no count over all groups is shuffled, and stored, so that every use sees the
-    same list. It has at most 2 * (all rows / rows) entries and is small enough to broadcast. Which
-    groups it names decides how they are computed, not what comes out; ``n_rows`` is an estimate.
-    """
-    fraction = min(1.0, SAMPLE_ROWS / rows)
-    sample = df.select(*map(col, keys))
-    if fraction < 1.0:
-        sample = sample.sample(fraction, seed=11)
-    counts = sample.groupBy(*map(col, keys)).agg(F.count(F.lit(1)).alias("hits"))
-    hot = kept(counts.where(F.col("hits") >= rows * fraction / 2).select(*map(col, keys), (F.col("hits") / fraction).alias("n_rows")))
-    return None if hot.isEmpty() else hot
-
-
-def exact_percentile(
-    df: DataFrame, keys: list[str], value: str, p: float, out: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Exact interpolated percentile per group.
+def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float, out: str) -> DataFrame:
+    """Exact interpolated percentile per group; NaN counts as the largest value, nulls are left out.
 
-    Ordinary groups use the built-in aggregate. Its buffer holds every distinct value of a group, so a
-    hot group is first narrowed: a sketch brackets the wanted rank, rows below the bracket are only
-    counted (before the shuffle), and ranks are taken over the few distinct values inside it. A bracket
-    that misses the rank raises instead of giving a wrong number.
+    One way for groups of every size: rows are counted per distinct value, before the shuffle; the counts are
+    range-partitioned by group and value, so that a hot group lies in many partitions; ranks are sums within a
+    partition plus one offset per group and partition. Nothing gathers a group.
     """
-    rows = df.select(*map(col, keys), col(value).alias("__v"))
-    filled = rows.where("__v IS NOT NULL")
-    hot = hot_groups(filled, keys, hot_rows)
-    if hot is None:
-        return rows.groupBy(*map(col, keys)).agg(F.percentile("__v", p).alias(out))
-    hot = hot.drop("n_rows")
-    cold = join_null_safe(rows, F.broadcast(hot), keys, "left_anti")
-    built_in = cold.groupBy(*map(col, keys)).agg(F.percentile("__v", p).alias(out))
-
-    # The sketch's rank error, and some ranks for rounding and interpolation.
-    margin = 2.0 / SKETCH_ACCURACY + 8.0 / hot_rows
-    bounds = F.array(F.lit(max(0.0, p - margin)), F.lit(min(1.0, p + margin)))
-    bracket = (
-        join_null_safe(filled, F.broadcast(hot), keys, "inner")
-        .groupBy(*map(col, keys))
-        .agg(F.percentile_approx("__v", bounds, SKETCH_ACCURACY).alias("b"), F.count(F.lit(1)).alias("n_rows"))
-        .select(*map(col, keys), "n_rows", F.col("b")[0].alias("low"), F.col("b")[1].alias("high"))
-    )
-    inside = (
-        join_null_safe(filled, F.broadcast(bracket), keys, "inner")
-        .where("__v <= high")
-        .withColumn("__v", F.when(F.col("__v") >= F.col("low"), F.col("__v")))
-        .groupBy(*map(col, keys), "n_rows", "__v")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
-    before = F.coalesce(
-        F.sum("c").over(
-            W.partitionBy(*map(col, keys)).orderBy(F.asc_nulls_first("__v")).rowsBetween(W.unboundedPreceding, -1)
-        ),
-        F.lit(0),
-    )
-    position = (F.col("n_rows") - 1) * F.lit(p)
+    group = [col(k) for k in keys]
+    filled = F.count(F.col("__v")).alias("c")  # 0 for the null value, which only keeps the group
+    counts = df.select(*group, col(value).alias("__v")).groupBy(*group, "__v").agg(filled)
+    placed = kept(counts.repartitionByRange(*group, "__v").withColumn("__part", F.spark_partition_id()))
+    parts = placed.groupBy(*group, "__part").agg(F.sum("c").alias("n"))
+    by_group = W.partitionBy(*group)
+    before = F.sum("n").over(by_group.orderBy("__part").rowsBetween(W.unboundedPreceding, -1))
+    offsets = parts.select(*group, "__part", F.coalesce(before, F.lit(0)).alias("__before"), F.sum("n").over(by_group).alias("__rows"))
+    within = F.sum("c").over(W.partitionBy(*group, "__part").orderBy(F.asc_nulls_first("__v")).rowsBetween(W.unboundedPreceding, -1))
+    ranked = join_null_safe(placed.withColumn("__within", F.coalesce(within, F.lit(0))), offsets, [*keys, "__part"], "inner")
+    first = F.col("__before") + F.col("__within")
+    position = (F.col("__rows") - 1) * F.lit(p)
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("r0") <= rank) & (rank < F.col("r0") + F.col("c")), F.col("__v")))
+        return F.max(F.when((first <= rank) & (rank < first + F.col("c")), F.col("__v")))
 
-    narrowed = (
-        inside.withColumn("r0", before)
-        .groupBy(*map(col, keys), "n_rows")
-        .agg(at(F.floor(position)).alias("v0"), at(F.ceil(position)).alias("v1"))
-        .select(
-            *map(col, keys),
-            F.when(
-                F.col("v0").isNotNull() & F.col("v1").isNotNull(),
-                F.col("v0") + (position - F.floor(position)) * (F.col("v1") - F.col("v0")),
-            )
-            .otherwise(F.raise_error(F.lit("percentile bracket missed the rank")).cast("double"))
-            .alias(out),
-        )
+    low, high, rest = F.col("__low"), F.col("__high"), position - F.floor(position)
+    between = F.when((rest == 0) | (low == high), low).otherwise(low + rest * (high - low))
+    return (
+        ranked.groupBy(*group, "__rows")
+        .agg(at(F.floor(position)).alias("__low"), at(F.ceil(position)).alias("__high"))
+        .select(*group, between.alias(out))
     )
-    return built_in.unionByName(narrowed)
 
 
 def deterministic_mode(df: DataFrame, keys: list[str], value: str, out: str) -> DataFrame:
@@ -159,7 +104,6 @@ def aggregate(
     axis: str | None = None,
     out: str = "value",
     percentile: float = 1.0,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Aggregate ``value`` per ``keys`` by aggregation name; NoAggregation passes the rows through."""
     name = canonical("aggregation", how)
@@ -176,7 +120,7 @@ def aggregate(
     if text:
         raise ValueError(f"aggregation {name} is not defined for text")
     p = 0.5 if name == "Median" else percentile
-    return exact_percentile(df, keys, value, p, out, hot_rows)
+    return exact_percentile(df, keys, value, p, out)
 
 
 def data_range(df: DataFrame, axis: str, by: list[str] | None = None) -> DataFrame:

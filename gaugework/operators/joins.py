@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 
 from gaugework.session import kept
 
-# A lookup side up to this many rows is broadcast.
+# A lookup side up to this many rows and bytes is broadcast.
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 # Beyond it, keys that are frequent in a sample of the rows are spread over SALTS tasks each.
 SALTS = 64
 SAMPLE_FRACTION = 0.01
@@ -20,11 +21,15 @@ HOT_KEYS = 1_000
 
 
 def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a side is small enough to broadcast: counted, but never past the limit.
+    """Whether a side is small enough to broadcast.
 
-    A local relation was written on the driver, so it is not counted.
+    The optimizer's size, an upper bound for scans, filters and local relations, mostly says so without a job. Where it
+    does not, as after a grouping, rows are counted, but never past what the bytes allow.
     """
-    return df.isLocal() or df.select(F.lit(1)).limit(rows + 1).count() <= rows
+    if rows == BROADCAST_ROWS and int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= BROADCAST_BYTES:
+        return True
+    most = min(rows, BROADCAST_BYTES // max(1, df._jdf.schema().defaultSize()))
+    return df.select(F.lit(1)).limit(most + 1).count() <= most
 
 
 def salt(df: DataFrame, salts: int = SALTS) -> Column:

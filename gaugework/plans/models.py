@@ -164,9 +164,13 @@ def train(
     return Pipeline(stages=[*stages, model]).fit(rows)
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Input columns and ``prediction``."""
-    return model.transform(df).select(*[col(c) for c in df.columns], "prediction")
+def predict(model: PipelineModel, df: DataFrame, as_labels: bool = False) -> DataFrame:
+    """Input columns and ``prediction``: a number, or for classifiers, where asked for, the class's label."""
+    done = model.transform(df).select(*[col(c) for c in df.columns], "prediction")
+    if not as_labels:
+        return done
+    labels = F.array(*[F.lit(v) for v in model.stages[0].labels])
+    return done.withColumn("prediction", F.element_at(labels, F.col("prediction").cast("int") + 1))
 
 
 # --- one linear model per entity, from sums ---------------------------------------------------------

@@ -21,7 +21,7 @@ from gaugework.operators.joins import lookup
 from gaugework.operators.reshape import has_entity_headers, pivot_signals, signal_columns_last, wide_to_long
 from gaugework.operators.units import conversion, converted
 from gaugework.operators.window import fill_grid, first_values, interpolate_at
-from gaugework.plans.context import Context, ContextList
+from gaugework.plans.context import DEFAULT_DEPTH_STEP, DEFAULT_TIME_STEP, Context, ContextList
 from gaugework.session import kept
 
 AXIS_COLUMN = {"time": "date", "depth": "depth"}
@@ -157,7 +157,7 @@ def _resampled(rows: DataFrame, specs: list[SignalSpec], axis: str, step: str) -
     if axis == "depth":
         tables = [t.withColumn(AT, depth_of_bucket(F.col(AT), step)) for t in tables]
     if passing:
-        tables.append(pivot_signals(_typed(rows.withColumn(AT, F.col(c)), passing), index, _cells(passing)))
+        tables += [pivot_signals(_typed(rows.withColumn(AT, F.col(c)), part), index, _cells(part)) for part in _once_each(passing)]
     return _merged(tables, index, specs)
 
 
@@ -193,7 +193,7 @@ def _axis_table(
         table = _resampled(rows, specs, axis, step)
     else:
         own = rows.withColumn(AT, F.col(AXIS_COLUMN[axis])) if out else rows
-        table = pivot_signals(_typed(own, specs), index, _cells(specs), strict=strict)
+        table = _merged([pivot_signals(_typed(own, part), index, _cells(part), strict=strict) for part in _once_each(specs)], index, specs)
     if up is not None:
         table = _rolled_up(table, specs, up, index)
         if context.entities is not None:
@@ -213,6 +213,18 @@ def _typed(rows: DataFrame, specs: list[SignalSpec]) -> DataFrame:
     return rows.withColumn("value_num", value)
 
 
+def _once_each(specs: list[SignalSpec]) -> list[list[SignalSpec]]:
+    """The signals in as few lists as have each name once; a signal may be wanted in several units."""
+    parts: list[list[SignalSpec]] = []
+    for s in specs:
+        free = next((part for part in parts if all(t.name != s.name for t in part)), None)
+        if free is None:
+            parts.append([s])
+        else:
+            free.append(s)
+    return parts
+
+
 def _cells(specs: list[SignalSpec]) -> dict[str, tuple[str, str]]:
     return {s.name: ("value_str" if s.text else "value_num", s.header) for s in specs}
 
@@ -226,12 +238,18 @@ def load_signals(
     scenario: str | None = None,
     depth_unit: str | None = None,
     strict: bool = True,
+    default_step: bool = False,
 ) -> DataFrame:
     """Wanted signals as one table: Entity, Date, Depth, then one ``name [unit]`` column per signal.
 
     Time, depth and static signals become one table each and are joined on Entity: every time row meets
-    every depth row of its entity. Without a step in the scope rows keep their own time or depth.
+    every depth row of its entity. Without a step in the scope rows keep their own time or depth, or are
+    resampled to the default steps where those are asked for.
     """
+    if default_step:
+        scope = context.scope
+        scope = replace(scope, time_step=scope.time_step or DEFAULT_TIME_STEP, depth_step=scope.depth_step or DEFAULT_DEPTH_STEP)
+        context = replace(context, scope=scope)
     if context.entities is not None and context.entities.isEmpty():
         raise ValueError("the entity set is empty")
     specs = resolve_signals(wanted, signals, units)
@@ -298,8 +316,7 @@ def load_data(
         return rows
     table = resample(rows, axis, step, how, value, out=value)
     if hierarchy is not None and axis == "time":
-        pooled = pool(table, kept(paths(hierarchy)), "entity")
-        table = aggregate(pooled, ["entity", "signal", "bucket"], value, how, "bucket", out=value)
+        table = _pooled(table, kept(paths(hierarchy)), value, how)
     if gap_value is not None and axis == "time":
         ends = [filters.bound(e).cast("timestamp_ntz") if e is not None else None for e in (start, end)]
         table = fill_grid(table, keys, "bucket", value, step, gap_value, *ends)
@@ -308,6 +325,17 @@ def load_data(
     return table.withColumnRenamed("bucket", c)
 
 
+def _pooled(table: DataFrame, up: DataFrame, value: str, how: str) -> DataFrame:
+    """Resampled series under every entity above; an entity without anything below keeps its own value."""
+    name, text = canonical("aggregation", how), isinstance(table.schema[value].dataType, T.StringType)
+    pooled, keys = pool(table, up, "entity"), ["entity", "signal", "bucket"]
+    if name == "NoAggregation":
+        return table
+    if is_algebraic(name, text):
+        return pooled.groupBy(*keys).agg(rolled(F.col(value), lambda v: algebraic(name, v, ~F.col("own"), text)).alias(value))
+    return aggregate(pooled, keys, value, name, "bucket", out=value)
+
+
 def load_pvt(samples: DataFrame, units: DataFrame, pressure_unit: str = "Pa", temperature_unit: str = "K") -> DataFrame:
     """Pressure-temperature samples, stored in Pa and K, in the wanted units."""
     wanted = {"pressure": ("Pa", pressure_unit), "temperature": ("K", temperature_unit)}

@@ -50,9 +50,8 @@ REFERENCE = {
 
 
 @pytest.mark.parametrize("how", list(REFERENCE))
-@pytest.mark.parametrize("hot_rows", [agg.HOT_ROWS, 100])
-def test_aggregations_match_pandas(skewed, how, hot_rows):
-    got = by_key(agg.aggregate(skewed, ["k"], "v", how, "t", hot_rows=hot_rows))
+def test_aggregations_match_pandas(skewed, how):
+    got = by_key(agg.aggregate(skewed, ["k"], "v", how, "t"))
     expected = {k: REFERENCE[how](g) for k, g in groups(skewed).items()}
     assert got.keys() == expected.keys()
     for k in expected:
@@ -61,7 +60,7 @@ def test_aggregations_match_pandas(skewed, how, hot_rows):
 
 @pytest.mark.parametrize("p", [0.0, 0.01, 0.25, 0.5, 0.9, 0.999, 1.0])
 def test_hot_percentile_is_exact(skewed, p):
-    got = by_key(agg.exact_percentile(skewed, ["k"], "v", p, "value", hot_rows=50))
+    got = by_key(agg.exact_percentile(skewed, ["k"], "v", p, "value"))
     for k, g in groups(skewed).items():
         assert got[k] == pytest.approx(np.percentile(g["v"].dropna(), 100 * p)), k
 
@@ -70,10 +69,28 @@ def test_hot_percentile_is_exact(skewed, p):
 def test_hot_percentile_with_ties(spark, values):
     df = literal_table(spark, [("a", v) for v in values], "k string, v double")
     for p in (0.0, 0.5, 0.75, 1.0):
-        got = agg.exact_percentile(df, ["k"], "v", p, "value", hot_rows=10).collect()
+        got = agg.exact_percentile(df, ["k"], "v", p, "value").collect()
         assert len(got) == 1 and got[0]["value"] == pytest.approx(np.percentile(values, 100 * p))
 
 
+@pytest.mark.parametrize("p", [0.0, 0.3, 0.5, 0.9, 1.0])
+def test_percentile_with_nan_and_infinities(spark, p):
+    inf, nan = float("inf"), float("nan")
+    data = {"a": [1.0, inf, inf, inf], "b": [-inf, -inf, 2.0], "c": [1.0, 2.0, nan, nan], "d": [None, 3.0], "e": [None, None], None: [4.0]}
+    df = literal_table(spark, [(k, v) for k, vs in data.items() for v in vs], "k string, v double")
+    got = by_key(agg.exact_percentile(df, ["k"], "v", p, "value"))
+    assert set(got) == set(data)
+    for k, vs in data.items():
+        known = sorted((v for v in vs if v is not None), key=lambda v: (v != v, v))
+        if not known:
+            assert got[k] is None
+            continue
+        at = (len(known) - 1) * p
+        low, high = known[int(np.floor(at))], known[int(np.ceil(at))]
+        want = low if low == high or at == int(at) or (low != low and high != high) else low + (at - np.floor(at)) * (high - low)
+        assert got[k] == pytest.approx(want, nan_ok=True), (k, got[k], want)
+
+
 def test_text_aggregations(spark):
     rows = [("a", START + timedelta(hours=i), t) for i, t in enumerate(["ok", "oook", None, "ook", "ok"])] + [("b", START, None)]
     df = literal_table(spark, rows, "k string, t timestamp_ntz, v string")
