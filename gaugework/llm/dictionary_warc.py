@@ -12,8 +12,8 @@ revisit records that refer to it and carry no payload. A hot payload moves throu
 that combine before the shuffle.
 
 Defined results: a null html is an empty payload; a null url is written as empty; a null page_id counts as larger than all
-others. Rows that share page_id and payload: one is the response, the others revisit it under the same id. An empty table gives an
-empty result; other columns play no role.
+others. Rows that share the least page_id of a payload are all responses. An empty table gives an empty result; other
+columns play no role.
 """
 
 from __future__ import annotations
@@ -138,18 +138,10 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
         F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).cast("binary").alias("html"),
     ).withColumns({"digest": F.sha2("html", 256), "size": F.octet_length("html").cast("long"), "_id": F.coalesce("page_id", F.lit(_END))})
     groups = rows.where(F.col("size") >= LEAST).groupBy("digest").agg(F.min("_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    # Every row that revisits is named by (digest, id); one of the rows that share the response's id is the response.
-    placed = rows.join(groups, "digest", "left")
-    later = placed.where("_id > first").select("page_id", "url", F.lit(b"").alias("html"), "digest", "size", F.col("first").alias("refers_to"))
-    none = F.lit(None).cast("long")
-    alone = placed.where("first is null").select("page_id", "url", "html", "digest", "size", none.alias("refers_to"))
-    tied = placed.where("_id = first").groupBy("digest", "first").agg(
-        F.first("html").alias("html"), F.first("page_id").alias("page_id"), F.first("size").alias("size"), F.min("url").alias("url"), F.count("*").alias("n"),
+    later = F.col("_id") > F.col("first")
+    every = rows.join(groups, "digest", "left").select(
+        "page_id", "url", F.when(later, F.lit(b"")).otherwise(F.col("html")).alias("html"), "digest", "size", F.when(later, F.col("first")).alias("refers_to"),
     )
-    same = tied.select(
-        "page_id", "url", "html", "digest", "size", F.explode(F.expr("sequence(1L, n)")).alias("copy"),
-    ).select("page_id", "url", F.expr("if(copy = 1, html, cast('' as binary))").alias("html"), "digest", "size", F.expr("if(copy = 1, null, page_id)").alias("refers_to"))
-    every = alone.union(later).union(same)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         archive, done = None, []
@@ -165,7 +157,7 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
             done.append(archive.close())
         yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.string()), *[pa.array([d[k] for d in done], pa.int64()) for k in (1, 2)]], names=["path", "records", "bytes"])
 
-    manifest = every.select("page_id", "url", "html", "digest", "size", "refers_to").mapInArrow(run, "path string, records long, bytes long")
+    manifest = every.mapInArrow(run, "path string, records long, bytes long")
     return stored(manifest, "manifest")
 
 
