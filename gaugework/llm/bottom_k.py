@@ -71,34 +71,28 @@ def merged(df: DataFrame, keys: list[str], sketch: str, k: int = K) -> DataFrame
     return first.groupBy(*keys).agg(F.sort_array(F.collect_list("_hash")).alias(sketch))
 
 
-def neighbours(docs: DataFrame) -> DataFrame:
-    """(_id, _rep, _to, _need): for each id the one before it, and how many code points that one's documents want at most.
-
-    _rep tells which text stands for the id.
-    """
-    ids = docs.groupBy("_id").agg(F.min("_hash").alias("_rep"), F.max(F.expr("length(_text) div 4")).alias("_need"))
+def neighbours(base: DataFrame) -> DataFrame:
+    """(_id, _to, _need): for each id the one before it, and how many code points that one's documents want at most."""
+    ids = base.groupBy("_id").agg(F.max(F.expr("length(_text) div 4")).alias("_need"))
     ranked = stored(running_totals(ids, ["_id"], {"_rank": F.lit(1)}, "ranks"), "ranks")
     n = F.broadcast(ranked.agg(F.max("_rank").alias("_n")))
     before = ranked.join(n).select(F.col("_id").alias("_to"), "_need", F.expr("_rank % _n + 1").alias("_rank"))
-    return ranked.select("_id", "_rep", "_rank").join(before, "_rank").select("_id", "_rep", "_to", "_need")
+    return stored(ranked.select("_id", "_rank").join(before, "_rank").select("_id", "_to", "_need"), "neighbours")
 
 
 def fingerprints(docs: DataFrame, k: int = K, size: int = SIZE) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, sketch, edited_sketch, near_edited, near_next) for every row of `docs` (doc_id, text).
 
-    The edited text has its last quarter replaced by as much of the next document's beginning.
+    The edited text has its last quarter replaced by as much of the next document's beginning. Texts are dealt by id once, for
+    lending and borrowing alike; what is lent is as long as the borrower can use.
     """
-    base = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("_id"),
-        F.coalesce("text", F.lit("")).alias("_text"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"),
-    )
-    lent = base.join(neighbours(base), "_id").where("_hash = _rep")
-    lent = sketched(lent, "_text", "_next", k, size).select("_to", F.expr("left(_text, _need)").alias("_start"), "_next")
-    lent = lent.groupBy("_to").agg(F.first("_start").alias("_start"), F.first("_next").alias("_next"))
+    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("_id"), F.coalesce("text", F.lit("")).alias("_text"))
+    lent = sketched(base.join(neighbours(base), "_id"), "_text", "_next", k, size)
+    lent = lent.groupBy("_to").agg(F.min_by(F.struct(F.expr("left(_text, cast(_need as int))").alias("start"), "_next"), F.xxhash64("_text")).alias("_lent"))
     rows = base.join(lent, base["_id"] == lent["_to"]).withColumn("n_chars", F.length("_text").cast("long"))
-    rows = rows.withColumn("_edited", F.expr("concat(left(_text, cast(n_chars - n_chars div 4 as int)), left(_start, cast(n_chars div 4 as int)))"))
+    rows = rows.withColumn("_edited", F.expr("concat(left(_text, cast(n_chars - n_chars div 4 as int)), left(_lent.start, cast(n_chars div 4 as int)))"))
     rows = sketched(sketched(rows, "_text", "sketch", k, size), "_edited", "edited_sketch", k, size)
     return rows.select(
-        "doc_id", "n_chars", F.sha2("_edited", 256).alias("edited_sha256"), "sketch", "edited_sketch",
-        resemblance("sketch", "edited_sketch", k).alias("near_edited"), resemblance("sketch", "_next", k).alias("near_next"),
+        F.nullif("_id", F.lit(_NO_ID)).alias("doc_id"), "n_chars", F.sha2("_edited", 256).alias("edited_sha256"), "sketch", "edited_sketch",
+        resemblance("sketch", "edited_sketch", k).alias("near_edited"), resemblance("sketch", "_lent._next", k).alias("near_next"),
     )
