@@ -96,9 +96,10 @@ def slots(sources: DataFrame, shards: int, seed: int) -> DataFrame:
 
     `place` orders the slots of a shard.
     """
-    step = 1 << 16
+    step = 1 << 12
+    parts = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number is not coalesced
     many = sources.where("slots > 0").select("source_no", "blocks", "slots", F.explode(F.expr(f"sequence(0L, (slots - 1) div {step})")).alias("_far"))
-    each = many.repartition("source_no", "_far").select(
+    each = many.repartition(parts, "source_no", "_far").select(
         "source_no", "blocks", F.explode(F.expr(f"sequence(_far * {step}, least(slots, (_far + 1) * {step}) - 1)")).alias("slot"),
     )
     source, slot, key = "cast(source_no as string)", "cast(slot as string)", f"'{seed}'"
@@ -124,7 +125,8 @@ def mix(docs: DataFrame, block: int = 128, shards: int = 16, weights: tuple = WE
     placed = intervals(docs, seed)
     sources = plan(placed, block, weights, share, least, most)
     reads = slots(sources, shards, seed).groupBy("source_no", "block_no").agg(F.count("*").alias("reads"))
-    joined = pieces(placed, sources, block).join(reads, ["source_no", "block_no"], "left")
+    # The hint: Spark takes the slots for as few as the sources they grow from, and would broadcast them.
+    joined = pieces(placed, sources, block).join(reads.hint("merge"), ["source_no", "block_no"], "left")
     taken = F.sum(F.coalesce(F.col("words") * F.col("reads"), F.lit(0))).cast("long").alias("taken")
     return joined.groupBy("row", "doc_id", "text_key", "source", "size", "source_size", "target").agg(taken).drop("row")
 
@@ -138,7 +140,7 @@ def packed(docs: DataFrame, block: int = 128, shards: int = 16, weights: tuple =
     sources = plan(placed, block, weights, share, least, most)
     part = F.struct("first", F.col("doc_id"), F.expr(f"greatest(block_no * {block} - first, 0)").alias("from"), F.expr(f"least(last, (block_no + 1) * {block}) - first").alias("to"))
     blocks = pieces(placed, sources, block).where("words > 0").groupBy("source_no", "source", "block_no").agg(F.array_sort(F.collect_list(part)).alias("parts"))
-    drawn = slots(sources, shards, seed).join(blocks, ["source_no", "block_no"])
+    drawn = slots(sources, shards, seed).hint("merge").join(blocks, ["source_no", "block_no"])
     return drawn.select("shard", "place", "source", "slot", "block_no", F.expr("transform(parts, p -> struct(p.doc_id, p.from, p.to))").alias("parts"))
 
 
