@@ -10,8 +10,8 @@ in different components are compared with each other. Candidates are judged by t
 the full sets.
 
 With 32 bands of 4 registers two sets at the threshold 0.8 share no band in fewer than 5 of 10^8 cases, and the estimate of a
-pair at the threshold falls below `ESTIMATE_FROM` in fewer than 1 of 10^6. What is left to compare after the pivots is cut down by an
-exact bound: of two sets, no more can be common than either shares with any other.
+pair at the threshold falls below `ESTIMATE_FROM` in fewer than 1 of 10^6. What pivots leave apart is compared only where
+an exact bound allows a link (`left_apart`).
 
 Defined results: a null, empty or blank text has no shingles, is linked with nothing and kept. A text with fewer than
 `size` words has one shingle. Repeated rows get the same result. A null doc_id counts as larger than all others; a component
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugework.llm.components import components
-from gaugework.llm.frames import runs, stored, text_runs
+from gaugework.llm.frames import stored, text_runs
 from gaugework.llm.words import distinct_by_doc, mix, shingle_hashes, word_hashes
 
 REGISTERS, PER_BAND, MANTISSA = 128, 4, 10
@@ -165,20 +165,56 @@ def verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "s_a", "s_b").mapInArrow(compare, "a binary, b binary")
 
 
-def shareable(nodes: DataFrame, full: DataFrame) -> DataFrame:
-    """(node, common): how many of its shingles a class shares with any other of `nodes`."""
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def deltas(pairs: DataFrame, full: DataFrame) -> DataFrame:
+    """(node, pivot, inside, added): how many shingles a class shares with a pivot, and the hashes of those it does not share."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for x, y in runs(np.concatenate([[0], np.cumsum([len(v) for v in b.column(1).to_pylist()])]), 8 * RUN_BYTES):
-                part = b.column(1).slice(x, y - x).to_pylist()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k for k, v in zip(b.column(0).slice(x, y - x).to_pylist(), part) for _ in range(len(v) // 8)], pa.binary()), pa.array(np.frombuffer(b"".join(part), np.int64))],
-                    names=["node", "h"],
-                )
+            inside, added = [], []
+            for x, y in zip(b.column(2), b.column(3)):
+                p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
+                new = np.setdiff1d(p, q, assume_unique=True)
+                inside.append(len(p) - len(new))
+                added.append(new.view(np.int64))
+            ends = np.concatenate([[0], np.cumsum([len(v) for v in added])]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(inside, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*added, np.zeros(0, np.int64)])))],
+                names=["node", "pivot", "inside", "added"],
+            )
+
+    side = lambda x: full.select(F.col("node").alias(x), F.col("members").alias(f"s_{x}"))
+    rows = pairs.join(side("node"), "node").join(side("pivot"), "pivot").select("node", "pivot", "s_node", "s_pivot")
+    return stored(rows.mapInArrow(run, "node binary, pivot binary, inside long, added array<long>"), "deltas")
 
-    rows = full.join(nodes, "node").select("node", "members").mapInArrow(hashes, "node binary, h long")
-    own = rows.groupBy("h").agg(F.count("*").alias("n"), F.first("node").alias("node")).where("n = 1").groupBy("node").agg(F.count("*").alias("own"))
-    return nodes.join(own, "node", "left").select("node", F.coalesce("own", F.lit(0)).alias("own"))
+
+def left_apart(apart: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) with different labels that may be linked, of classes that share a bucket with a pivot.
+
+    Two sets have in common at most what the smaller of their shares in the pivot allows, and the shingles outside the pivot that
+    both hold. If the first alone reaches the threshold for both, they are paired directly; such classes mostly have the pivot's own
+    label. All others must share shingles outside the pivot, so an index on those finds them: near copies that differ from the
+    middle of their group in different ways never meet.
+    """
+    delta = deltas(apart.select("node", "pivot").distinct(), full)
+    rows = stored(apart.join(delta.drop("added"), ["node", "pivot"]), "apart")
+    enough = lambda common, sizes: F.expr(f"{percent} * ({sizes}) <= {100 + percent} * ({common})")
+    least = rows.groupBy("band", "key").agg(F.min("n_shingles").alias("least"))
+    near = torn(rows.join(least, ["band", "key"]).where(enough("inside", "n_shingles + least")))
+    other = near.select("band", "key", *[F.col(c).alias(f"{c}2") for c in ("node", "label", "n_shingles", "inside")])
+    direct = near.join(other, ["band", "key"]).where((F.col("label") < F.col("label2")) & enough("least(inside, inside2)", "n_shingles + n_shingles2"))
+    # How many shingles outside the pivot a class must share at least, whatever its partner; of its outside shingles, rarest first,
+    # all but that many and one can stay out of the index.
+    q = 100 + percent
+    smallest = rows.groupBy("pivot").agg(F.min("n_shingles").alias("least"))
+    size = f"n_shingles + greatest(least, ({percent} * n_shingles + 99) div 100)"
+    need = F.expr(f"greatest(1, ({percent} * ({size}) + {q - 1}) div {q} - inside)").alias("need")
+    each = rows.select("node", "pivot", "label", "n_shingles").distinct().join(smallest, "pivot").join(delta, ["node", "pivot"])
+    outside = each.select("node", "pivot", "label", need, F.explode("added").alias("h"))
+    common = outside.groupBy("pivot", "h").agg(F.count("*").alias("n")).where("n > 1")
+    shared = outside.join(common, ["pivot", "h"]).groupBy("node", "pivot", "label", "need").agg(F.sort_array(F.collect_list(F.struct("n", "h"))).alias("x"))
+    indexed = shared.where("size(x) >= need").select("node", "pivot", "label", F.explode(F.expr("slice(x, 1, cast(size(x) - need + 1 as int))")).alias("x")).select("node", "pivot", "label", "x.h")
+    same = indexed.select("pivot", "h", F.col("node").alias("node2"), F.col("label").alias("label2"))
+    met = indexed.join(same, ["pivot", "h"]).where("label < label2")
+    return direct.select(*ordered("node", "node2")).union(met.select(*ordered("node", "node2"))).distinct()
 
 
 def ordered(a: str, b: str) -> list:
@@ -217,21 +253,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     links = stored(verified(estimated(star, classes, ESTIMATE_FROM), full, percent), "links")
     labels = components(links)
 
-    # What the pivots left apart: members of one bucket in different components. A class whose shingles occur nowhere else in
-    # such buckets cannot reach the threshold with one as large or larger, which leaves few to compare.
+    # What the pivots left apart: members of one bucket in different components.
     placed = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    apart = stored(torn(placed).select("band", "key", "node", "label", "n_shingles"), "apart")
-    own = shareable(apart.select("node").distinct(), full)
-    bound = apart.join(own, "node").withColumn("common", F.col("n_shingles") - F.col("own"))
-    least = bound.groupBy("band", "key").agg(F.min("n_shingles").alias("least"))
-    able = bound.join(least, ["band", "key"]).where(F.expr(f"{percent} * (n_shingles + least) <= {100 + percent} * common"))
-    able = stored(torn(able).select("band", "key", "node", "label", "n_shingles", "common"), "able")
-    other = able.select("band", "key", *[F.col(c).alias(f"{c}2") for c in ("node", "label", "n_shingles", "common")])
-    may = F.expr(f"label < label2 and {percent} * (n_shingles + n_shingles2) <= {100 + percent} * least(common, common2)")
-    crossed = able.join(other, ["band", "key"]).where(may).select(*ordered("node", "node2")).distinct()
-    rest = stored(estimated(crossed, classes, ESTIMATE_FROM), "likely")
-    if not rest.isEmpty():
-        labels = components(links.union(verified(rest, full, percent)))
+    apart = stored(torn(placed).select("band", "key", "node", "pivot", "label", "n_shingles"), "torn")
+    if not apart.isEmpty():
+        rest = stored(verified(estimated(left_apart(apart, full, percent), classes, ESTIMATE_FROM), full, percent), "links")
+        if not rest.isEmpty():
+            labels = components(links.union(rest))
 
     first = classes.select("node", F.col("source.doc_id").alias("id"))
     named = first.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
