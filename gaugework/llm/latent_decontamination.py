@@ -1,13 +1,17 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Words are runs of letters and digits, hashed; document frequencies cover all documents. Words in more than `COMMON` of them
-   carry no weight.
+1. Words are runs of letters and digits, hashed; document frequencies cover all documents. Every word keeps some weight, however
+   common it is.
 2. The TF-IDF passages of the benchmark get a truncated SVD by randomised range finding: each task multiplies its own rows,
    partial sums meet by bucket, only a (buckets x rank) sketch reaches the driver.
 3. Every document is cut into passages of `WINDOW` words, each overlapping the next by half. A passage's latent vector is the
    sum of its words'; its cosine to an item is scaled by the share of the item that the latent space holds.
 4. Candidates from `COSINE_FROM` on are checked word by word around the passage: the longest common subsequence must cover
    `VERBATIM` of the item, or `PARAPHRASE` of it together with the item's answer, its last sentence, in order.
+5. What the cosine misses (items of common words, items much longer or shorter than a passage, changed words) is found exactly, in
+   spans of `STRETCH` times the item's own length: an index on each item's rarest words, of which one must be there, names the
+   spans; words that occur are counted, as no more can be found in order; the same check follows. So every item that passes the
+   check within a span is found, whatever its cosine. Spans start at every quarter of the item's length.
 
 The benchmark is the stated query set: it goes to the tasks in blocks of `BLOCK` items, each searched against all documents.
 A passage's norm leaves out that words may repeat, so its cosine is never too small.
@@ -31,12 +35,14 @@ from gaugework.llm.words import NO_LETTER, mix, word_hashes
 
 BITS = 17
 BUCKETS = 1 << BITS
-COMMON = 0.1
 WINDOW = 64
 RANK, EXTRA, POWER = 256, 16, 1
 BLOCK = 5000
 COSINE_FROM = 0.25
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.5, 0.8
+STRETCH = 2
+LEAST = 16  # of the spans that are looked at together
+CELLS = 1 << 24  # of a table of windows by words
 RUN_BYTES = 1 << 19
 _U = np.uint64
 
@@ -57,7 +63,7 @@ def answer_words(text: str | None) -> np.ndarray:
 
 
 def frequencies(docs: DataFrame) -> np.ndarray:
-    """Weight of each bucket: inverse document frequency over all documents, 0 for common words."""
+    """Weight of each bucket: smooth inverse document frequency over all documents, log 2 at least."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, texts = np.zeros(BUCKETS, np.int64), 0
         for b in batches:
@@ -76,9 +82,9 @@ def frequencies(docs: DataFrame) -> np.ndarray:
     got = sums.select("bucket", "n").toPandas()
     texts = int(got.loc[got["bucket"] < 0, "n"].sum())
     got = got[got["bucket"] >= 0]
-    out = np.full(BUCKETS, np.log(1 + texts), np.float32)
+    out = np.full(BUCKETS, np.log(2 + texts), np.float32)
     df = got["n"].to_numpy()
-    out[got["bucket"].to_numpy()] = np.where(df > max(COMMON * texts, 20), 0, np.log((1 + texts) / df))
+    out[got["bucket"].to_numpy()] = np.log1p(texts / df)
     return out
 
 
@@ -149,6 +155,80 @@ def common(needle: np.ndarray, words: list[int]) -> int:
     return len(needle) - row.bit_count()
 
 
+def needed(n: int, share: float) -> int:
+    """The least number of `n` words whose share is `share` or more."""
+    return next(k for k in range(max(0, int(share * n) - 1), n + 2) if k / max(1, n) >= share)
+
+
+def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, .. of each range, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
+class Exact:
+    """Items of up to `reach` words: which of them may be found where, by the words that occur there.
+
+    Spans that start within the same `reach` words are looked at together.
+    """
+
+    def __init__(self, items: list[int], words: list[np.ndarray], answers: list[np.ndarray], idf: np.ndarray, reach: int):
+        self.items, self.reach = np.array(items), reach
+        self.vocabulary = np.unique(np.concatenate(words))
+        self.words, self.answers = np.concatenate(words), np.concatenate(answers)
+        self.words, self.answers = (np.searchsorted(self.vocabulary, x).astype(np.int32) for x in (self.words, self.answers))
+        self.sizes, self.answer_sizes = (np.array([len(w) for w in x]) for x in (words, answers))
+        self.starts, self.answer_starts = (np.cumsum(x) - x for x in (self.sizes, self.answer_sizes))
+        self.verbatim, self.paraphrase = (np.array([needed(n, s) for n in self.sizes]) for s in (VERBATIM, PARAPHRASE))
+        self.answer = np.array([max(1, needed(n, ANSWER)) for n in self.answer_sizes])
+        posts = []
+        for i, (w, a) in enumerate(zip(words, answers)):
+            for x, least in ((w, self.verbatim[i]), (a, self.answer[i])):
+                rare = x[np.argsort(-idf[buckets(x)], kind="stable")[:len(x) - least + 1]]
+                posts += [(v, i) for v in np.searchsorted(self.vocabulary, rare).tolist()]
+        posts = np.array(sorted(set(posts)), np.int64).reshape(-1, 2)
+        self.posts = posts[:, 1]
+        self.post_starts = np.searchsorted(posts[:, 0], np.arange(len(self.vocabulary) + 1))
+
+    def candidates(self, words: np.ndarray, by_doc: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(document, stretch of `reach` words, item) wherever spans that start in the stretch can match the item."""
+        reach = self.reach
+        at = np.searchsorted(self.vocabulary, words)
+        at[at == len(self.vocabulary)] = 0
+        hits = np.flatnonzero(self.vocabulary[at] == words)
+        vocab = at[hits]
+        groups = -(-np.diff(by_doc) // reach)
+        docs = np.repeat(np.arange(len(groups)), groups)
+        cells = ranges(np.zeros(len(groups), np.int64), groups)
+        lo = by_doc[docs] + cells * reach
+        hi = np.minimum(by_doc[docs + 1], lo + (1 + STRETCH) * reach)
+        lo, hi = np.searchsorted(hits, lo), np.searchsorted(hits, hi)
+        posts, step = np.diff(self.post_starts), max(1, CELLS // max(len(self.vocabulary), len(self.sizes)))
+        for p in range(0, len(lo), step):
+            a, b = lo[p:p + step], hi[p:p + step]
+            there = np.zeros((len(a), len(self.vocabulary)), bool)
+            there[np.repeat(np.arange(len(a)), b - a), vocab[ranges(a, b - a)]] = True
+            window, word = np.nonzero(there[:, posts > 0])
+            word = np.flatnonzero(posts > 0)[word]
+            wanted = np.zeros((len(a), len(self.sizes)), bool)
+            wanted[np.repeat(window, posts[word]), self.posts[ranges(self.post_starts[word], posts[word])]] = True
+            window, item = np.nonzero(wanted)
+            for q in range(0, len(window), 1 << 14):
+                w, i = window[q:q + (1 << 14)], item[q:q + (1 << 14)]
+                answered = self.found(there, w, i, self.answers, self.answer_starts, self.answer_sizes)
+                held = self.found(there, w, i, self.words, self.starts, self.sizes)
+                good = (held >= self.verbatim[i]) | (held >= self.paraphrase[i]) & (answered >= self.answer[i])
+                yield from zip(docs[p + w[good]].tolist(), cells[p + w[good]].tolist(), self.items[i[good]].tolist())
+
+    @staticmethod
+    def found(there: np.ndarray, window: np.ndarray, item: np.ndarray, words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """How many of each item's words occur in the window."""
+        n = sizes[item]
+        at = np.cumsum(n) - n
+        hit = np.concatenate([[0], np.cumsum(there[np.repeat(window, n), words[ranges(starts[item], n)]])])
+        return hit[at + n] - hit[at]
+
+
 class Queries:
     """A block of items as the tasks need it."""
 
@@ -164,6 +244,11 @@ class Queries:
             q[i] = x @ latent[self.place[at]]
         held = np.sqrt((q * q).sum(1))
         self.items = q / np.maximum(held, 1e-9)[:, None] ** 2 * (held > 1e-6)[:, None]  # scaled by what the space holds
+        classes: dict[int, list[int]] = {}
+        for i, w in enumerate(self.words):
+            if len(w):
+                classes.setdefault(max(LEAST, 1 << (len(w) - 1).bit_length()), []).append(i)
+        self.exact = [Exact(c, [self.words[i] for i in c], [self.answers[i] for i in c], idf, reach) for reach, c in classes.items()]
 
     def candidates(self, words: np.ndarray, by_doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(document, first word, item, cosine) of passages that may hold an item."""
@@ -200,18 +285,42 @@ class Queries:
         """(document, item) -> (cosine, share of the item in order, share of the answer), confirmed ones only."""
         out: dict[tuple[int, int], tuple] = {}
         for d, first, i, cosine in zip(*(v.tolist() for v in self.candidates(words, by_doc))):
-            needle, known = self.words[i], out.get((d, i))
-            if known and known[1] >= 1:
-                continue
-            around = words[max(by_doc[d], first - len(needle)):min(by_doc[d + 1], first + WINDOW + len(needle))].tolist()
-            share = common(needle, around) / len(needle)
-            if share < PARAPHRASE or known and share <= known[1]:
-                continue
-            answer = common(self.answers[i], around) / max(1, len(self.answers[i]))
-            if share >= VERBATIM or answer >= ANSWER:
+            n = len(self.words[i])
+            around = words[max(by_doc[d], first - n):min(by_doc[d + 1], first + WINDOW + n)].tolist()
+            share, answer = self.check(around, i, out.get((d, i)))
+            if share:
                 out[d, i] = (min(1.0, cosine), share, answer)
+        for exact in self.exact:
+            for d, cell, i in exact.candidates(words, by_doc):
+                n, first, last = len(self.words[i]), by_doc[d] + cell * exact.reach, by_doc[d + 1]
+                stop = min(last, first + exact.reach)
+                if not self.check(words[first:min(last, stop + STRETCH * n)].tolist(), i, out.get((d, i)))[0]:
+                    continue
+                step = max(1, n // 4)
+                for k in range(first + (by_doc[d] - first) % step, stop, step):
+                    span = words[k:min(last, k + STRETCH * n)]
+                    share, answer = self.check(span.tolist(), i, out.get((d, i)))
+                    if share:
+                        out[d, i] = (min(1.0, self.cosine(span, i)), share, answer)
         return out
 
+    def check(self, around: list[int], i: int, known: tuple | None) -> tuple[float, float]:
+        """(share of the item in order, share of the answer), 0 unless the item is found and better than before."""
+        if known and known[1] >= 1:
+            return 0.0, 0.0
+        share = common(self.words[i], around) / len(self.words[i])
+        if share < PARAPHRASE or known and share <= known[1]:
+            return 0.0, 0.0
+        answer = common(self.answers[i], around) / max(1, len(self.answers[i]))
+        return (share, answer) if share >= VERBATIM or answer >= ANSWER else (0.0, 0.0)
+
+    def cosine(self, words: np.ndarray, i: int) -> float:
+        """Cosine of a span to an item, as `candidates` has it for passages."""
+        b = buckets(words)
+        weight, known = self.idf[b], self.place[b] >= 0
+        row = (self.latent[self.place[b[known]]] * weight[known][:, None]).sum(0)
+        return float(row @ self.items[i] / np.sqrt(max((weight * weight).sum(), 1e-9)))
+
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rank: int = RANK) -> DataFrame:
     """(doc_id, item_id, similarity, in_order, answer) for every document that holds an item; docs (doc_id, text), items (item_id, text).

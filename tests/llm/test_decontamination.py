@@ -92,3 +92,12 @@ def test_odd_rows(spark, odd, none, make):
     assert clean.columns == odd.columns and clean.count() == odd.count() - 2
     assert D.leaks(none, bench).count() == 0 and D.leaks(odd, items(spark, [])).count() == 0
     assert D.clean(odd, items(spark, [])).count() == odd.count() and D.clean(none, bench).count() == 0
+
+
+def test_an_item_in_a_third_of_all_rows(spark, make):
+    """Its own copies make each of its words common."""
+    rows = [(i, " ".join(sentence(15) for _ in range(4)), None, None) for i in range(60)]
+    hot = [(100 + i, sentence(20) + " " + ITEMS[0][1] + " " + sentence(20), None, None) for i in range(30)]
+    found = {(r["doc_id"], r["item_id"]) for r in D.leaks(make(rows + hot), items(spark)).collect()}
+    assert found == {(100 + i, 0) for i in range(30)}
+    assert D.clean(make(rows + hot), items(spark)).count() == 60
