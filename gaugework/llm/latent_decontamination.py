@@ -43,7 +43,7 @@ VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.5, 0.8
 STRETCH = 2
 LEAST = 16  # of the spans that are looked at together
 CELLS = 1 << 24  # of a table of windows by words
-RUN_BYTES = 1 << 19
+RUN_BYTES = 1 << 17
 _U = np.uint64
 
 
@@ -140,11 +140,17 @@ def basis(items: DataFrame, idf: np.ndarray, rank: int = RANK) -> tuple[np.ndarr
     return support, (q @ turn[:, best[values[best] > 1e-9]]).astype(np.float32)
 
 
-def common(needle: np.ndarray, words: list[int]) -> int:
-    """Length of the longest common subsequence, bit-parallel."""
+def places(needle: np.ndarray) -> dict[int, int]:
+    """Where each word stands, as bits."""
     masks: dict[int, int] = {}
     for i, w in enumerate(needle.tolist()):
         masks[w] = masks.get(w, 0) | 1 << i
+    return masks
+
+
+def common(needle: np.ndarray, words: list[int], masks: dict[int, int] | None = None) -> int:
+    """Length of the longest common subsequence, bit-parallel."""
+    masks = places(needle) if masks is None else masks
     full = (1 << len(needle)) - 1
     row = full
     for w in words:
@@ -237,7 +243,8 @@ class Queries:
         self.words, self.answers = [item_words(t) for _, t in rows], [answer_words(t) for _, t in rows]
         self.place = np.full(BUCKETS, -1, np.int32)  # buckets with a latent vector
         self.place[support] = np.arange(len(support))
-        self.latent = latent
+        self.masks: dict[int, dict[int, int]] = {}
+        self.latent, self.weighted = latent, latent * idf[support][:, None]
         q = np.zeros((len(rows), latent.shape[1]), np.float32)
         for i, w in enumerate(self.words):
             at, x = vector(w, idf)
@@ -263,7 +270,7 @@ class Queries:
         used, starts = np.unique(cell[hits], return_index=True)
         sums = np.zeros((len(used) + 1, self.latent.shape[1]), np.float32)
         if len(hits):
-            sums[:-1] = np.add.reduceat(self.latent[self.place[b[hits]]] * weight[hits][:, None], starts)
+            sums[:-1] = np.add.reduceat(self.weighted[self.place[b[hits]]], starts)
         # A passage is a cell and the next; it is looked at if either has a hit.
         firsts = np.unique(np.concatenate([used, used - 1]))
         firsts = firsts[firsts >= 0]
@@ -308,7 +315,9 @@ class Queries:
         """(share of the item in order, share of the answer), 0 unless the item is found and better than before."""
         if known and known[1] >= 1:
             return 0.0, 0.0
-        share = common(self.words[i], around) / len(self.words[i])
+        if i not in self.masks:
+            self.masks[i] = places(self.words[i])
+        share = common(self.words[i], around, self.masks[i]) / len(self.words[i])
         if share < PARAPHRASE or known and share <= known[1]:
             return 0.0, 0.0
         answer = common(self.answers[i], around) / max(1, len(self.answers[i]))

@@ -101,3 +101,44 @@ def test_an_item_in_a_third_of_all_rows(spark, make):
     found = {(r["doc_id"], r["item_id"]) for r in D.leaks(make(rows + hot), items(spark)).collect()}
     assert found == {(100 + i, 0) for i in range(30)}
     assert D.clean(make(rows + hot), items(spark)).count() == 60
+
+
+def test_recall_of_brute_force_at_every_length():
+    """Every span of every document against every item, at production settings."""
+    r = random.Random(5)
+    usual = [WORDS[int(len(WORDS) * r.random() ** 4)] for _ in range(4000)]
+
+    def text(n):
+        return [r.choice(usual) for _ in range(n)]
+
+    def changed(w):  # 40% of the words changed, the last fifth kept
+        return [r.choice(usual) if k < len(w) * 4 // 5 and r.random() < 0.5 else x for k, x in enumerate(w)]
+
+    bench = [(i, " ".join(w[:len(w) * 4 // 5]) + ". " + " ".join(w[len(w) * 4 // 5:])) for i, w in enumerate(text(n) for n in [1, 4, 4, 10, 20, 20, 40, 40, 70, 1500])]
+    docs = []
+    for _, t in bench:
+        w = t.replace(".", "").split()
+        docs += [text(150) + w + text(100), text(33) + changed(w) + text(40), text(70) + w[:len(w) // 2] + text(70)]
+    docs = [" ".join(d) for d in docs]
+    seen = np.bincount(np.concatenate([np.unique(D.buckets(D.item_words(d))) for d in docs]), minlength=D.BUCKETS)
+    idf = np.where(seen > 0, np.log1p(len(docs) / np.maximum(seen, 1)), np.log(2 + len(docs))).astype(np.float32)
+    rows = np.zeros((len(bench), D.BUCKETS), np.float32)
+    for i, t in bench:
+        at, x = D.vector(D.item_words(t), idf)
+        rows[i, at] = x
+    support = np.flatnonzero(rows.any(0))
+    queries = D.Queries(bench, idf, support, np.ascontiguousarray(np.linalg.svd(rows[:, support], full_matrices=False)[2].T))
+    wanted = {}
+    for d, t in enumerate(docs):
+        words = D.item_words(t)
+        for i, needle in enumerate(queries.words):
+            n, answer = len(needle), queries.answers[i]
+            for k in range(0, len(words), max(1, n // 4)):
+                span = words[k:k + D.STRETCH * n].tolist()
+                share = D.common(needle, span) / n
+                if share >= D.VERBATIM or share >= D.PARAPHRASE and D.common(answer, span) / len(answer) >= D.ANSWER:
+                    wanted[d, i] = max(share, wanted.get((d, i), 0))
+    data = np.frombuffer("".join(docs).encode(), np.uint8)
+    got = queries.matches(*word_hashes(data, np.concatenate([[0], np.cumsum([len(d) for d in docs])]), NO_LETTER))
+    assert len(wanted) >= 20 and all((3 * i, i) in wanted for i in range(len(bench)))
+    assert all(got[k][1] >= v for k, v in wanted.items() if k in got) and set(wanted) <= set(got)
