@@ -25,6 +25,7 @@ from gaugework.llm.frames import WORD, running_totals
 from gaugework.session import literal_table
 
 WEIGHTS = (3, 1, 2)
+SHARES = 1 << 30  # of a document, in which rounding is carried on
 ROUNDS = 8  # of the shuffle; each moves about half of the indices
 
 
@@ -145,12 +146,23 @@ def packed(docs: DataFrame, block: int = 128, shards: int = 16, weights: tuple =
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of `docs`, each as many times as the mix takes it, to the nearest whole."""
+    """The rows of `docs`, each as many times as the mix takes it, rounded up or down.
+
+    What rounding one document gives or takes is carried on to the next of its source, in order of size. So a source's words differ
+    from those the mix takes by at most those of its longest document; rows with equal id, text and source round alike and count as one.
+    """
+    key = ["_text_key", "_no_id", "_id", "_no_source", "_source"]
+    no_source, source = F.col("source").isNull().alias("_no_source"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("_source")
     taken = mix(docs, **settings).groupBy(
-        F.col("text_key").alias("_text_key"), F.col("doc_id").isNull().alias("_no_id"), F.coalesce("doc_id", F.lit(0)).alias("_id"),
-    ).agg(F.floor(F.sum("taken") / F.greatest(F.sum("size"), F.lit(1)) + 0.5).cast("int").alias("_times"))
+        F.col("text_key").alias("_text_key"), F.col("doc_id").isNull().alias("_no_id"), F.coalesce("doc_id", F.lit(0)).alias("_id"), no_source, source,
+    ).agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size")).where("_taken > 0")
+    part = F.expr(f"(_taken % _size) * {SHARES} div _size")
+    placed = running_totals(taken.withColumn("_part", part), ["_no_source", "_source", "_size", "_id", "_no_id", "_text_key"], {"_upto": F.col("_part")}, "rounded")
+    half = SHARES // 2
+    times = placed.select(*key, F.expr(f"cast(_taken div _size + (_upto + {half}) div {SHARES} - (_upto - _part + {half}) div {SHARES} as int)").alias("_times"))
     keyed = docs.withColumns({
         "_text_key": F.xxhash64("text"), "_no_id": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")),
+        "_no_source": no_source, "_source": source,
     })
-    repeated = keyed.join(taken.where("_times > 0"), ["_text_key", "_no_id", "_id"])
+    repeated = keyed.join(times.where("_times > 0"), key)
     return repeated.withColumn("_copy", F.explode(F.expr("sequence(1, _times)"))).select(*docs.columns)

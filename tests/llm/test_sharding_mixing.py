@@ -93,3 +93,14 @@ def test_mixed_documents(odd, none):
     words = {r["doc_id"] for r in out.collect()}
     assert {4, 5, 6, 7, 8, 9, 10, 11, 12, None} <= words and not words & {1, 2, 3}
     assert M.mixed_documents(none).count() == 0 and M.mix(none).count() == 0
+
+
+def test_mixed_documents_meet_the_targets(make):
+    """Documents of many blocks, each of which averages its source's ratio."""
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(300 + i)), "en", "abc"[i % 3]) for i in range(150)]
+    docs = make(rows)
+    target = {r["source"]: r["target"] for r in M.mix(docs, block=8, least=1.0, share=1.4).collect()}
+    words = {}
+    for r in M.mixed_documents(docs, block=8, least=1.0, share=1.4).collect():
+        words[r["source"]] = words.get(r["source"], 0) + len(r["text"].split())
+    assert set(words) == set(target) and all(abs(words[s] - target[s]) <= 500 for s in target), (words, target)
