@@ -2,11 +2,13 @@
 
 Detected are e-mail addresses, telephone, card and social-security numbers, IBANs, IPv4 addresses, access keys, tokens and
 passwords, and names of persons after a form of address. Every distinct entity of the corpus gets one surrogate, so all its mentions, in
-whatever document, stay one (coreference); name parts are entities of their own, so a surname alone still goes with the full name.
+whatever document, stay one (coreference). Parts of names are entities of their own, one for each spelling whether it stands first, last
+or alone, and the corpus as a whole settles their gender: any form of address that shows one counts, and if both occur the more frequent,
+male on a tie. In a second pass, what a document names after a form of address is also replaced where it stands bare, in capitals or
+with a capital letter.
 
 A surrogate is drawn from a keyed hash of the entity and keeps its format: letters stay letters of the same script and case,
-digits digits, separators as they are; card numbers and IBANs keep valid check digits, a first name keeps the gender its form of address
-shows. A draw is refused while another entity holds the same surrogate or the surrogate is itself an entity of the corpus; it is then
+digits digits, separators as they are; card numbers and IBANs keep valid check digits, a first name keeps the gender settled for it. A draw is refused while another entity holds the same surrogate or the surrogate is itself an entity of the corpus; it is then
 drawn anew with the next attempt's number, with one more character from attempt `LONGER` on, so it always ends. The checks
 are joins over the table of distinct entities.
 
@@ -22,7 +24,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,6 +49,8 @@ PATTERNS = {
     "phone": re.compile(r"(?<![\d(])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?!\d)"),
     "name": re.compile(rf"\b({'|'.join(MALE + FEMALE + NEUTRAL)})(?:\.|\b)[ \t]+({_NAME}(?:[ \t]+{_NAME}){{0,2}})"),
 }
+_PART = re.compile(r"[^\W\d_]+")
+_WORD = re.compile(rf"(?<!\w){_PART.pattern}(?:-{_PART.pattern})*(?!\w)")
 _DIGITS = re.compile(r"\d[\d ()+.-]{5,}\d")
 _WORDY = re.compile(r"(?i)token|secret|api[_-]?key|passw|pwd")
 _KEYED = re.compile(r"[A-Z]{2}\d{2}[ A-Z0-9]{8}")
@@ -89,13 +93,36 @@ def detect(text: str) -> list[tuple[int, int, str]]:
     return sorted(found)
 
 
+def named(kind: str) -> bool:
+    return kind == "last" or kind.startswith("first")
+
+
+def bare(text: str, found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """`found` with the other places of the names in it."""
+    names = {}
+    for b, e, kind in found:
+        if named(kind):
+            names.setdefault(text[b:e].casefold(), kind)
+    if not names:
+        return found
+    taken = bytearray(len(text))
+    for b, e, _ in found:
+        taken[b:e] = b"\1" * (e - b)
+    more = []
+    for m in _WORD.finditer(text):
+        # A double name as a whole, or else its parts.
+        pieces = [m] if m[0].casefold() in names else _PART.finditer(text, *m.span())
+        more += [(*p.span(), names[p[0].casefold()]) for p in pieces if p[0][0].isupper() and p[0].casefold() in names and not any(taken[p.start():p.end()])]
+    return sorted(found + more)
+
+
 def entity(kind: str, text: str) -> str:
     """What all mentions of one entity have in common."""
     if kind in ("card", "iban"):
         return re.sub(r"[ -]", "", text)
     if kind == "phone":
         return re.sub(r"[^\d+]", "", text)
-    return text.lower() if kind == "email" else text.casefold() if kind == "last" or kind.startswith("first") else text
+    return text.lower() if kind == "email" else text.casefold() if named(kind) else text
 
 
 class Draw:
@@ -194,7 +221,7 @@ def mentions(docs: DataFrame) -> DataFrame:
             rows = []
             for i, t in enumerate(b.column(2)):
                 text = t.as_py() or ""
-                rows += [(i, s, e, kind, entity(kind, text[s:e]), text[s:e]) for s, e, kind in detect(text)]
+                rows += [(i, s, e, kind, entity(kind, text[s:e]), text[s:e]) for s, e, kind in bare(text, detect(text))]
             at = pa.array([r[0] for r in rows], pa.int64())
             kinds = (pa.int32(), pa.int32(), pa.string(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays(
@@ -206,6 +233,26 @@ def mentions(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def settled(found: DataFrame) -> DataFrame:
+    """(name, settled): what kind the mentions of a name have in all documents; a first name's gender is that of most mentions that show one."""
+    counts = found.where(is_name()).groupBy(F.col("entity").alias("name")).agg(
+        *[F.count_if(F.col("kind") == k).alias(k) for k in ("first_m", "first_f", "first_n")],
+    )
+    kind = F.when(F.expr("first_m > 0 and first_m >= first_f"), "first_m").when(F.expr("first_f > 0"), "first_f").when(F.expr("first_n > 0"), "first_n")
+    return counts.select("name", F.coalesce(kind, F.lit("last")).alias("settled"))
+
+
+def is_name() -> Column:
+    return F.col("kind").isin("last", "first_m", "first_f", "first_n")
+
+
+def names_settled(found: DataFrame) -> DataFrame:
+    """`found` with `drawn_as`: the kind that its entity is drawn as, one for each name."""
+    names = settled(found)
+    joined = found.join(names, is_name() & (F.col("entity") == F.col("name")), "left")
+    return joined.withColumn("drawn_as", F.coalesce("settled", "kind")).drop("name", "settled")
+
+
 def assigned(entities: DataFrame, key: str = KEY) -> DataFrame:
     """(kind, entity, chosen) for distinct (kind, entity): surrogates that are distinct within a kind and name no entity of it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,13 +261,15 @@ def assigned(entities: DataFrame, key: str = KEY) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([surrogate(*x, key) for x in zip(kind, text, attempt)], pa.string())], names=["kind", "entity", "attempt", "chosen"])
 
     schema = "kind string, entity string, attempt int, chosen string"
+    space = F.when(is_name(), "name").otherwise(F.col("kind")).alias("space")  # names of all kinds keep apart
     drawn = stored(entities.select("kind", "entity", F.lit(0).alias("attempt")).mapInArrow(run, schema), "drawn")
-    taken = entities.select("kind", F.col("entity").alias("chosen"))
+    taken = entities.select(space, F.col("entity").alias("chosen"))
     while True:
         # Of those with one surrogate the first to have drawn it keeps it; settled ones come first as their attempt is lower.
-        holder = drawn.groupBy("kind", "chosen").agg(F.min(F.struct("attempt", "entity")).alias("holder"), F.count("*").alias("n"))
-        twice = drawn.join(holder.where("n > 1"), ["kind", "chosen"]).where("entity <> holder.entity").select("kind", "entity")
-        clash = drawn.join(taken, ["kind", "chosen"], "left_semi").select("kind", "entity")
+        spaced = drawn.select("*", space)
+        holder = spaced.groupBy("space", "chosen").agg(F.min(F.struct("attempt", "entity")).alias("holder"), F.count("*").alias("n"))
+        twice = spaced.join(holder.where("n > 1"), ["space", "chosen"]).where("entity <> holder.entity").select("kind", "entity")
+        clash = spaced.join(taken, ["space", "chosen"], "left_semi").select("kind", "entity")
         again = stored(twice.union(clash).distinct(), "again")
         if again.isEmpty():
             return drawn.select("kind", "entity", "chosen")
@@ -232,13 +281,13 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
     """The rows of `docs` (doc_id, text and any others) with surrogates in the text, and `entities`, an array of (kind, start, end,
     surrogate) by place in the old text. A column named `entities` is replaced."""
     docs = docs.drop("entities")
-    found = stored(mentions(docs), "mentions")
-    chosen = assigned(found.select("kind", "entity").distinct(), key)
-    named = found.join(chosen, ["kind", "entity"]).groupBy("doc_id", "text_key").agg(
+    found = stored(names_settled(stored(mentions(docs), "mentions")), "settled")
+    chosen = assigned(found.select(F.col("drawn_as").alias("kind"), "entity").distinct(), key).withColumnRenamed("kind", "drawn_as")
+    listed = found.join(chosen, ["drawn_as", "entity"]).groupBy("doc_id", "text_key").agg(
         F.array_sort(F.collect_set(F.struct("start", "end", "kind", "mention", "chosen"))).alias("_found"),
     ).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_found")
     rows = docs.withColumn("_text_key", F.xxhash64("text"))
-    rows = rows.join(named, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left").select(*docs.columns, "_found")
+    rows = rows.join(listed, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left").select(*docs.columns, "_found")
     item = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("surrogate", T.StringType())])
     schema = T.StructType([*docs.schema.fields, T.StructField("entities", T.ArrayType(item))])
     text_at = docs.columns.index("text")

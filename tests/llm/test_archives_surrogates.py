@@ -123,3 +123,18 @@ def test_surrogates_of_odd_rows(odd, none):
     assert set(out.columns) == set(odd.columns) and len(rows) == odd.count() and S.replaced(none).count() == 0
     old = {r["doc_id"]: r["text"] for r in odd.collect()}
     assert all(r["text"] == old[r["doc_id"]] for r in rows)
+
+
+def test_a_person_stays_one(make):
+    rows = [
+        (1, "Mrs Maria Lopez came.", None, None), (2, "Dr Maria Lopez and Prof Maria Lopez-Diaz came.", None, None), (3, "Mr John came.", None, None),
+        (4, "Mr John Smith spoke. Smith left. John Smith agreed, said SMITH; a smith and Smithson did not.", None, None),
+    ]
+    got = {r["doc_id"]: r for r in S.replaced(make(rows)).collect()}
+    first = {r: got[r]["entities"][0]["surrogate"] for r in got}
+    assert first[1] == first[2] == got[2]["entities"][2]["surrogate"] and first[1][-1] in "aeiou"
+    assert first[3] == first[4] and first[3][-1] not in "aeiou"
+    assert [e["surrogate"].lower() for e in got[1]["entities"]] == [e["surrogate"].lower() for e in got[2]["entities"][:2]]
+    text = got[4]["text"]
+    last = got[4]["entities"][1]["surrogate"]
+    assert text == f"Mr {first[4]} {last} spoke. {last} left. {first[4]} {last} agreed, said {last.upper()}; a smith and Smithson did not."
