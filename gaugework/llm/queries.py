@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugework.llm import bottom_k, dictionary_warc, hilbert_shards, hyperminhash, language_id, latent_decontamination, maxent_lm, mixing, suffix_dedup, surrogates
+from gaugework.llm import bottom_k, dictionary_warc, hilbert_shards, hyperminhash, language_id, latent_decontamination, maxent_lm, mixing, source_audit, suffix_dedup, surrogates, token_alignment
 from gaugework.llm.frames import id_crc, table
 from gaugework.llm.registry import query
-from gaugework.llm.sql import ARCHIVES_SQL, curve_sql, mixing_sql, near_duplicates_sql
+from gaugework.llm.sql import ARCHIVES_SQL, AUDIT_SQL, curve_sql, mixing_sql, near_duplicates_sql
 
 
 @query("op1_hilbert_shards", curve_sql())
@@ -67,3 +69,18 @@ def op9_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_mixing", mixing_sql())
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+# Where the public vocabulary files lie on the machine that plans the job; tasks get their content.
+VOCABULARIES = "/opt/tokenizers"
+
+
+@query("op12_token_alignment")
+def op12_token_alignment(spark: SparkSession, sf_dir: str, vocabularies: str = VOCABULARIES) -> DataFrame:
+    a, b = (Path(vocabularies, name).read_bytes() for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.align(table(spark, sf_dir, "documents"), a, b)
+
+
+@query("op13_source_audit", AUDIT_SQL)
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf_dir, "documents"))
