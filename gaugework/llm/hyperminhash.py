@@ -5,13 +5,12 @@ A register keeps, of the smallest hash in its bucket, the number of leading zero
 a band lie next to each other and are read as one 64-bit key.
 
 Documents with equal shingle sets are one *class*; all later steps work on classes. A bucket of classes is never paired with
-itself: each member is compared with one pivot, links are joined to components, and only members of one bucket that still lie
-in different components are compared with each other. Candidates are judged by the collision-corrected estimate first, links by
-the full sets.
+itself: each member is compared with one pivot, links are joined to components, and members of one bucket that still lie
+in different components meet on what their differences to the pivot have in common (`pivots`). Candidates are judged by the
+collision-corrected estimate first, links by the full sets.
 
 With 32 bands of 4 registers two sets at the threshold 0.8 share no band in fewer than 5 of 10^8 cases, and the estimate of a
-pair at the threshold falls below `ESTIMATE_FROM` in fewer than 1 of 10^6. What pivots leave apart is compared only where
-an exact bound allows a link (`left_apart`).
+pair at the threshold falls below `ESTIMATE_FROM` in fewer than 1 of 10^6. What pivots leave apart meets by an exact bound.
 
 Defined results: a null, empty or blank text has no shingles, is linked with nothing and kept. A text with fewer than
 `size` words has one shingle. Repeated rows get the same result. A null doc_id counts as larger than all others; a component
@@ -27,8 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.llm.components import components
 from gaugework.llm.frames import stored, text_runs
+from gaugework.llm.pivots import full_sets, resolve
 from gaugework.llm.words import distinct_by_doc, mix, shingle_hashes, word_hashes
 
 REGISTERS, PER_BAND, MANTISSA = 128, 4, 10
@@ -132,101 +131,6 @@ def estimated(pairs: DataFrame, classes: DataFrame, from_: float) -> DataFrame:
     return rows.select("a", "b", "n_a", "n_b", "r_a", "r_b").mapInArrow(run, "a binary, b binary")
 
 
-def full_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, size: int) -> DataFrame:
-    """(node, members): the whole shingle sets of classes, as packed sorted hashes, from one document of each."""
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for x, y, data, offsets in text_runs(b.column(1), RUN_BYTES):
-                shingles, by_doc = distinct_by_doc(*shingle_hashes(*word_hashes(data, offsets), size))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(x, y - x), pa.array([shingles[p:q].tobytes() for p, q in zip(by_doc[:-1], by_doc[1:])], pa.binary())], names=["node", "members"],
-                )
-
-    source = nodes.join(classes, "node").select("node", "source.*")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    found = texts.join(source, (texts["text_key"] == source["text_key"]) & texts["doc_id"].eqNullSafe(source["doc_id"])).select("node", "text")
-    return stored(found.mapInArrow(sets, "node binary, members binary").dropDuplicates(["node"]), "sets")
-
-
-def verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with 100 * intersection >= percent * union of the full sets."""
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = []
-            for x, y in zip(b.column(2), b.column(3)):
-                p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = np.concatenate([p, q])
-                both.sort()
-                inter = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * inter >= percent * (len(both) - inter))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    side = lambda x: full.select(F.col("node").alias(x), F.col("members").alias(f"s_{x}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "s_a", "s_b").mapInArrow(compare, "a binary, b binary")
-
-
-def deltas(pairs: DataFrame, full: DataFrame) -> DataFrame:
-    """(node, pivot, inside, added): how many shingles a class shares with a pivot, and the hashes of those it does not share."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            inside, added = [], []
-            for x, y in zip(b.column(2), b.column(3)):
-                p, q = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                new = np.setdiff1d(p, q, assume_unique=True)
-                inside.append(len(p) - len(new))
-                added.append(new.view(np.int64))
-            ends = np.concatenate([[0], np.cumsum([len(v) for v in added])]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(inside, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*added, np.zeros(0, np.int64)])))],
-                names=["node", "pivot", "inside", "added"],
-            )
-
-    side = lambda x: full.select(F.col("node").alias(x), F.col("members").alias(f"s_{x}"))
-    rows = pairs.join(side("node"), "node").join(side("pivot"), "pivot").select("node", "pivot", "s_node", "s_pivot")
-    return stored(rows.mapInArrow(run, "node binary, pivot binary, inside long, added array<long>"), "deltas")
-
-
-def left_apart(apart: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with different labels that may be linked, of classes that share a bucket with a pivot.
-
-    Two sets have in common at most what the smaller of their shares in the pivot allows, and the shingles outside the pivot that
-    both hold. If the first alone reaches the threshold for both, they are paired directly; such classes mostly have the pivot's own
-    label. All others must share shingles outside the pivot, so an index on those finds them: near copies that differ from the
-    middle of their group in different ways never meet.
-    """
-    delta = deltas(apart.select("node", "pivot").distinct(), full)
-    rows = stored(apart.join(delta.drop("added"), ["node", "pivot"]), "apart")
-    enough = lambda common, sizes: F.expr(f"{percent} * ({sizes}) <= {100 + percent} * ({common})")
-    least = rows.groupBy("band", "key").agg(F.min("n_shingles").alias("least"))
-    near = torn(rows.join(least, ["band", "key"]).where(enough("inside", "n_shingles + least")))
-    other = near.select("band", "key", *[F.col(c).alias(f"{c}2") for c in ("node", "label", "n_shingles", "inside")])
-    direct = near.join(other, ["band", "key"]).where((F.col("label") < F.col("label2")) & enough("least(inside, inside2)", "n_shingles + n_shingles2"))
-    # How many shingles outside the pivot a class must share at least, whatever its partner; of its outside shingles, rarest first,
-    # all but that many and one can stay out of the index.
-    q = 100 + percent
-    smallest = rows.groupBy("pivot").agg(F.min("n_shingles").alias("least"))
-    size = f"n_shingles + greatest(least, ({percent} * n_shingles + 99) div 100)"
-    need = F.expr(f"greatest(1, ({percent} * ({size}) + {q - 1}) div {q} - inside)").alias("need")
-    each = rows.select("node", "pivot", "label", "n_shingles").distinct().join(smallest, "pivot").join(delta, ["node", "pivot"])
-    outside = each.select("node", "pivot", "label", need, F.explode("added").alias("h"))
-    common = outside.groupBy("pivot", "h").agg(F.count("*").alias("n")).where("n > 1")
-    shared = outside.join(common, ["pivot", "h"]).groupBy("node", "pivot", "label", "need").agg(F.sort_array(F.collect_list(F.struct("n", "h"))).alias("x"))
-    indexed = shared.where("size(x) >= need").select("node", "pivot", "label", F.explode(F.expr("slice(x, 1, cast(size(x) - need + 1 as int))")).alias("x")).select("node", "pivot", "label", "x.h")
-    same = indexed.select("pivot", "h", F.col("node").alias("node2"), F.col("label").alias("label2"))
-    met = indexed.join(same, ["pivot", "h"]).where("label < label2")
-    return direct.select(*ordered("node", "node2")).union(met.select(*ordered("node", "node2"))).distinct()
-
-
-def ordered(a: str, b: str) -> list:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-
-
-def torn(placed: DataFrame) -> DataFrame:
-    """The rows of buckets that hold different labels."""
-    buckets = placed.groupBy("band", "key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("band", "key")
-    return placed.join(buckets, ["band", "key"], "left_semi")
-
-
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, text_key, n_shingles, component_id, kept) for every row of `docs` (doc_id, text).
 
@@ -244,22 +148,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     )).alias("band", "key"))
     shared = bands.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(bands.join(shared, ["band", "key"]), "members")
-    # The pivot of a bucket is the member that shares most: the middle of a group of near copies.
-    weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
-    pivots = members.join(weight, "node").groupBy("band", "key").agg(F.max_by("node", F.struct("weight", "node")).alias("pivot"))
-    members = stored(members.drop("n").join(pivots, ["band", "key"]), "pivots").where("node <> pivot")
-    full = full_sets(members.select("node").union(members.select("pivot")).distinct(), docs, classes, size)
-    star = members.select(*ordered("node", "pivot")).distinct()
-    links = stored(verified(estimated(star, classes, ESTIMATE_FROM), full, percent), "links")
-    labels = components(links)
-
-    # What the pivots left apart: members of one bucket in different components.
-    placed = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    apart = stored(torn(placed).select("band", "key", "node", "pivot", "label", "n_shingles"), "torn")
-    if not apart.isEmpty():
-        rest = stored(verified(estimated(left_apart(apart, full, percent), classes, ESTIMATE_FROM), full, percent), "links")
-        if not rest.isEmpty():
-            labels = components(links.union(rest))
+    full = full_sets(members.select("node").distinct(), docs, classes, size)
+    labels = resolve(members.select(F.xxhash64("band", "key").alias("bucket"), "node"), full, percent, lambda pairs: estimated(pairs, classes, ESTIMATE_FROM))
 
     first = classes.select("node", F.col("source.doc_id").alias("id"))
     named = first.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -272,11 +162,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
 def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs` with one document of each component, the one with the least doc_id; repeated rows are one document."""
-    kept = near_duplicates(docs, size, percent).where("kept").select(
-        F.col("text_key").alias("_text_key"), F.col("doc_id").isNull().alias("_no_id"), F.coalesce("doc_id", F.lit(0)).alias("_id"),
-    ).distinct()
-    keyed = docs.withColumns({
-        "_text_key": F.xxhash64("text"), "_no_id": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")),
-    })
-    keys = ["_text_key", "_no_id", "_id"]
-    return keyed.join(kept, keys, "left_semi").dropDuplicates(keys).select(*docs.columns)
+    text_key, no_id, id_ = F.xxhash64("text").alias("text_key"), F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id")
+    keys = ["text_key", "no_id", "id"]
+    kept = near_duplicates(docs, size, percent).where("kept").select("text_key", no_id, id_).distinct()
+    keyed = docs.select(F.struct("*").alias("row"), text_key, no_id, id_)  # the caller's columns apart, whatever their names
+    return keyed.join(kept, keys, "left_semi").dropDuplicates(keys).select("row.*")

@@ -7,10 +7,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugework.llm import bottom_k, dictionary_warc, hilbert_shards, hyperminhash, language_id, latent_decontamination, maxent_lm, mixing, source_audit, suffix_dedup, surrogates, token_alignment
+from gaugework.llm import bottom_k, dictionary_warc, hilbert_shards, hyperminhash, language_id, latent_decontamination, maxent_lm, mixing, partenum, source_audit, suffix_dedup, surrogates, token_alignment
 from gaugework.llm.frames import id_crc, table
 from gaugework.llm.registry import query
-from gaugework.llm.sql import ARCHIVES_SQL, AUDIT_SQL, curve_sql, mixing_sql, near_duplicates_sql
+from gaugework.llm.sql import ARCHIVES_SQL, AUDIT_SQL, curve_sql, jaccard_join_sql, mixing_sql, near_duplicates_sql
 
 
 @query("op1_hilbert_shards", curve_sql())
@@ -71,6 +71,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op11_partenum_join", jaccard_join_sql(size=3, percent=90))
+def op11_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.joined(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 # Where the public vocabulary files lie on the machine that plans the job; tasks get their content.
 VOCABULARIES = "/opt/tokenizers"
 

@@ -76,6 +76,10 @@ FROM s LEFT JOIN c ON list_sort(s.g) = c.g LEFT JOIN label ON label.id = c.id
 """
 
 
+def jaccard_join_sql(size: int, percent: int) -> str:
+    return f"SELECT doc_id, n_shingles, component_id FROM ({near_duplicates_sql(size, percent)})"
+
+
 def mixing_sql(block: int = 128, shards: int = 16, share: float = 1.5, most: float = 2.0, seed: int = 1) -> str:
     def number(*parts: str) -> str:
         return f"('0x' || substr(md5(concat_ws(':', {', '.join(parts)})), 1, 12))::BIGINT"

@@ -1,11 +1,14 @@
 """Words of whole texts as 64-bit hashes, computed over many documents at once in numpy.
 
 A word is a longest run of bytes other than those of `between`, by default space and tab to carriage return; A-Z count as a-z. Its hash is a polynomial
-over its bytes modulo 2^64, taken from prefix sums, and mixed; equal words have equal hashes on every machine.
+over its bytes modulo 2^64, taken from prefix sums, and mixed; equal words have equal hashes on every machine. Words of more than
+`LONG_WORD` bytes, where such polynomials can be made to agree, are hashed by BLAKE2.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 _U = np.uint64
@@ -16,6 +19,7 @@ for _a, _b in ((48, 58), (65, 91), (97, 123)):
     NO_LETTER[_a:_b] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+LONG_WORD = 256
 BASE = 0x9E3779B97F4A7C15 | 1
 _POWERS: list[np.ndarray] = []
 
@@ -62,7 +66,10 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPA
     starts, ends, by_doc = bounds(data, offsets, between)
     sums = prefix_sums(data, _FOLDED)
     _, down = powers(len(data))
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), by_doc
+    hashes = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        hashes[i] = int.from_bytes(hashlib.blake2b(_LOWER[data[starts[i]:ends[i]]].tobytes(), digest_size=8).digest(), "little")
+    return hashes, by_doc
 
 
 def shingle_hashes(words: np.ndarray, by_doc: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
