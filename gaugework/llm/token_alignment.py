@@ -19,7 +19,6 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +26,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugework.llm.frames import stored, text_runs
-from gaugework.llm.runs import RUN_BYTES, counted, pack, run_ids, unpack
+from gaugework.llm.runs import counted, pack, run_ids, unpack
 
 # Fixed value: how the byte-level vocabulary cuts a text into words before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+ALIGN_BYTES = 1 << 20  # text in a run; a task holds some 100 times as much while it aligns one
 WHITE_RUN = 50_000  # white space of this length goes to the slower encoder: the other's pattern search gives up somewhere above
 
 
@@ -80,7 +80,7 @@ class Encoders:
         t.encode_special_tokens = True
         return t.encode(text, add_special_tokens=False).ids
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """A and B ids of each text that both spell; none of either for the others."""
         a, b = [], []
         for text, of_b in zip(texts, self._b.encode(texts, num_threads=1)):
@@ -89,11 +89,23 @@ class Encoders:
             spelt = whole.encode()
             if not text or b"".join(map(self.a_bytes.__getitem__, of_a)) != spelt or b"".join(map(self.b_bytes.__getitem__, of_b)) != spelt:
                 of_a, of_b = [], []
-            a.append(of_a)
-            b.append(of_b)
+            a.append(np.array(of_a, np.int64))
+            b.append(np.array(of_b, np.int64))
         return a, b
 
 
+_LOADED: dict[str, Encoders] = {}
+
+
+def encoders_of(a_file: bytes, b_file: bytes) -> Encoders:
+    """The tokenizers of two files, kept by the worker for its next task."""
+    key = hashlib.sha256(a_file + b_file).hexdigest()
+    if key not in _LOADED:
+        _LOADED.clear()
+        _LOADED[key] = Encoders(a_file, b_file)
+    return _LOADED[key]
+
+
 def long_white(text: str) -> bool:
     return len(text) >= WHITE_RUN and max(map(len, "".join(" " if c.isspace() else "x" for c in text).split("x"))) >= WHITE_RUN
 
@@ -150,7 +162,7 @@ def aligned(texts: list[str], encoders: Encoders) -> dict:
     """Token, group and link figures of each text, and its links as (document, A id, B id)."""
     ids = encoders.encode(texts)
     counts = [np.array([len(doc) for doc in side], np.int64) for side in ids]
-    flat = [np.fromiter(chain.from_iterable(side), np.int64, int(n.sum())) for side, n in zip(ids, counts)]
+    flat = [np.concatenate([*side, np.zeros(0, np.int64)]) for side in ids]
     ends = [np.cumsum(width[x]) for width, x in zip(encoders.widths, flat)]  # one line of bytes for all texts
     starts = [np.concatenate([[0], e[:-1]]) if len(e) else e for e in ends]
     a_group, b_group, groups = coalesced(starts[0], ends[0], starts[1], ends[1])
@@ -173,7 +185,7 @@ FIGURES = ("n_a", "n_b", "n_groups", "n_links")
 RUN_SCHEMA = "run long, pos long, pair long, n long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, links binary"
 
 
-def runs(docs: DataFrame, a_file: bytes, b_file: bytes, run_bytes: int = RUN_BYTES) -> DataFrame:
+def runs(docs: DataFrame, a_file: bytes, b_file: bytes, run_bytes: int = ALIGN_BYTES) -> DataFrame:
     """Rows of two kinds: a pair of a run's dictionary (run, pos, pair, n), or a document of the run with its figures and links."""
     spark = docs.sparkSession
     files = spark.sparkContext.broadcast((a_file, b_file))
@@ -186,7 +198,7 @@ def runs(docs: DataFrame, a_file: bytes, b_file: bytes, run_bytes: int = RUN_BYT
             return pa.RecordBatch.from_arrays([pa.array(given[k], t) if k in given else pa.nulls(many, t) for k, t in zip(names, types)], names=names)
 
         for batch in batches:
-            encoders = encoders or Encoders(*files.value)
+            encoders = encoders or encoders_of(*files.value)
             for x, y, _, _ in text_runs(batch.column(1), run_bytes):
                 texts = [t or "" for t in batch.column(1).slice(x, y - x).to_pylist()]
                 found, run = aligned(texts, encoders), next(numbers)
@@ -207,7 +219,7 @@ def pair_counts(listed: DataFrame) -> DataFrame:
     return counts.select("pair", "count", (F.col("count") == most).alias("best"))
 
 
-def align(docs: DataFrame, a_file: bytes, b_file: bytes, run_bytes: int = RUN_BYTES) -> DataFrame:
+def align(docs: DataFrame, a_file: bytes, b_file: bytes, run_bytes: int = ALIGN_BYTES) -> DataFrame:
     """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) for every row of `docs` (doc_id, text)."""
     every = stored(runs(docs, a_file, b_file, run_bytes), "aligned")
     listed = every.where("pair is not null").select("run", "pos", "pair", "n")
