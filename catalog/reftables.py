@@ -192,3 +192,22 @@ def table_info(spark, d):
     t = define("orders", order_table(spark, d))
     cells = [F.struct(F.lit(r).alias("role"), F.lit(n).alias("name"), F.lit(u).alias("unit"), F.lit(k).alias("type")) for _, r, n, u, k in info_rows(t)]
     return table(spark, d, "nation").select("n_nationkey", F.inline(F.array(*cells)))
+
+
+@query("j6_two_versions", """WITH o AS (SELECT o_orderkey AS "Key [ ]", o_totalprice AS p, o_orderstatus AS s FROM orders)
+SELECT 'first' AS version, "Key [ ]", p AS "Price [usd]" FROM o
+UNION ALL SELECT 'second', "Key [ ]", CASE WHEN s = 'O' THEN p + 1 ELSE p END FROM o
+UNION ALL SELECT 'third', "Key [ ]", CASE WHEN s = 'O' THEN p + 1 ELSE p END FROM o WHERE s <> 'F'""")
+def two_versions(spark, d):
+    """A table before an upsert, after it, and after a delete, each read as its own version."""
+    store = _store(spark, d, "j6v")
+    numbers = [store.version("orders")]
+    store.save("orders", order_table(spark, d).where("Status = 'O'").withColumn("Price [usd]", F.col("`Price [usd]`") + 1))
+    numbers.append(store.version("orders"))
+    store.delete("orders", where="[Status] = 'F'")
+    numbers.append(store.version("orders"))
+    parts = [
+        store.load("orders", version=n).select(F.lit(name).alias("version"), "`Key [ ]`", "`Price [usd]`")
+        for name, n in zip(("first", "second", "third"), numbers)
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from catalog import query
-from catalog.frames import DEPTH_SQL, TIME_SQL, depth_samples, static_samples, table, text_samples, time_samples
+from catalog.frames import DEPTH_SQL, TEXT_SQL, TIME_SQL, depth_samples, static_samples, table, text_samples, time_samples
 from gaugework.operators.reshape import tab_lines
 from gaugework.session import new_folder
 from gaugework.sources import files
@@ -193,6 +194,56 @@ def store_all_types(spark, d):
     return store.scan().groupBy("signal_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("a12_scan_depth_range", f"""SELECT entity, signal, CAST(NULL AS TIMESTAMP) AS date, depth, value_num, CAST(NULL AS VARCHAR) AS value_str
+FROM (SELECT entity, signal, depth, avg(value_num) AS value_num FROM {DEPTH_SQL} GROUP BY ALL) WHERE depth BETWEEN 2 AND 9
+UNION ALL SELECT entity, signal, date, NULL, NULL, value_str FROM {TEXT_SQL} WHERE date BETWEEN TIMESTAMP '2024-01-05' AND TIMESTAMP '2024-01-25'""")
+def scan_depth_range(spark, d):
+    store = SignalStore(spark, new_folder(spark, "a12d"))
+    store.save(depth_samples(spark, d).groupBy("entity", "signal", "depth").agg(F.avg("value_num").alias("value_num")), "depth")
+    store.save(text_samples(spark, d), "time string")
+    store.save(static_samples(spark, d).where("signal = 'balance'"), "static")
+    found = store.scan(signal_type=["depth", "time string", "static"], start=datetime(2024, 1, 5), end=datetime(2024, 1, 25), depth_start=2.0, depth_end=9.0)
+    return found.select("entity", "signal", "date", "depth", "value_num", "value_str")
+
+
+class _Interrupted(Exception):
+    """Stands for a driver that is lost."""
+
+
+def _interrupted(change, table):
+    """Run a change whose driver is lost after its files are written and before they become a version."""
+    def lost(*_):
+        raise _Interrupted
+
+    table._commit = lost
+    try:
+        change()
+    except _Interrupted:
+        pass
+    finally:
+        del table._commit
+
+
+@query("a11_delete_interrupted", f"""SELECT 'broken off' AS state, signal, count(*) AS n, round(sum(value_num), 2) AS total FROM {TIME_SQL} GROUP BY 2
+UNION ALL SELECT 'as it was', signal, count(*), round(sum(value_num), 2) FROM {TIME_SQL} GROUP BY 2
+UNION ALL SELECT 'done', signal, count(*), round(sum(value_num), 2) FROM {TIME_SQL} s WHERE NOT (
+EXISTS (SELECT 1 FROM (SELECT CAST(c_custkey AS VARCHAR) AS entity, 'view' AS signal FROM customer WHERE c_mktsegment = 'MACHINERY') p
+WHERE p.entity = s.entity AND p.signal = s.signal) AND date >= TIMESTAMP '2024-01-10' AND date <= TIMESTAMP '2024-01-20') GROUP BY 2""")
+def delete_interrupted(spark, d):
+    store = _store(spark, d, "a11i")
+    first = store.table.version()
+    change = lambda: store.delete(_pairs(spark, d), "date", datetime(2024, 1, 10), datetime(2024, 1, 20))
+    _interrupted(change, store.table)
+    broken = store.scan()
+    change()
+    states = {"broken off": broken, "as it was": store.scan(version=first), "done": store.scan()}
+    counted = [
+        rows.groupBy("signal").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value_num"), 2).alias("total")).select(F.lit(state).alias("state"), "signal", "n", "total")
+        for state, rows in states.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), counted)
+
+
 _PAIRS_SQL = "(SELECT CAST(c_custkey AS VARCHAR) AS entity, 'view' AS signal FROM customer WHERE c_mktsegment = 'MACHINERY')"
 
 

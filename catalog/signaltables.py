@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from catalog import query
 from catalog.frames import (
-    DEPTH_SQL, EDGES_SQL, TIME_SQL, depth_samples, edges, signals, table, text_samples, time_samples, units,
+    DEPTH_SQL, EDGES_SQL, TIME_SQL, depth_samples, edges, signals, static_samples, table, text_samples, time_samples, units,
 )
 from gaugework.plans.context import Context, ContextList, Scope
-from gaugework.plans.signals import SignalData, load_contexts, load_data, load_pvt, load_signals, table_to_samples
+from gaugework.plans.signals import SignalData, load_contexts, load_data, load_pvt, load_signals, stored_data, table_to_samples
 from gaugework.plans.tables import load_script_table, pivot_table, table_names
 from gaugework.session import new_folder
+from gaugework.sources.signal_store import SignalStore
 from gaugework.sources.pivot_store import delete_pivot, load_pivot, save_pivot
 
 
@@ -78,6 +79,24 @@ def load_raw(spark, d):
     return load_signals(SignalData(time=time_samples(spark, d)), signals(spark), units(spark), ["purchase"], Context(scope=january(None)), strict=True)
 
 
+@query("l1_from_store", f"""WITH t AS (SELECT entity, date_trunc('day', date) AS b, round(sum(value_num) * 100, 4) AS p FROM {TIME_SQL}
+WHERE signal = 'purchase' AND {IN_JANUARY} GROUP BY ALL),
+k AS (SELECT CAST(user_id AS VARCHAR) AS entity, date_trunc('day', ts) AS b, string_agg(event_type, '' ORDER BY ts, event_type) AS k FROM events
+WHERE ts BETWEEN TIMESTAMP '2024-01-03' AND TIMESTAMP '2024-01-20' GROUP BY ALL),
+s AS (SELECT CAST(c_custkey AS VARCHAR) AS entity, c_acctbal AS b FROM customer)
+SELECT k.entity AS "Entity", k.b AS "Date", p AS "purchase [cent]", k AS "kind [ ]", s.b AS "balance [usd]" FROM k LEFT JOIN t ON t.entity = k.entity AND t.b = k.b
+JOIN s ON s.entity = k.entity""")
+def load_from_store(spark, d):
+    """Numbers, texts and static values of one table, all from the store."""
+    store = SignalStore(spark, new_folder(spark, "l1s"))
+    store.save(time_samples(spark, d), "time")
+    store.save(text_samples(spark, d), "time string")
+    store.save(static_samples(spark, d).where("signal = 'balance'"), "static")
+    wanted, context = ["purchase [cent]", "kind", "balance"], Context(scope=january())
+    data = stored_data(store, wanted, signals(spark), units(spark), context)
+    return _rounded(load_signals(data, signals(spark), units(spark), wanted, context), ["purchase [cent]"])
+
+
 @query("l2_load_first_values", f"""SELECT entity, signal, date, value_num FROM (SELECT *, row_number() OVER (PARTITION BY entity, signal ORDER BY date, value_num) AS rn
 FROM {TIME_SQL} WHERE entity IN (SELECT name FROM {MACHINERY_SQL}) AND signal = 'view') WHERE rn <= 2""")
 def load_first(spark, d):

@@ -23,6 +23,7 @@ from gaugework.operators.units import conversion, converted
 from gaugework.operators.window import fill_grid, first_values, interpolate_at
 from gaugework.plans.context import DEFAULT_DEPTH_STEP, DEFAULT_TIME_STEP, Context, ContextList
 from gaugework.session import kept
+from gaugework.sources.signal_store import SignalStore
 
 AXIS_COLUMN = {"time": "date", "depth": "depth"}
 OUT_COLUMN = {"time": DATE, "depth": DEPTH}
@@ -273,6 +274,18 @@ def load_signals(
     return result.withColumnRenamed(DEPTH, header(DEPTH, depth_unit)) if depth_unit else result
 
 
+def stored_data(store: SignalStore, wanted: list, signals: DataFrame, units: DataFrame, context: Context, scenario: str | None = None) -> SignalData:
+    """Samples of the wanted signals from a store, numbers and texts of each axis together, only from files that can hold some."""
+    specs, scope, axes = resolve_signals(wanted, signals, units), context.scope, {}
+    for axis in ("static", "time", "depth"):
+        names = sorted({s.name for s in specs if s.axis == axis})
+        if names:
+            ends = {} if axis == "static" else dict(zip(("start", "end") if axis == "time" else ("depth_start", "depth_end"), (getattr(scope, f"{axis}_{e}") for e in ("start", "end"))))
+            kinds = [k for k, a in AXIS_OF_TYPE.items() if a == axis]
+            axes[axis] = store.scan(names, signal_type=kinds, scenario=scenario, **ends)
+    return SignalData(**axes)
+
+
 def resample(
     samples: DataFrame, axis: str, step: str, how: str, value: str = "value_num", percentile: float = 1.0,
     keys: tuple[str, ...] = ("entity", "signal"), out: str = "value",

@@ -75,29 +75,33 @@ class RefTableStore:
             df = newest(df, index, order).drop(order)
         self._rows(table).save(self._stored(table, df), table.keys, skip_existing)
 
-    def load(self, name: str, start=None, end=None, **options) -> DataFrame:
-        """Filters reach the scan; a time range also prunes months."""
+    def version(self, name: str) -> int | None:
+        return self._rows(self.info(name)).version()
+
+    def load(self, name: str, start=None, end=None, version: int | None = None, **options) -> DataFrame:
+        """Filters reach the scan; a time range also excludes files by month. ``version`` reads the table as it was."""
         table = self.info(name)
-        rows = self._rows(table).read()
+        stored = self._rows(table)
+        files = stored.files(version)
         if start is not None or end is not None:
-            rows = rows.where(months(start, end, MONTH))
-        return load_rows(rows.drop(MONTH), table, self.units, start=start, end=end, **options)
+            files = files.where(months(start, end, MONTH))
+        return load_rows(stored.read(files=files).drop(MONTH), table, self.units, start=start, end=end, **options)
 
     def delete(
         self, name: str, keys: DataFrame | None = None, start=None, end=None, drop_null_times: bool = False, **conditions
     ) -> None:
-        """Delete by conditions combined by AND; a time range also prunes months."""
+        """Delete by conditions combined by AND; a time range also excludes files by month."""
         table = self.info(name)
         condition = delete_condition(table, start=start, end=end, drop_null_times=drop_null_times, **conditions)
+        rows, files = self._rows(table), None
         if start is not None or end is not None:
             reached = months(start, end, MONTH)
-            condition = condition & (reached | F.col(MONTH).isNull() if drop_null_times else reached)
-        rows = self._rows(table)
+            files = rows.files().where(reached | F.col(MONTH).isNull() if drop_null_times else reached)
         if keys is None:
-            rows.delete(condition)
+            rows.delete(condition, files=files)
             return
         tuples = keys.select(*[col(given).alias(k) for given, k in zip(keys.columns, table.keys)])
-        rows.delete(condition, tuples, table.keys)
+        rows.delete(condition, tuples, table.keys, files)
 
     def drop(self, name: str) -> None:
         """Rows first, then the definition."""
