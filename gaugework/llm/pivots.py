@@ -30,7 +30,7 @@ from gaugework.llm.frames import stored, text_runs
 from gaugework.llm.words import distinct_by_doc, shingle_hashes, word_hashes
 
 SET_BYTES = 1 << 18  # text worked on at once
-SMALL = 32  # members of a bucket that are paired with each other instead of with a pivot
+SMALL = 128  # members of a bucket that are paired with each other instead of with a pivot
 PAIR_KEYS = ["parent", "pivot"]
 
 
@@ -139,25 +139,39 @@ def meetings(groups: DataFrame, labels: DataFrame, full: DataFrame, percent: int
     return sized.where("linked").select(*ordered("node", "pivot")), pairs, members
 
 
+def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links: only the components that these join are gone through again."""
+    ends = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).distinct()
+    every = stored(labels.unionByName(ends.join(labels, "node", "left_anti").select("node", F.col("node").alias("label"))), "labels")
+    side = lambda x: every.select(F.col("node").alias(x), F.col("label").alias(f"l_{x}"))
+    across = stored(links.join(side("a"), "a").join(side("b"), "b").where("l_a <> l_b").select(*ordered("l_a", "l_b")).distinct(), "across")
+    if across.isEmpty():
+        return every
+    further = components(across).select(F.col("node").alias("label"), F.col("label").alias("further"))
+    return stored(every.join(further, "label", "left").select("node", F.coalesce("further", "label").alias("label")), "labels")
+
+
 def resolve(members: DataFrame, full: DataFrame, percent: int, likely: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(node, label) of the components of links among `members` (bucket, node); classes without a link may be left out.
 
     `full` holds the sets of all members. `likely` may narrow pairs (a, b) before their sets are compared; it must keep all links.
     """
     likely = likely or (lambda pairs: pairs)
-    links, level = None, members.withColumn("parent", F.lit(0).cast("long"))
+    level, labels = stored(members.select(F.lit(0).cast("long").alias("parent"), "bucket", "node").distinct(), "level"), None
     while True:
-        level = stored(level.select("parent", "bucket", "node").distinct(), "level")
         weight = level.groupBy("node").agg(F.count("*").alias("weight"))
         pivots = level.join(weight, "node").groupBy("parent", "bucket").agg(F.max_by("node", F.struct("weight", "node")).alias("pivot"))
         groups = stored(level.join(pivots, ["parent", "bucket"]).where("node <> pivot").select(*PAIR_KEYS, "node").distinct(), "groups")
-        found = verified(likely(groups.select(*ordered("node", "pivot")).distinct()), full, percent)
-        links = stored(found if links is None else links.union(found).distinct(), "links")
-        labels = components(links)
+        links = stored(verified(likely(groups.select(*ordered("node", "pivot")).distinct()), full, percent), "links")
+        labels = components(links) if labels is None else relabelled(labels, links)
         rest = meetings(groups, labels, full, percent)
         if rest is None:
             return labels
-        with_pivot, pairs, level = rest
-        links = stored(links.union(with_pivot).union(verified(likely(pairs), full, percent)).distinct(), "links")
+        with_pivot, pairs, following = rest
+        labels = relabelled(labels, stored(with_pivot.union(verified(likely(pairs), full, percent)).distinct(), "links"))
+        # Buckets that lie in one component by now need no level of their own.
+        rows = with_labels(following.select("parent", "bucket", "node").distinct(), labels)
+        several = rows.groupBy("parent", "bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("parent", "bucket")
+        level = stored(rows.drop("label").join(several, ["parent", "bucket"], "left_semi"), "level")
         if level.isEmpty():
-            return components(links)
+            return labels
