@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from catalog.frames import (
 )
 from gaugework.plans.context import Context, ContextList, Scope
 from gaugework.plans.signals import SignalData, load_contexts, load_data, load_pvt, load_signals, stored_data, table_to_samples
-from gaugework.plans.tables import load_script_table, pivot_table, table_names
+from gaugework.plans.tables import load_all_script_tables, load_script_table, pivot_table, table_names
 from gaugework.session import new_folder
 from gaugework.sources.signal_store import SignalStore
 from gaugework.sources.pivot_store import delete_pivot, load_pivot, save_pivot
@@ -186,6 +187,28 @@ def script_by_index(spark, d):
     return _script(spark, d, -1)
 
 
+@query("l4_one_signal_two_units", f"""SELECT entity AS "Entity", date_trunc('day', date) AS "Date", round(sum(value_num), 4) AS "A [usd]",
+round(sum(value_num) * 100, 4) AS "B [cent]", round(sum(value_num), 4) AS "C [usd]" FROM {TIME_SQL} WHERE signal = 'purchase' GROUP BY 1, 2""")
+def one_signal_two_units(spark, d):
+    names = table(spark, d, "orders").select(F.col("o_orderpriority").alias("table_name")).distinct()
+    columns = [(0, "A", '"purchase" in "usd"'), (1, "B", '"purchase" in "cent"'), (2, "C", '"purchase" in "usd"')]
+    cells = [F.struct(F.lit(i).alias("position"), F.lit(c).alias("column_name"), F.lit("").alias("unit"), F.lit(f).alias("formula")) for i, c, f in columns]
+    done = load_script_table(
+        names.select("table_name", F.inline(F.array(*cells))), 0, SignalData(time=time_samples(spark, d)), signals(spark), units(spark), Context(scope=Scope(time_step="Daily")),
+    )
+    return _rounded(done, ["A [usd]", "B [cent]", "C [usd]"])
+
+
+@query("l4_all_tables", f"""WITH daily AS (SELECT entity, date_trunc('day', date) AS b, sum(value_num) FILTER (signal = 'purchase') AS p,
+avg(value_num + 273.15) FILTER (signal = 'view') AS v FROM {TIME_SQL} WHERE signal IN ('purchase', 'view') GROUP BY ALL)
+SELECT o_orderpriority AS "Table", entity AS "Entity", b AS "Date", round(p * 100, 4) AS "Spent [cent]", round(v, 4) AS "Seen [K]"
+FROM daily, (SELECT DISTINCT o_orderpriority FROM orders)""")
+def all_script_tables(spark, d):
+    found = load_all_script_tables(definitions(spark, d), SignalData(time=time_samples(spark, d)), signals(spark), units(spark), Context(scope=Scope(time_step="Daily")))
+    named = [t.select(F.lit(name).alias("Table"), "*") for name, t in found.items()]
+    return _rounded(reduce(lambda a, b: a.unionByName(b), named), ["Spent [cent]", "Seen [K]"])
+
+
 @query("l5_table_names", "SELECT DISTINCT o_orderpriority AS table_name FROM orders")
 def names(spark, d):
     return table_names(definitions(spark, d))

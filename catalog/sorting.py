@@ -32,6 +32,13 @@ def saved_rows(spark, d):
     return rows.agg(F.count(F.lit(1)).cast("int").alias("n"), (F.max("o_orderkey") >= 0).alias("has_rows"))
 
 
+@query("g2_saved_rows_in_order", """SELECT o_custkey, o_orderkey, o_totalprice FROM orders ORDER BY o_custkey, o_orderkey LIMIT 40""")
+def saved_rows_in_order(spark, d):
+    root = new_folder(spark, "g2o")
+    save_pivot(table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_totalprice"), root, "orders")
+    return load_pivot(spark, root, "orders", rows=40, order=["o_custkey", "o_orderkey"])
+
+
 @query("g2_saved_rows_all", "SELECT o_orderkey, o_totalprice FROM orders")
 def saved_rows_all(spark, d):
     root = new_folder(spark, "g2a")

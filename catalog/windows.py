@@ -66,10 +66,9 @@ def grid_daily(spark, d):
 
 
 @query("f4_grid_hourly_own_range", _GRID.format(
-    bucket="date_trunc('hour', date)", src=f"(SELECT * FROM {TIME_SQL} WHERE signal = 'purchase')", start="lo", end="hi", step="1 HOUR"))
+    bucket="date_trunc('hour', date)", src=TIME_SQL, start="lo", end="hi", step="1 HOUR"))
 def grid_hourly(spark, d):
-    rows = time_samples(spark, d).where("signal = 'purchase'")
-    hourly = resample(rows, "time", "Hourly", "Sum")
+    hourly = resample(time_samples(spark, d), "time", "Hourly", "Sum")
     done = fill_grid(hourly, ["entity", "signal"], "bucket", "value", "Hourly", -1.0)
     return done.withColumn("value", F.round("value", 4))
 

@@ -21,12 +21,13 @@ HOT_KEYS = 1_000
 
 
 def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a side is small enough to broadcast.
+    """Whether a side is small enough to broadcast: at most so many rows, and at most BROADCAST_BYTES of them.
 
-    The optimizer's size, an upper bound for scans, filters and local relations, mostly says so without a job. Where it
-    does not, as after a grouping, rows are counted, but never past what the bytes allow.
+    The optimizer's size of a file scan is the compressed size, which says little about rows. So rows are counted, but never past the
+    limit; only a table written in code, whose size the optimizer knows, needs no job.
     """
-    if rows == BROADCAST_ROWS and int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= BROADCAST_BYTES:
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if rows == BROADCAST_ROWS and plan.nodeName() == "LocalRelation" and int(str(plan.stats().sizeInBytes())) <= BROADCAST_BYTES:
         return True
     most = min(rows, BROADCAST_BYTES // max(1, df._jdf.schema().defaultSize()))
     return df.select(F.lit(1)).limit(most + 1).count() <= most

@@ -81,16 +81,26 @@ def fill_grid(
 ) -> DataFrame:
     """A regular time grid per group with ``gap`` where no value is known.
 
-    ``resampled`` has one row per group and bucket. Open ends are taken from each group's own range.
+    ``resampled`` has one row per group and bucket. Open ends are taken from each group's own range. Each row looks at the next of its
+    group and stands for the buckets up to it, the first row also for those before and the last for those after it; only the missing ones
+    are made, and nothing is joined.
     """
-    name = canonical("time increment", step)
-    groups = resampled.groupBy(*map(col, keys)).agg(F.min(date).alias("__first"), F.max(date).alias("__last"))
-    first = time_bucket(start, name) if start is not None else F.col("__first")
-    last = time_bucket(end, name) if end is not None else F.col("__last")
-    grid = _grid(groups.where(first <= last), first, last, name, date).drop("__first", "__last")
-    return grid.join(resampled, [*keys, date], "left").withColumn(
-        value, F.coalesce(col(value), F.lit(gap).cast(resampled.schema[value].dataType))
-    )
+    name, by = canonical("time increment", step), W.partitionBy(*map(col, keys)).orderBy(date)
+    following, previous = F.lead(date).over(by), F.lag(date).over(by)
+    placed = resampled.withColumns({"__own": col(date), "__next": following, "__is_first": previous.isNull()})
+    first = time_bucket(start, name) if start is not None else F.col("__own")
+    last = time_bucket(end, name) if end is not None else F.col("__own")
+    # A row's buckets begin at its own, or at the grid's first; they end before the next row's, or at the grid's last.
+    begins = F.greatest(F.when(F.col("__is_first"), first).otherwise(F.col("__own")), first) if start is not None else F.col("__own")
+    ends = F.coalesce(F.least(F.col("__next"), last) if end is not None else F.col("__next"), last)
+    spans = placed.withColumns({"__first": begins, "__last": ends}).where(F.col("__first") <= F.col("__last")).drop(date)
+    grid = _grid(spans, F.col("__first"), F.col("__last"), name, date)
+    mine = F.when(col(date) == F.col("__own"), col(value))
+    made = grid.where(F.col("__next").isNull() | (col(date) < F.col("__next")))
+    filled = made.withColumn(value, F.coalesce(mine, F.lit(gap).cast(resampled.schema[value].dataType)))
+    others = [c for c in resampled.columns if c not in (*keys, date, value)]
+    kept_cells = {c: F.when(col(date) == F.col("__own"), col(c)) for c in others}
+    return filled.withColumns(kept_cells).select(*map(col, [*keys, date]), *map(col, [c for c in resampled.columns if c not in (*keys, date)]))
 
 
 def newest(df: DataFrame, keys: list[str], batch: str) -> DataFrame:

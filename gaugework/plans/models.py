@@ -6,13 +6,14 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (
+    ClassificationModel,
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, NaiveBayes, RandomForestClassifier,
 )
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import (
     Bucketizer, MinMaxScaler, Normalizer, OneHotEncoder, QuantileDiscretizer, RobustScaler, SQLTransformer, StandardScaler,
-    StringIndexer, VectorAssembler,
+    StringIndexer, VectorAssembler, StringIndexerModel,
 )
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -164,13 +165,25 @@ def train(
     return Pipeline(stages=[*stages, model]).fit(rows)
 
 
+def label_names(model: PipelineModel) -> list[str] | None:
+    """The classes of a classifier in order of their index: those of the stage that indexed its label column. None for other models."""
+    fitted = model.stages[-1]
+    while hasattr(fitted, "bestModel"):
+        fitted = fitted.bestModel
+    label = fitted.getOrDefault("labelCol") if isinstance(fitted, ClassificationModel) else None
+    return next((list(s.labels) for s in model.stages if isinstance(s, StringIndexerModel) and s.getOutputCol() == label), None)
+
+
 def predict(model: PipelineModel, df: DataFrame, as_labels: bool = False) -> DataFrame:
-    """Input columns and ``prediction``: a number, or for classifiers, where asked for, the class's label."""
+    """Input columns and ``prediction``: a number, or for classifiers, where asked for, the class's label.
+
+    Other models have no labels; their predictions stay numbers.
+    """
     done = model.transform(df).select(*[col(c) for c in df.columns], "prediction")
-    if not as_labels:
+    names = label_names(model) if as_labels else None
+    if names is None:
         return done
-    labels = F.array(*[F.lit(v) for v in model.stages[0].labels])
-    return done.withColumn("prediction", F.element_at(labels, F.col("prediction").cast("int") + 1))
+    return done.withColumn("prediction", F.element_at(F.array(*map(F.lit, names)), F.col("prediction").cast("int") + 1))
 
 
 # --- one linear model per entity, from sums ---------------------------------------------------------

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugework.functions.names import col, formula_signal, formula_unit, header
 from gaugework.plans.context import Context, resolve_context
-from gaugework.plans.signals import SignalData, load_signals
+from gaugework.plans.signals import SignalData, load_signals, resolve_signals
+from gaugework.sources.partitioned import stored_once
 
 # Definitions are rows of (table_name, position, column_name, unit, formula).
 DEFINITION_SCHEMA = "table_name string, position int, column_name string, unit string, formula string"
@@ -33,26 +36,53 @@ def pick_table(definitions: DataFrame, table: str | int) -> str:
     return names[table]
 
 
+def _parts(rows: list) -> list[tuple[str, str, str]]:
+    """(signal, unit, header) of each column of a defined table, in order."""
+    return [(r["signal"], r["signal_unit"].strip(), header(r["column_name"], (r["unit"] or "").strip() or r["signal_unit"].strip())) for r in rows]
+
+
+def _loaded(parts: list[tuple[str, str, str]], data: SignalData, signals: DataFrame, units: DataFrame, context: Context) -> tuple[DataFrame, list[str], dict]:
+    """Each (signal, unit) once, the index columns, and the loaded column of each."""
+    wanted = list(dict.fromkeys((signal, unit) for signal, unit, _ in parts))
+    found = load_signals(data, signals, units, wanted, context)
+    specs = {w: resolve_signals([w], signals, units) for w in wanted}
+    columns = {w: s[0].header for w, s in specs.items() if s and s[0].header in found.columns}
+    return found, [c for c in found.columns if c not in columns.values()], columns
+
+
 def load_script_table(
     definitions: DataFrame, table: str | int, data: SignalData, signals: DataFrame, units: DataFrame, context: Context,
 ) -> DataFrame:
-    """One defined table: its signals loaded in the context, under the defined column names."""
+    """One defined table: its signals loaded in the context, under the defined column names.
+
+    A signal may stand in several columns, in the same unit or in others.
+    """
     name = pick_table(definitions, table)
-    rows = column_signals(definitions).where(F.col("table_name") == name).orderBy("position").collect()
-    wanted = [(r["signal"], r["signal_unit"].strip()) for r in rows]
-    loaded = load_signals(data, signals, units, wanted, context)
-    bare = {c.split(" [")[0]: c for c in loaded.columns}
-    named = {bare[r["signal"]]: header(r["column_name"], (r["unit"] or "").strip() or r["signal_unit"].strip()) for r in rows}
-    index = [c for c in loaded.columns if c not in named]
-    return loaded.select(*map(col, index), *[col(c).alias(n) for c, n in named.items()])
+    parts = _parts(column_signals(definitions).where(F.col("table_name") == name).orderBy("position").collect())
+    found, index, columns = _loaded(parts, data, signals, units, context)
+    return found.select(*map(col, index), *[col(columns[s, u]).alias(n) for s, u, n in parts if (s, u) in columns])
 
 
 def load_all_script_tables(
     definitions: DataFrame, data: SignalData, signals: DataFrame, units: DataFrame, context: Context
 ) -> dict[str, DataFrame]:
-    """Every defined table; one plan each, nothing is run here."""
-    names = [r[0] for r in table_names(definitions).orderBy("table_name").collect()]
-    return {n: load_script_table(definitions, n, data, signals, units, context) for n in names}
+    """Every defined table, cut from one load of the signals of all of them, which is computed once.
+
+    A table has the rows that hold a value in one of its own columns.
+    """
+    rows = column_signals(definitions).orderBy("table_name", "position").collect()
+    by_table = {t: _parts([r for r in rows if r["table_name"] == t]) for t in dict.fromkeys(r["table_name"] for r in rows)}
+    if not by_table:
+        return {}
+    found, index, columns = _loaded([p for parts in by_table.values() for p in parts], data, signals, units, context)
+    found = stored_once(found)
+    tables = {}
+    for name, parts in by_table.items():
+        mine = [(columns[s, u], n) for s, u, n in parts if (s, u) in columns]
+        if mine:
+            some = reduce(lambda a, b: a | b, [col(c).isNotNull() for c, _ in mine])
+            tables[name] = found.where(some).select(*map(col, index), *[col(c).alias(n) for c, n in mine])
+    return tables
 
 
 def pivot_table(

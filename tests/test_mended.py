@@ -80,3 +80,32 @@ def test_no_temporary_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="checkpoint"):
         session.shared_folder(Elsewhere)
+
+
+def test_labels_only_where_there_are_some(spark):
+    from gaugework.plans.models import label_names
+
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import StringIndexer, VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    rows = spark.createDataFrame([(float(i), "low" if i < 10 else "high", "u" if i % 2 else "v") for i in range(20)], "x double, y string, z string")
+    other, own, parts = StringIndexer(inputCol="z", outputCol="zi"), StringIndexer(inputCol="y", outputCol="yi", stringOrderType="alphabetAsc"), VectorAssembler(inputCols=["x"], outputCol="f")
+    of = lambda *stages: Pipeline(stages=list(stages)).fit(rows)
+    assert label_names(of(other, own, parts, LogisticRegression(featuresCol="f", labelCol="yi"))) == ["high", "low"]
+    assert label_names(of(other, parts, LinearRegression(featuresCol="f", labelCol="x"))) is None
+
+
+def test_gaps_before_between_and_after(spark):
+    from gaugework.operators.window import fill_grid
+
+    day = lambda d: datetime(2024, 1, d)
+    rows = [("a", day(3), 3.0, "x"), ("a", day(6), None, "y"), ("b", day(9), 9.0, "z"), ("c", day(1), 1.0, "w")]
+    df = literal_table(spark, rows, "k string, t timestamp_ntz, v double, o string")
+    at = lambda d: F.lit(str(day(d))).cast("timestamp_ntz")
+    got = sorted((r["k"], r["t"].day, r["v"], r["o"]) for r in fill_grid(df, ["k"], "t", "v", "Daily", -1.0, at(2), at(7)).collect())
+    values = {("a", 3): (3.0, "x"), ("a", 6): (-1.0, "y")}
+    assert got == [(k, d, *values.get((k, d), (-1.0, None))) for k in "abc" for d in range(2, 8)]
+    own = sorted((r["k"], r["t"].day, r["v"]) for r in fill_grid(df, ["k"], "t", "v", "Daily", -1.0).collect())
+    assert own == [("a", 3, 3.0), ("a", 4, -1.0), ("a", 5, -1.0), ("a", 6, -1.0), ("b", 9, 9.0), ("c", 1, 1.0)]

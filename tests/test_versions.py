@@ -107,3 +107,11 @@ def test_ranges_of_both_axes(spark):
     assert s.scan(depth_start=3).count() == 7 and s.scan(signal_type=["depth", "static string"]).count() == 11
     s.delete(pair(spark, "d"), "depth", 2.0, 4.0)
     assert s.scan(signal_type="depth").count() == 7
+
+
+def test_a_compressible_side_is_counted(spark):
+    from gaugework.operators.joins import BROADCAST_ROWS, fits
+
+    path = new_folder(spark, "wide")
+    spark.range(BROADCAST_ROWS + 50_000).select(F.lit("x" * 60).alias("k"), F.lit(1).alias("v")).coalesce(1).write.parquet(path)
+    assert not fits(spark.read.parquet(path)) and fits(spark.read.parquet(path).limit(1000)) and fits(literal_table(spark, [(1,)], "k int"))
