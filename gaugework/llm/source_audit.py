@@ -2,7 +2,7 @@
 
 Which terms set a source apart within its language, and how far sources of a language lie from each other. Documents are placed
 by language and source and read in runs; each document counts its white-space chunks as positions in the run's dictionary.
-Each chunk that is distinct corpus-wide is cut into terms once; the terms are joined back to the dictionaries, and
+Each chunk that is distinct corpus-wide is cut into terms once, where all runs' entries of it meet; the terms go back to the runs, and
 a run adds up occurrences and distinct documents of its terms by source before anything is shuffled.
 
 All arithmetic is on whole numbers: a term with count n of a group with N occurrences of V kept terms has the weight
@@ -17,32 +17,31 @@ columns play no role. A text is held whole by one task, with some 60 bytes of me
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugework.llm.frames import stored, text_runs
-from gaugework.llm.runs import RUN_BYTES, counted, pack, run_ids, unpack
-from gaugework.llm.words import bounds
+from gaugework.llm.runs import counted, pack, run_ids, unpack
+from gaugework.llm.words import SPACE, bounds
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LEAST_DOCUMENTS, TOP = 10, 10
+AUDIT_BYTES = 12 << 20  # text in a run; the longer it is, the fewer words its dictionary has for it
 SCALE_STEP = 1000  # 10^9 = SCALE_STEP^3
 
 
 def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """Distinct white-space chunks, most frequent first, with the row and code of every chunk."""
     starts, ends, by_doc = bounds(data, offsets)
-    at = np.zeros(len(data) + 1, np.int32)
-    at[starts] += 1
-    at[ends] -= 1
-    inside = np.cumsum(at[:-1]).astype(bool)
     edges = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
-    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(edges.tobytes()), pa.py_buffer(data[inside].tobytes()))
+    words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(edges), pa.py_buffer(data[~SPACE[data]]))
     found = words.dictionary_encode()
     codes = found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     order = np.argsort(-np.bincount(codes, minlength=len(found.dictionary)), kind="stable")
@@ -54,7 +53,7 @@ def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray,
 RUN_SCHEMA = "run long, pos long, chunk string, lang string, source string, counts binary"
 
 
-def runs(docs: DataFrame, run_bytes: int = RUN_BYTES) -> DataFrame:
+def runs(docs: DataFrame, run_bytes: int = AUDIT_BYTES) -> DataFrame:
     """Rows of two kinds: a chunk of a run's dictionary (run, pos, chunk), or a document (run, lang, source, counts)."""
     names, types = [c.split()[0] for c in RUN_SCHEMA.split(", ")], [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.binary()]
 
@@ -108,12 +107,26 @@ def of_run(left: pa.Table, right: pa.Table) -> pa.Table:
     })
 
 
-def term_counts(docs: DataFrame, run_bytes: int = RUN_BYTES) -> tuple[DataFrame, DataFrame]:
+def cut_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Terms of the chunks of a dictionary, in order of the chunk; chunks without a term are left out."""
+    find, fold = re.compile(TERM).findall, str.maketrans(UPPER, LOWER)
+    last, last_terms = None, []
+    for b in filter(len, batches):
+        found = b.column(2).dictionary_encode()
+        words = found.dictionary.to_pylist()
+        terms = [last_terms if w == last else find(w.translate(fold)) for w in words]
+        last, last_terms = words[-1], terms[-1]
+        out = pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(terms, pa.list_(pa.string())).take(found.indices)], names=["of_run", "pos", "terms"])
+        yield out.filter(pc.greater(pc.list_value_length(out.column(2)), 0))
+
+
+def term_counts(docs: DataFrame, run_bytes: int = AUDIT_BYTES) -> tuple[DataFrame, DataFrame]:
     """(lang, source, term, n, documents), and the distinct (lang, source) of `docs`."""
     every = stored(runs(docs, run_bytes), "chunked")
     listed = every.where("chunk is not null").select("run", "pos", "chunk")
-    cut = listed.select("chunk").distinct().select("chunk", F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0)).alias("terms"))
-    known = listed.join(cut.where("size(terms) > 0"), "chunk").select(F.col("run").alias("of_run"), "pos", "terms")
+    # All runs' entries of a chunk lie next to each other, so each distinct chunk is cut once and the terms go back with the entries.
+    near = listed.repartition("chunk").sortWithinPartitions("chunk")
+    known = near.mapInArrow(cut_once, "of_run long, pos long, terms array<string>")
     of_docs = every.where("counts is not null").select("run", "lang", "source", "counts")
     schema = "lang string, source string, term string, n long, documents long"
     counted_runs = of_docs.groupBy("run").cogroup(known.groupBy("of_run")).applyInArrow(of_run, schema)
@@ -134,7 +147,7 @@ def apart(p: str, q: str) -> str:
     return f"((({p}) - ({q})) * (({p}) - ({q})) div (({p}) + ({q})))"
 
 
-def audit(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, top: int = TOP, run_bytes: int = RUN_BYTES) -> DataFrame:
+def audit(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS, top: int = TOP, run_bytes: int = AUDIT_BYTES) -> DataFrame:
     """(lang, source, part, item, value, rank): `pair` rows for the other sources of the language, `term` rows for its own terms.
 
     A language keeps the terms of at least `least_documents` of its documents; a group lists the `top` terms it has more of than
