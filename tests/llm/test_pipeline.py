@@ -8,7 +8,7 @@ import corpus_pipeline as P
 from gaugework.llm import registry
 from tools.check import database, difference
 
-NUMBERED = {f"op{n}" for n in range(1, 11)}
+NUMBERED = {f"op{n}" for n in range(1, 14)}
 
 
 def test_every_operator_has_one_query():
