@@ -31,6 +31,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores after it until no column of `df` has it in whatever case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered_columns(df: DataFrame) -> DataFrame:
+    """Columns named by their place, as mapInArrow takes no names with dots."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def text_bytes(column: str | Column) -> Column:
     """UTF-8 bytes of a text, none for null."""
     return F.coalesce(F.octet_length(column), F.lit(0)).cast("long")

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugework.functions.names import col
 from gaugework.llm.frames import running_totals, stored, text_bytes
 
 BITS = 4
@@ -110,7 +111,7 @@ def shard(docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, shards: int
 def sharded(docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, shards: int = 16, bits: int = BITS) -> DataFrame:
     """The rows of `docs` with `shard` and `curve`, laid out for writing: partitions are runs of the order, sorted within.
 
-    Columns of those names are replaced. Rows are compared with the least key of each shard, so whole texts move once; equal
+    Columns of those names, in whatever case, are replaced; all others are carried apart. Rows are compared with the least key of each shard, so whole texts move once; equal
     rows stay in one shard.
     """
     made = Curve(docs, dimensions, bits)
@@ -119,8 +120,9 @@ def sharded(docs: DataFrame, dimensions: tuple[str, ...] = DIMENSIONS, shards: i
     at = F.lit(starts[0]["shard"] if starts else 0)
     for r in starts[1:]:
         at = F.when(key >= F.struct(*[F.lit(r["least"][c]).cast(t).alias(c) for c, t in (("_curve", "long"), ("_id", "long"), ("_crc", "long"))]), F.lit(r["shard"])).otherwise(at)
-    kept = [c for c in docs.columns if c not in ("shard", "curve")]
-    placed = made.placed(made.keyed(docs)).withColumn("_shard", at)
+    row = F.struct(*[col(c) for c in docs.columns if c.lower() not in ("shard", "curve")]).alias("_row")
+    wide = docs.select(row, *dict.fromkeys(["doc_id", "text", *[d for d in dimensions if d != "size"]]))
     order = ["_curve", "_id", "_crc"]
+    placed = made.placed(made.keyed(wide)).select("_row", *order, at.alias("_shard"))
     laid = placed.repartitionByRange(*order).sortWithinPartitions(*order)
-    return laid.select(*kept, F.col("_shard").cast("int").alias("shard"), F.col("_curve").alias("curve"))
+    return laid.select("_row.*", F.col("_shard").cast("int").alias("shard"), F.col("_curve").alias("curve"))

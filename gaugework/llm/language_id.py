@@ -2,7 +2,8 @@
 
 Features are hashed n-grams of one to three characters of the whole lower-cased text. Document frequencies cover all training
 rows. The classifier is fitted by FTRL-proximal with an elastic net (`L1`, `L2`), so most weights are exactly zero, on a sample
-of about `PER_LANGUAGE` rows of each language, drawn by hash; a fifth of the sample is kept back to fit the temperature that
+of each language: the `PER_LANGUAGE` different texts of least hash, or all if there are fewer, a repeated text as often as its share of
+the language's rows asks for, so at most twice `PER_LANGUAGE` rows. A fifth of the sample's texts is kept back to fit the temperature that
 makes the scores probabilities. The fit runs in one task on that bounded sample; its weights, buckets x languages, are all that
 reaches the driver.
 
@@ -16,11 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugework.llm.frames import id_crc, stored
+from gaugework.llm.frames import free_name, id_crc, numbered_columns, stored
 
 BITS = 15
 BUCKETS = 1 << BITS
@@ -144,23 +145,27 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
     labels = sorted(sizes)
     df, texts = document_frequencies(rows)
     idf = (np.log((1 + texts) / (1 + df)) + 1).astype(np.float32)
-    share = F.create_map(*[F.lit(v) for k in labels for v in (k, min(1.0, per_language / sizes[k]))])
-    drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) < share[F.col("lang")] * (1 << 40)
+    # Equal texts are one row of the draw, so that neither all nor none of a language's rows come from a repeated text.
+    keys = rows.select("lang", F.xxhash64("text").alias("draw")).groupBy("lang", "draw").agg(F.count("*").alias("n"))
+    size = F.create_map(*[F.lit(v) for k in labels for v in (k, sizes[k])])[F.col("lang")]
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("draw")) <= per_language
+    times = F.greatest(F.lit(1), F.least("n", F.floor(F.col("n") * per_language / size))).cast("int").alias("times")
+    drawn = stored(keys.withColumn("_first", first).where("_first").select("lang", "draw", times), "draw")  # at most per_language rows of each language
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = [gram_counts(t.as_py()) for t in b.column(0)]
             yield pa.RecordBatch.from_arrays(
-                [b.column(1), b.column(2), pa.array([a.astype(np.int32).tobytes() for a, _ in got], pa.binary()), pa.array([c.astype(np.int32).tobytes() for _, c in got], pa.binary())],
-                names=["lang", "draw", "at", "n"],
+                [b.column(1), b.column(2), b.column(3), pa.array([a.astype(np.int32).tobytes() for a, _ in got], pa.binary()), pa.array([c.astype(np.int32).tobytes() for _, c in got], pa.binary())],
+                names=["lang", "draw", "times", "at", "n"],
             )
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         all_rows = []
         for b in batches:
-            for lang, draw, at, n in zip(*(b.column(k).to_pylist() for k in range(4))):
+            for lang, draw, times, at, n in zip(*(b.column(k).to_pylist() for k in range(5))):
                 a = np.frombuffer(at, np.int32)
-                all_rows.append((draw, a, weighted(a, np.frombuffer(n, np.int32), idf), labels.index(lang)))
+                all_rows += [(draw, a, weighted(a, np.frombuffer(n, np.int32), idf), labels.index(lang))] * times
         all_rows.sort(key=lambda r: r[0])
         part = [r[1:] for r in all_rows if r[0] % 5]
         held = [r[1:] for r in all_rows if r[0] % 5 == 0]
@@ -169,18 +174,36 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
         scale = temperature(logits, np.array([y for *_, y in held], int))
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()), pa.array([scale])], names=["weights", "scale"])
 
-    sample = rows.where(drawn).select("text", "lang", F.xxhash64("doc_id", "text").alias("draw"))
-    sample = stored(sample.mapInArrow(features, "lang string, draw long, at binary, n binary"), "sample")
+    sample = rows.select("text", "lang", F.xxhash64("text").alias("draw")).join(F.broadcast(drawn), ["lang", "draw"]).dropDuplicates(["lang", "draw"])
+    sample = stored(sample.select("text", "lang", "draw", "times").mapInArrow(features, "lang string, draw long, times int, at binary, n binary"), "sample")
     got = sample.coalesce(1).mapInArrow(train, "weights binary, scale double").first()
     return Model(labels, idf, np.frombuffer(got["weights"], np.float32).reshape(BUCKETS + 1, len(labels)), got["scale"])
 
 
+def sure(labels: int) -> float:
+    """The least score of a recognised text: a fifth over chance among two or more languages, less as chance nears 1. A calibrated score
+    that low says that the likeliest language is hardly likelier than the others, however many there are."""
+    return (1 + 0.2 * (1 - 1 / labels)) / labels
+
+
+def recognised(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """The rows of `docs` whose text has a letter and a score of at least `sure`; none if no row has a language."""
+    model, names = learn(docs, per_language), (free_name(docs, "_lang_pred"), free_name(docs, "_lang_score"))
+    found = scored(docs, model, names)
+    return found.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= sure(len(model.labels) if model else 1))).drop(*names)
+
+
 def labelled(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """The rows of `docs` (doc_id, text, lang and any others) with `_lang_pred` and `_lang_score`."""
-    model = learn(docs, per_language)
-    schema = T.StructType([*docs.schema.fields, T.StructField("_lang_pred", T.StringType()), T.StructField("_lang_score", T.DoubleType())])
+    """The rows of `docs` (doc_id, text, lang and any others) with `_lang_pred` and `_lang_score`; columns of those names are replaced."""
+    docs = docs.drop("_lang_pred", "_lang_score")
+    return scored(docs, learn(docs, per_language), ("_lang_pred", "_lang_score"))
+
+
+def scored(docs: DataFrame, model: Model | None, names: tuple[str, str]) -> DataFrame:
+    """The rows of `docs` with the likeliest language and its score under the given names."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
     if model is None:
-        return docs.withColumns({"_lang_pred": F.lit(UNKNOWN), "_lang_score": F.lit(0.0)})
+        return docs.withColumns({names[0]: F.lit(UNKNOWN), names[1]: F.lit(0.0)})
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text_at = docs.columns.index("text")
 
@@ -195,4 +218,4 @@ def labelled(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     letters = F.coalesce(F.regexp_like("text", F.lit(r"\p{L}")), F.lit(False))
-    return docs.withColumn("_letters", letters).mapInArrow(run, schema)
+    return numbered_columns(docs.withColumn(free_name(docs, "_letters"), letters)).mapInArrow(run, schema)

@@ -1,8 +1,8 @@
 """Mixing sources to target weights: packed blocks, drawn by index.
 
 The words of a source form one stream, documents in order of a keyed hash, cut into blocks of `block` words; the last may be
-short. The mix is a sequence of slots in output shards. How many slots a source has follows from its target; over which shards
-they spread is a multinomial draw, one seeded draw for each slot. Slot number j of a source reads the block number
+short. The mix is a sequence of slots in output shards. How many slots a source has follows from its target; how many of them each
+shard gets is a multinomial draw, and the slots are numbered shard by shard from these counts. Slot number j of a source reads the block number
 π(j mod n) of its n blocks, where π is a pseudorandom permutation of the indices that differs by source and by pass (a
 swap-or-not shuffle, which needs no table of length n). Every pass goes over all blocks once, so a block is read at most
 ⌈slots / n⌉ times, and no document more than twice as its target is at most twice its source.
@@ -18,7 +18,7 @@ role; `mixed_documents` passes them through.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gaugework.llm.frames import WORD, running_totals
@@ -92,22 +92,37 @@ def plan(placed: DataFrame, block: int, weights: tuple, share: float, least: flo
     return literal_table(placed.sparkSession, rows, schema)
 
 
+def numbered(rows: DataFrame, by: list[str]) -> DataFrame:
+    """Rows with `slots` numbers each from `first` on, as `slot`; spread over the cluster in pieces."""
+    step = 1 << 12
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number is not coalesced
+    many = rows.where("slots > 0").select(*by, "first", "slots", F.explode(F.expr(f"sequence(0L, (slots - 1) div {step})")).alias("_far"))
+    return many.repartition(parts, *by, "_far").select(
+        *by, F.explode(F.expr(f"sequence(first + _far * {step}, first + least(slots, (_far + 1) * {step}) - 1)")).alias("slot"),
+    )
+
+
+def drawn_counts(sources: DataFrame, shards: int, seed: int) -> DataFrame:
+    """(source_no, blocks, shard, slots, first): how many slots of a source each output shard gets, a multinomial draw of as many
+    trials as the source has slots; `first` numbers a shard's slots after those of the shards before it."""
+    source, trial, key = "cast(source_no as string)", "cast(slot as string)", f"'{seed}'"
+    trials = numbered(sources.withColumn("first", F.lit(0).cast("long")), ["source_no", "blocks"])
+    shard = F.expr(f"{number(chr(39) + 'd' + chr(39), key, source, trial)} % {shards}").cast("int").alias("shard")
+    counts = trials.groupBy("source_no", "blocks", shard).agg(F.count("*").alias("slots"))
+    before = Window.partitionBy("source_no").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return counts.withColumn("first", F.coalesce(F.sum("slots").over(before), F.lit(0).cast("long")))
+
+
 def slots(sources: DataFrame, shards: int, seed: int) -> DataFrame:
     """(source_no, slot, shard, place, block_no): every slot of the mix, its output shard and the block it reads.
 
     `place` orders the slots of a shard.
     """
-    step = 1 << 12
-    parts = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # a given number is not coalesced
-    many = sources.where("slots > 0").select("source_no", "blocks", "slots", F.explode(F.expr(f"sequence(0L, (slots - 1) div {step})")).alias("_far"))
-    each = many.repartition(parts, "source_no", "_far").select(
-        "source_no", "blocks", F.explode(F.expr(f"sequence(_far * {step}, least(slots, (_far + 1) * {step}) - 1)")).alias("slot"),
-    )
+    each = numbered(drawn_counts(sources, shards, seed), ["source_no", "blocks", "shard"])
     source, slot, key = "cast(source_no as string)", "cast(slot as string)", f"'{seed}'"
     turned = each.withColumn("_pass", F.expr("cast(slot div blocks as string)"))
     return turned.select(
-        "source_no", "slot",
-        F.expr(f"{number(chr(39) + 'd' + chr(39), key, source, slot)} % {shards}").cast("int").alias("shard"),
+        "source_no", "slot", "shard",
         F.expr(number("'o'", key, source, slot)).alias("place"),
         F.expr(shuffled("slot % blocks", "blocks", key, source, "_pass")).alias("block_no"),
     )
@@ -160,9 +175,9 @@ def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     placed = running_totals(taken.withColumn("_part", part), ["_no_source", "_source", "_size", "_id", "_no_id", "_text_key"], {"_upto": F.col("_part")}, "rounded")
     half = SHARES // 2
     times = placed.select(*key, F.expr(f"cast(_taken div _size + (_upto + {half}) div {SHARES} - (_upto - _part + {half}) div {SHARES} as int)").alias("_times"))
-    keyed = docs.withColumns({
-        "_text_key": F.xxhash64("text"), "_no_id": F.col("doc_id").isNull(), "_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")),
-        "_no_source": no_source, "_source": source,
-    })
+    keyed = docs.select(
+        F.struct("*").alias("_row"), F.xxhash64("text").alias("_text_key"), F.col("doc_id").isNull().alias("_no_id"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("_id"), no_source, source,
+    )  # the caller's columns apart, whatever their names
     repeated = keyed.join(times.where("_times > 0"), key)
-    return repeated.withColumn("_copy", F.explode(F.expr("sequence(1, _times)"))).select(*docs.columns)
+    return repeated.select("_row", F.explode(F.expr("sequence(1, _times)"))).select("_row.*")

@@ -28,7 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gaugework.llm.frames import stored
+from gaugework.functions.names import col
+from gaugework.llm.frames import free_name, numbered_columns, stored
 
 LONGER = 8
 KEY = "gaugework"
@@ -281,13 +282,13 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
     """The rows of `docs` (doc_id, text and any others) with surrogates in the text, and `entities`, an array of (kind, start, end,
     surrogate) by place in the old text. A column named `entities` is replaced."""
     docs = docs.drop("entities")
+    id_, key_, found_ = (free_name(docs, n) for n in ("_id", "_key", "_found"))
     found = stored(names_settled(stored(mentions(docs), "mentions")), "settled")
     chosen = assigned(found.select(F.col("drawn_as").alias("kind"), "entity").distinct(), key).withColumnRenamed("kind", "drawn_as")
     listed = found.join(chosen, ["drawn_as", "entity"]).groupBy("doc_id", "text_key").agg(
-        F.array_sort(F.collect_set(F.struct("start", "end", "kind", "mention", "chosen"))).alias("_found"),
-    ).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_found")
-    rows = docs.withColumn("_text_key", F.xxhash64("text"))
-    rows = rows.join(listed, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_key")), "left").select(*docs.columns, "_found")
+        F.array_sort(F.collect_set(F.struct("start", "end", "kind", "mention", "chosen"))).alias(found_),
+    ).select(F.col("doc_id").alias(id_), F.col("text_key").alias(key_), found_)
+    rows = docs.join(listed, F.col("doc_id").cast("long").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(key_)), "left").select(*map(col, docs.columns), found_)
     item = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("surrogate", T.StringType())])
     schema = T.StructType([*docs.schema.fields, T.StructField("entities", T.ArrayType(item))])
     text_at = docs.columns.index("text")
@@ -308,4 +309,4 @@ def replaced(docs: DataFrame, key: str = KEY) -> DataFrame:
             columns = [b.column(i) if i != text_at else pa.array(texts, pa.string()) for i in range(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(lists, arrow)], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return numbered_columns(rows).mapInArrow(run, schema)

@@ -8,7 +8,8 @@ SCHEMA = T.StructType([
     T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType()),
 ])
 # Names that the operators use in their results or on the way.
-CLASHING = ("shard", "slot", "size", "curve", "row", "node", "label", "kept", "key", "h", "n", "score", "entities", "path", "reads", "target", "mark")
+CLASHING = ("shard", "slot", "size", "curve", "row", "node", "label", "kept", "key", "h", "n", "score", "entities", "path", "reads", "target", "mark",
+            "_id", "_size", "_crc", "_curve", "_shard", "_row", "_text_key", "_no_id", "_source", "_copy", "_key", "_found", "_letters", "_first", "_rt_part_", "times", "draw")
 
 
 @pytest.fixture(scope="session")
