@@ -181,6 +181,24 @@ def normalise_supervised(spark, d):
     return _normalised(spark, d, "super bin", df=rows, label="b")
 
 
+def _binned(spark, d, label, by_class):
+    rows = table(spark, d, "part").select("p_partkey", F.col("p_size").cast("double").alias("a"), label.cast("double").alias("y"))
+    cuts = models.supervised_cuts(rows, ["a"], "y", by_class)[0][1:-1]
+    bin_ = F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("a")))
+    return rows.select("p_partkey", bin_.alias("bin"))
+
+
+@query("o3_supervised_bins_of_numbers", """SELECT p_partkey, CAST((p_size > 12) AS INTEGER) + CAST((p_size > 31) AS INTEGER) AS bin FROM part""")
+def supervised_bins_of_numbers(spark, d):
+    return _binned(spark, d, F.when(F.col("p_size") > 31, 40).when(F.col("p_size") > 12, 7).otherwise(1), False)
+
+
+@query("o3_supervised_bins_of_classes", """SELECT p_partkey, CAST((p_size > 9) AS INTEGER) + CAST((p_size > 25) AS INTEGER) + CAST((p_size > 40) AS INTEGER) AS bin FROM part""")
+def supervised_bins_of_classes(spark, d):
+    size = F.col("p_size")
+    return _binned(spark, d, F.when((size > 9) & (size <= 25), 2).when(size > 40, 1).otherwise(0), True)
+
+
 @query("o4_split_by_key", """SELECT o_orderkey, CASE WHEN s < 0.2 THEN 'test' WHEN s < 0.28 THEN 'validation' ELSE 'train' END AS part FROM (
 SELECT o_orderkey, CAST('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS s FROM orders)""")
 def split_by_key(spark, d):
