@@ -11,10 +11,11 @@ from catalog import query
 from catalog.frames import (
     DEPTH_SQL, EDGES_SQL, TIME_SQL, depth_samples, edges, signals, static_samples, table, text_samples, time_samples, units,
 )
+from gaugework.operators.definitions import SIGNAL_SCHEMA
 from gaugework.plans.context import Context, ContextList, Scope
 from gaugework.plans.signals import SignalData, load_contexts, load_data, load_pvt, load_signals, stored_data, table_to_samples
 from gaugework.plans.tables import load_all_script_tables, load_script_table, pivot_table, table_names
-from gaugework.session import new_folder
+from gaugework.session import literal_table, new_folder
 from gaugework.sources.signal_store import SignalStore
 from gaugework.sources.pivot_store import delete_pivot, load_pivot, save_pivot
 
@@ -98,6 +99,43 @@ def load_from_store(spark, d):
     return _rounded(load_signals(data, signals(spark), units(spark), wanted, context), ["purchase [cent]"])
 
 
+# Signal number, aggregation and wanted unit of the 500 signals of a wide table; stored in usd.
+WIDE_SIGNALS = [(i, ("Sum", "Average", "Max", "Count", "Last")[i % 5], "cent" if i % 2 else "usd") for i in range(500)]
+_WIDE_SQL = {"Sum": "sum(v)", "Average": "avg(v)", "Max": "max(v)", "Count": "count(v)", "Last": "max_by(v, {'d': date, 'v': v})"}
+
+
+def _wide_cell(i: int, how: str, unit: str) -> str:
+    value = f"{_WIDE_SQL[how]} FILTER (k = {i})"
+    return value if how == "Count" else f"round({value}{' * 100' if unit == 'cent' else ''}, 4)"
+
+
+@query("l1_load_signals_500", f"""SELECT l_returnflag AS "Entity", date_trunc('quarter', date) AS "Date",
+{", ".join(f'{_wide_cell(*s)} AS "s{s[0]} [{s[2]}]"' for s in WIDE_SIGNALS)}
+FROM (SELECT l_returnflag, l_shipdate AS date, l_partkey % 500 AS k, l_extendedprice AS v FROM lineitem) GROUP BY 1, 2""")
+def load_wide(spark, d):
+    """A table of 500 signals by five aggregations, half of them in another unit."""
+    rows = table(spark, d, "lineitem").select(
+        F.col("l_returnflag").alias("entity"), F.concat(F.lit("s"), (F.col("l_partkey") % 500).cast("string")).alias("signal"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("date"), F.col("l_extendedprice").alias("value_num"), F.lit(None).cast("string").alias("value_str"))
+    defined = literal_table(spark, [(f"s{i}", "", "TimeDependent", "usd", "Currency", "Sum", how) for i, how, _ in WIDE_SIGNALS], SIGNAL_SCHEMA)
+    done = load_signals(SignalData(time=rows), defined, units(spark), [(f"s{i}", unit) for i, _, unit in WIDE_SIGNALS], Context(scope=Scope(time_step="Quarterly")))
+    return _rounded(done, [f"s{i} [{unit}]" for i, how, unit in WIDE_SIGNALS if how != "Count"])
+
+
+_TWO_MEDIANS = "round(quantile_cont(value_num, 0.5) FILTER (signal = '{}'){}, 4)"
+
+
+@query("l1_load_signals_medians", f"""SELECT entity AS "Entity", date_trunc('month', date) AS "Date", {_TWO_MEDIANS.format("purchase", "")} AS "purchase [usd]",
+{_TWO_MEDIANS.format("purchase", " * 100")} AS "purchase [cent]", {_TWO_MEDIANS.format("view", " + 273.15")} AS "view [K]", {_TWO_MEDIANS.format("error", "")} AS "error [%]"
+FROM {TIME_SQL} WHERE signal IN ('purchase', 'view', 'error') GROUP BY 1, 2""")
+def load_medians(spark, d):
+    """Several medians share one pass, a signal in two units among them."""
+    defined = signals(spark).withColumn("interval_agg", F.lit("Median"))
+    wanted = ["purchase", "purchase [cent]", "view [K]", "error"]
+    done = load_signals(SignalData(time=time_samples(spark, d)), defined, units(spark), wanted, Context(scope=Scope(time_step="Monthly")))
+    return _rounded(done, done.columns[2:])
+
+
 @query("l2_load_first_values", f"""SELECT entity, signal, date, value_num FROM (SELECT *, row_number() OVER (PARTITION BY entity, signal ORDER BY date, value_num) AS rn
 FROM {TIME_SQL} WHERE entity IN (SELECT name FROM {MACHINERY_SQL}) AND signal = 'view') WHERE rn <= 2""")
 def load_first(spark, d):

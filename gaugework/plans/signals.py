@@ -21,6 +21,7 @@ from gaugework.operators.joins import lookup
 from gaugework.operators.reshape import has_entity_headers, pivot_signals, signal_columns_last, wide_to_long
 from gaugework.operators.units import conversion, converted
 from gaugework.operators.window import fill_grid, first_values, interpolate_at
+from gaugework.plans.reduction import WIDE, of_one_kind, reduced
 from gaugework.plans.context import DEFAULT_DEPTH_STEP, DEFAULT_TIME_STEP, Context, ContextList
 from gaugework.session import kept
 from gaugework.sources.signal_store import SignalStore
@@ -131,30 +132,43 @@ def _merged(tables: list[DataFrame], index: list[str], specs: list[SignalSpec])
 def _resampled(rows: DataFrame, specs: list[SignalSpec], axis: str, step: str) -> DataFrame:
     """One row per entity and bucket, one column per signal, each by its own interval aggregation.
 
-    Signals whose aggregation combines early are resampled and pivoted by the same single grouping.
-    Median, percentile, mode and concatenation take their own path and meet the table at the end, when
-    it is down to one row per bucket. Signals without aggregation keep their own time or depth.
+    Signals whose aggregation combines early are resampled and pivoted by the same single grouping, or, where there are many, as rows
+    that are pivoted when they are reduced. Those with median, percentile, mode or concatenation share one pass per aggregation and
+    meet the table at the end, when it is down to one row per bucket. Signals without aggregation keep their own time or depth.
     """
     c, index = AXIS_COLUMN[axis], ["entity", AT]
     bucket = time_bucket(F.col(c), step) if axis == "time" else depth_bucket(F.col(c), step)
     bucketed = rows.withColumn(AT, bucket)
+
+    def samples(part: list[SignalSpec]) -> DataFrame:
+        return bucketed if len(part) == len(specs) else bucketed.where(F.col("signal").isin([s.name for s in part]))
+
     early = [s for s in specs if is_algebraic(s.interval_agg, s.text)]
+    many = [s for s in early if not s.text] if len(early) > WIDE else []
+    few = [s for s in early if s not in many]
     tables = []
-    if early:
-        mine = bucketed if len(early) == len(specs) else bucketed.where(F.col("signal").isin([s.name for s in early]))
+    if many:
+        tables.append(reduced(samples(many), index, many, c))
+    if few:
         tables.append(
-            mine.groupBy(*index).agg(
+            samples(few).groupBy(*index).agg(
                 *[
                     algebraic(s.interval_agg, F.when(F.col("signal") == s.name, s.value), F.col(c), s.text).alias(s.header)
-                    for s in early
+                    for s in few
                 ]
             )
         )
     passing = [s for s in specs if s.interval_agg == "NoAggregation"]
+    kinds: dict[tuple[str, bool], list[SignalSpec]] = {}
     for s in specs:
         if s not in early and s not in passing:
-            own = bucketed.where(F.col("signal") == s.name).withColumn("__value", s.value)
-            tables.append(aggregate(own, index, "__value", s.interval_agg, c, out=s.header))
+            kinds.setdefault((s.interval_agg, s.text), []).append(s)
+    for (how, _), part in kinds.items():
+        if len(part) == 1:
+            own = samples(part).withColumn("__value", part[0].value)
+            tables.append(aggregate(own, index, "__value", how, c, out=part[0].header))
+        else:
+            tables.append(of_one_kind(samples(part), index, part, how, c))
     if axis == "depth":
         tables = [t.withColumn(AT, depth_of_bucket(F.col(AT), step)) for t in tables]
     if passing:
