@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from catalog import query
 from catalog.frames import TIME_SQL, table, time_samples
 from gaugework.operators import cleanse
-from gaugework.plans import models
+from gaugework.plans import models, selection
+from gaugework.session import new_folder
 from pyspark.ml import Pipeline
 
 _RULES = {"view": "CASE WHEN value < 1 THEN NULL WHEN value > 100 THEN 100D ELSE value END", "error": "round(value)"}
@@ -274,3 +275,62 @@ def predict_per_entity(spark, d):
 def features_of_definition(spark, d):
     columns = ["Entity", "Date", "l_quantity", "l_discount", "l_tax", "l_extendedprice"]
     return lines(spark, d).select("l_orderkey", *models.feature_columns(columns, "l_extendedprice"))
+
+
+# A line's place in [0, 1) by its key, and its price by quantity with some noise that no feature shows.
+_LINES = """(SELECT CAST('0x' || substr(md5(CAST(l_orderkey * 10 + l_linenumber AS VARCHAR)), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE AS s,
+l_quantity AS x, 1000 * l_quantity + 500 * l_discount AS y FROM lineitem)"""
+
+
+def _keyed_lines(spark, d):
+    price = 1000 * F.col("l_quantity") + 500 * F.col("l_discount")
+    return lines(spark, d).select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_quantity").alias("x"), price.alias("y"))
+
+
+def _scores_rounded(df):
+    return df.withColumns({c: F.round(c, 4) for c in ("rmse", "mae", "r2")})
+
+
+_ERRORS = """count(*) AS n, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse, round(avg(abs(y - p)), 4) AS mae, round(1 - avg((y - p) * (y - p)) / var_pop(y), 4) AS r2"""
+
+
+@query("o2_best_trainer", f"""WITH r AS (SELECT *, CASE WHEN s < 0.2 THEN 'test' WHEN (s - 0.2) / 0.8 < 0.25 THEN 'validation' ELSE 'train' END AS part FROM {_LINES}),
+m AS (SELECT regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM r WHERE part = 'train'),
+p AS (SELECT part, y, a + b * x AS p FROM r, m WHERE part <> 'train')
+SELECT 'linear' AS trainer, part, {_ERRORS} FROM p GROUP BY part""")
+def best_trainer(spark, d):
+    """Two trainers judged on validation rows; the better one's scores there and on the test rows."""
+    rows = _keyed_lines(spark, d)
+    found = selection.search(rows, "regression", ["x"], "y", "id", ["forest", "linear"], "rmse", validation_fraction=0.25, test_fraction=0.2)
+    return _scores_rounded(found.scores.where(F.col("trainer") == found.trainer))
+
+
+@query("o4_folds", f"""WITH r AS (SELECT *, CAST(floor(s * 3) AS INTEGER) AS k FROM {_LINES}),
+m AS (SELECT f AS fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM r, (SELECT unnest([0, 1, 2]) AS f) WHERE k <> f GROUP BY f),
+p AS (SELECT fold, y, a + b * x AS p FROM r JOIN m ON k = fold)
+SELECT 'linear' AS trainer, 'fold ' || CAST(fold AS VARCHAR) AS part, {_ERRORS} FROM p GROUP BY fold""")
+def folds(spark, d):
+    found = selection.search(_keyed_lines(spark, d), "regression", ["x"], "y", "id", "linear", cross_folds=3)
+    return _scores_rounded(found.scores)
+
+
+@query("o2_separable_classes", """SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber > 4 THEN 'late' ELSE 'early' END AS prediction FROM lineitem""")
+def separable_classes(spark, d):
+    """Classes that one cut parts, predicted by a model that was stored by name and loaded again."""
+    late = F.when(F.col("l_linenumber") > 4, "late").otherwise("early")
+    rows = lines(spark, d).select("l_orderkey", "l_linenumber", F.col("l_linenumber").cast("double").alias("x"), late.alias("y"))
+    found = selection.search(rows, "binclass", ["x"], "y", "l_orderkey", "forest", "f1", validation_fraction=0.3)
+    root = new_folder(spark, "o2m")
+    selection.save_model(spark, found.model, root, "late lines", ["x"], "y", trainer=found.trainer)
+    model, about = selection.load_model(spark, root, "late lines")
+    done = models.predict(model, rows.drop(about["label"]), as_labels=True)
+    return done.select("l_orderkey", "l_linenumber", "prediction")
+
+
+@query("o2_parted_clusters", """SELECT CAST(l_linenumber % 3 AS DOUBLE) AS low, CAST(l_linenumber % 3 AS DOUBLE) AS high, count(*) AS n FROM lineitem GROUP BY 1""")
+def parted_clusters(spark, d):
+    """Three groups far apart, each a cluster."""
+    rows = lines(spark, d).select((F.col("l_linenumber") % 3).cast("double").alias("g"), "l_tax")
+    rows = rows.withColumn("x", F.col("g") * 1000 + F.col("l_tax"))
+    model = models.train(rows, "cluster", ["x"], clusters=3)
+    return models.predict(model, rows).groupBy("prediction").agg(F.min("g").alias("low"), F.max("g").alias("high"), F.count(F.lit(1)).alias("n")).drop("prediction")
