@@ -97,7 +97,8 @@ def supervised_cuts(df: DataFrame, features: list[str], label: str, by_class: bo
     values = [col(f).cast("double") for f in features]
     cells = [F.struct(F.lit(i).alias("f"), v.alias("v"), below(ends, v).alias("bin")) for i, (v, ends) in enumerate(zip(values, edges))]
     y = col(label)
-    long = df.select(y.cast("double").alias("y"), F.inline(F.array(*cells))).where("v is not null and not isnan(v)")
+    # The label's new name must not be that of a feature, which the cells would take for it.
+    long = df.select(y.cast("double").alias("__y"), F.inline(F.array(*cells))).withColumnRenamed("__y", "y").where("v is not null and not isnan(v)")
     keys = ["f", "bin", *(["y"] if by_class else [])]
     sums = long.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"), F.sum(F.col("y") * F.col("y")).alias("q"), F.min("v").alias("low"), F.max("v").alias("high"),
