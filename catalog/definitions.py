@@ -92,8 +92,9 @@ def read_parameters(spark, d):
 
 @query("n5_parameter_in_query", f"""SELECT entity, signal, count(*) AS n FROM {TIME_SQL} WHERE value_num > (SELECT num / 20 FROM {PARAMETERS_SQL} WHERE name = 'p0') GROUP BY ALL""")
 def parameter_in_query(spark, d):
-    limit = parameters(spark, d).where("name = 'p0'").head()["num"]
-    rows = time_samples(spark, d).where(F.col("value_num") > limit / 20)
+    # One row whatever the table holds: null, and so no sample, where the parameter is missing or no number.
+    limit = parameters(spark, d).where("name = 'p0'").agg(F.min("num")).head()[0]
+    rows = time_samples(spark, d).where(F.col("value_num") > F.lit(limit).cast("double") / 20)
     return rows.groupBy("entity", "signal").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -109,3 +109,17 @@ def test_gaps_before_between_and_after(spark):
     assert got == [(k, d, *values.get((k, d), (-1.0, None))) for k in "abc" for d in range(2, 8)]
     own = sorted((r["k"], r["t"].day, r["v"]) for r in fill_grid(df, ["k"], "t", "v", "Daily", -1.0).collect())
     assert own == [("a", 3, 3.0), ("a", 4, -1.0), ("a", 5, -1.0), ("a", 6, -1.0), ("b", 9, 9.0), ("c", 1, 1.0)]
+
+
+@pytest.mark.parametrize("parts, entities", [
+    ([(0, 1, 900.0)], {"2"}), ([(0, 1, 900.0)] * 2, {"2"}), ([(7, 1, 900.0)], set()), ([(0, 40, 900.0)], set()), ([(0, 1, None)], set()), ([], set()),
+])
+def test_a_query_with_a_missing_or_empty_parameter(spark, tmp_path, parts, entities):
+    from catalog import QUERIES, load
+
+    load()
+    schema = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    spark.createDataFrame([(k, "a b", "c", "d", size, price) for k, size, price in parts], schema).write.parquet(f"{tmp_path}/part.parquet")
+    events = [(1, 1, "view", datetime(2024, 1, 1), 45.0), (2, 2, "view", datetime(2024, 1, 1), 46.0), (3, 3, "view", datetime(2024, 1, 1), None)]
+    spark.createDataFrame(events, "event_id long, user_id long, event_type string, ts timestamp_ntz, value double").write.parquet(f"{tmp_path}/events.parquet")
+    assert {r["entity"] for r in QUERIES["n5_parameter_in_query"](spark, str(tmp_path)).collect()} == entities
