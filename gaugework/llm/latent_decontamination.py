@@ -172,21 +172,51 @@ def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
 
 
-class Exact:
+class Needles:
+    """Items as positions in the vocabulary of all of them, and how many of an item's words must be there for a match."""
+
+    def __init__(self, words: list[np.ndarray], answers: list[np.ndarray], vocabulary: np.ndarray):
+        self.vocabulary = vocabulary
+        self.words, self.answers = (np.searchsorted(vocabulary, np.concatenate([*x, vocabulary[:0]])).astype(np.int32) for x in (words, answers))
+        self.sizes, self.answer_sizes = (np.array([len(w) for w in x], np.int64) for x in (words, answers))
+        self.starts, self.answer_starts = (np.cumsum(x) - x for x in (self.sizes, self.answer_sizes))
+        self.verbatim, self.paraphrase = (np.array([needed(n, s) for n in self.sizes], np.int64) for s in (VERBATIM, PARAPHRASE))
+        self.answer = np.array([max(1, needed(n, ANSWER)) for n in self.answer_sizes], np.int64)
+
+    def possible(self, there: np.ndarray, window: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Whether enough of each item's words occur in the window; no more can be found in order."""
+        held = self.found(there, window, item, self.words, self.starts, self.sizes)
+        good = held >= self.paraphrase[item]
+        unsure = np.flatnonzero(good & (held < self.verbatim[item]))
+        w, i = window[unsure], item[unsure]
+        good[unsure] = self.found(there, w, i, self.answers, self.answer_starts, self.answer_sizes) >= self.answer[i]
+        return good
+
+    @staticmethod
+    def found(there: np.ndarray, window: np.ndarray, item: np.ndarray, words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """How many of each item's words occur in the window."""
+        n = sizes[item]
+        at = np.cumsum(n) - n
+        hit = np.concatenate([[0], np.cumsum(there[np.repeat(window, n), words[ranges(starts[item], n)]])])
+        return hit[at + n] - hit[at]
+
+
+def occurring(lo: np.ndarray, hi: np.ndarray, code: np.ndarray, width: int) -> np.ndarray:
+    """A row for each range of `code`, marking the codes in it."""
+    there = np.zeros((len(lo), width), bool)
+    there[np.repeat(np.arange(len(lo)), hi - lo), code[ranges(lo, hi - lo)]] = True
+    return there
+
+
+class Exact(Needles):
     """Items of up to `reach` words: which of them may be found where, by the words that occur there.
 
     Spans that start within the same `reach` words are looked at together.
     """
 
     def __init__(self, items: list[int], words: list[np.ndarray], answers: list[np.ndarray], idf: np.ndarray, reach: int):
+        super().__init__(words, answers, np.unique(np.concatenate(words)))
         self.items, self.reach = np.array(items), reach
-        self.vocabulary = np.unique(np.concatenate(words))
-        self.words, self.answers = np.concatenate(words), np.concatenate(answers)
-        self.words, self.answers = (np.searchsorted(self.vocabulary, x).astype(np.int32) for x in (self.words, self.answers))
-        self.sizes, self.answer_sizes = (np.array([len(w) for w in x]) for x in (words, answers))
-        self.starts, self.answer_starts = (np.cumsum(x) - x for x in (self.sizes, self.answer_sizes))
-        self.verbatim, self.paraphrase = (np.array([needed(n, s) for n in self.sizes]) for s in (VERBATIM, PARAPHRASE))
-        self.answer = np.array([max(1, needed(n, ANSWER)) for n in self.answer_sizes])
         posts = []
         for i, (w, a) in enumerate(zip(words, answers)):
             for x, least in ((w, self.verbatim[i]), (a, self.answer[i])):
@@ -196,13 +226,12 @@ class Exact:
         self.posts = posts[:, 1]
         self.post_starts = np.searchsorted(posts[:, 0], np.arange(len(self.vocabulary) + 1))
 
-    def candidates(self, words: np.ndarray, by_doc: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(document, stretch of `reach` words, item) wherever spans that start in the stretch can match the item."""
+    def candidates(self, hits: np.ndarray, vocab: np.ndarray, by_doc: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(document, stretch of `reach` words, item) wherever spans that start in the stretch can match the item.
+
+        `hits` are the places of words of the vocabulary, `vocab` which words they are.
+        """
         reach = self.reach
-        at = np.searchsorted(self.vocabulary, words)
-        at[at == len(self.vocabulary)] = 0
-        hits = np.flatnonzero(self.vocabulary[at] == words)
-        vocab = at[hits]
         groups = -(-np.diff(by_doc) // reach)
         docs = np.repeat(np.arange(len(groups)), groups)
         cells = ranges(np.zeros(len(groups), np.int64), groups)
@@ -211,29 +240,17 @@ class Exact:
         lo, hi = np.searchsorted(hits, lo), np.searchsorted(hits, hi)
         posts, step = np.diff(self.post_starts), max(1, CELLS // max(len(self.vocabulary), len(self.sizes)))
         for p in range(0, len(lo), step):
-            a, b = lo[p:p + step], hi[p:p + step]
-            there = np.zeros((len(a), len(self.vocabulary)), bool)
-            there[np.repeat(np.arange(len(a)), b - a), vocab[ranges(a, b - a)]] = True
+            there = occurring(lo[p:p + step], hi[p:p + step], vocab, len(self.vocabulary))
             window, word = np.nonzero(there[:, posts > 0])
             word = np.flatnonzero(posts > 0)[word]
-            wanted = np.zeros((len(a), len(self.sizes)), bool)
+            wanted = np.zeros((len(there), len(self.sizes)), bool)
             wanted[np.repeat(window, posts[word]), self.posts[ranges(self.post_starts[word], posts[word])]] = True
             window, item = np.nonzero(wanted)
             for q in range(0, len(window), 1 << 14):
                 w, i = window[q:q + (1 << 14)], item[q:q + (1 << 14)]
-                answered = self.found(there, w, i, self.answers, self.answer_starts, self.answer_sizes)
-                held = self.found(there, w, i, self.words, self.starts, self.sizes)
-                good = (held >= self.verbatim[i]) | (held >= self.paraphrase[i]) & (answered >= self.answer[i])
+                good = self.possible(there, w, i)
                 yield from zip(docs[p + w[good]].tolist(), cells[p + w[good]].tolist(), self.items[i[good]].tolist())
 
-    @staticmethod
-    def found(there: np.ndarray, window: np.ndarray, item: np.ndarray, words: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """How many of each item's words occur in the window."""
-        n = sizes[item]
-        at = np.cumsum(n) - n
-        hit = np.concatenate([[0], np.cumsum(there[np.repeat(window, n), words[ranges(starts[item], n)]])])
-        return hit[at + n] - hit[at]
-
 
 class Queries:
     """A block of items as the tasks need it."""
@@ -256,6 +273,10 @@ class Queries:
             if len(w):
                 classes.setdefault(max(LEAST, 1 << (len(w) - 1).bit_length()), []).append(i)
         self.exact = [Exact(c, [self.words[i] for i in c], [self.answers[i] for i in c], idf, reach) for reach, c in classes.items()]
+        vocabulary = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.words]))
+        self.needles = Needles(self.words, self.answers, vocabulary)
+        # Where each word of the vocabulary stands in that of a class, -1 for those it has not.
+        self.class_codes = [np.where(np.isin(vocabulary, e.vocabulary), np.searchsorted(e.vocabulary, vocabulary), -1) for e in self.exact]
 
     def candidates(self, words: np.ndarray, by_doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(document, first word, item, cosine) of passages that may hold an item."""
@@ -288,27 +309,45 @@ class Queries:
         doc = np.searchsorted(base, f, "right") - 1
         return doc, by_doc[doc] + (f - base[doc]) * half, item, cosine
 
+    def possible(self, hits: np.ndarray, code: np.ndarray, first: np.ndarray, stop: np.ndarray, item: np.ndarray) -> Iterator[int]:
+        """Which of the spans (first, stop) hold enough words of their items to match."""
+        lo, hi = np.searchsorted(hits, first), np.searchsorted(hits, np.maximum(first, stop))
+        step = max(1, min(1 << 12, CELLS // max(1, len(self.needles.vocabulary))))
+        for p in range(0, len(item), step):
+            there = occurring(lo[p:p + step], hi[p:p + step], code, len(self.needles.vocabulary))
+            yield from (p + np.flatnonzero(self.needles.possible(there, np.arange(len(there)), item[p:p + step]))).tolist()
+
     def matches(self, words: np.ndarray, by_doc: np.ndarray) -> dict[tuple[int, int], tuple]:
         """(document, item) -> (cosine, share of the item in order, share of the answer), confirmed ones only."""
         out: dict[tuple[int, int], tuple] = {}
-        for d, first, i, cosine in zip(*(v.tolist() for v in self.candidates(words, by_doc))):
-            n = len(self.words[i])
-            around = words[max(by_doc[d], first - n):min(by_doc[d + 1], first + WINDOW + n)].tolist()
-            share, answer = self.check(around, i, out.get((d, i)))
+        vocabulary = self.needles.vocabulary
+        if not len(vocabulary):
+            return out
+        code = np.searchsorted(vocabulary, words)
+        code[code == len(vocabulary)] = 0
+        hits = np.flatnonzero(vocabulary[code] == words)  # words of no item play no role in any order
+        code, known = code[hits], words[hits]
+        within = lambda first, stop: known[slice(*np.searchsorted(hits, (first, stop)))].tolist()
+        doc, first, item, cosine = self.candidates(words, by_doc)
+        n = self.needles.sizes[item]
+        first, stop = np.maximum(by_doc[doc], first - n), np.minimum(by_doc[doc + 1], first + WINDOW + n)
+        for c in self.possible(hits, code, first, stop, item):
+            d, i = int(doc[c]), int(item[c])
+            share, answer = self.check(within(first[c], stop[c]), i, out.get((d, i)))
             if share:
-                out[d, i] = (min(1.0, cosine), share, answer)
-        for exact in self.exact:
-            for d, cell, i in exact.candidates(words, by_doc):
+                out[d, i] = (min(1.0, float(cosine[c])), share, answer)
+        for exact, codes in zip(self.exact, self.class_codes):
+            vocab = codes[code]
+            for d, cell, i in exact.candidates(hits[vocab >= 0], vocab[vocab >= 0], by_doc):
                 n, first, last = len(self.words[i]), by_doc[d] + cell * exact.reach, by_doc[d + 1]
                 stop = min(last, first + exact.reach)
-                if not self.check(words[first:min(last, stop + STRETCH * n)].tolist(), i, out.get((d, i)))[0]:
+                if not self.check(within(first, min(last, stop + STRETCH * n)), i, out.get((d, i)))[0]:
                     continue
                 step = max(1, n // 4)
                 for k in range(first + (by_doc[d] - first) % step, stop, step):
-                    span = words[k:min(last, k + STRETCH * n)]
-                    share, answer = self.check(span.tolist(), i, out.get((d, i)))
+                    share, answer = self.check(within(k, min(last, k + STRETCH * n)), i, out.get((d, i)))
                     if share:
-                        out[d, i] = (min(1.0, self.cosine(span, i)), share, answer)
+                        out[d, i] = (min(1.0, self.cosine(words[k:min(last, k + STRETCH * n)], i)), share, answer)
         return out
 
     def check(self, around: list[int], i: int, known: tuple | None) -> tuple[float, float]:

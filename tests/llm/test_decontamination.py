@@ -142,3 +142,25 @@ def test_recall_of_brute_force_at_every_length():
     got = queries.matches(*word_hashes(data, np.concatenate([[0], np.cumsum([len(d) for d in docs])]), NO_LETTER))
     assert len(wanted) >= 20 and all((3 * i, i) in wanted for i in range(len(bench)))
     assert all(got[k][1] >= v for k, v in wanted.items() if k in got) and set(wanted) <= set(got)
+
+
+def test_order_is_looked_at_only_where_enough_words_occur(monkeypatch):
+    """Passages that are near an item by a few of its words, again and again, hold too few of them in whatever order."""
+    calls = []
+    monkeypatch.setattr(D, "common", lambda *a, common=D.common: calls.append(1) or common(*a))
+    items = [(i, t) for i, t in ITEMS if len(D.item_words(t)) == 28]
+    words = [D.item_words(t) for _, t in items]
+    idf = np.ones(D.BUCKETS, np.float32)
+    rows = np.zeros((len(items), D.BUCKETS), np.float32)
+    for row, w in zip(rows, words):
+        at, x = D.vector(w, idf)
+        row[at] = x
+    support = np.flatnonzero(rows.any(0))
+    latent = np.linalg.svd(rows[:, support], full_matrices=False)[2].T.astype(np.float32)
+    queries = D.Queries(items, idf, support, latent)
+    few = np.tile(words[0][:6], 10)
+    doc, _, item, _ = queries.candidates(few, np.array([0, len(few)]))
+    assert 0 in item[doc == 0].tolist()
+    assert queries.matches(few, np.array([0, len(few)])) == {} and not calls
+    both = np.concatenate([few, words[0]])
+    assert set(queries.matches(both, np.array([0, len(few), len(both)]))) == {(1, 0)} and calls
