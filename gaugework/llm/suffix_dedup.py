@@ -37,6 +37,7 @@ CORE = LENGTH - STEP + 1
 SPAN = LENGTH - GRAM + 1  # places an anchor can have in a window
 LARGE = 2048
 RUN_BYTES = 1 << 18
+OUT_ROWS = 1 << 12  # marks sent on at once
 _U = np.uint64
 
 
@@ -149,32 +150,38 @@ def marks_of(bucket: list[tuple[int, bytes, bytes, bool]]) -> list[int]:
     return out
 
 
-def sorted_marks(different: DataFrame) -> DataFrame:
-    """Marks of the slices of small buckets: each task sorts its buckets one after the other."""
-    schema = "core long, low int, left binary, right binary, mark long"
+def bucket_marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(core, low, left, right, mark) of slices (core, low, left, right, copied) in order of their cores, bucket by bucket."""
+    held, core, rows = [], None, []
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, core = [], None
+    def done():
+        marks = [sum(1 << k for k in range(low, len(left) + 1)) for low, left, _, _ in held] if len(held) == 1 else marks_of(held)
+        rows.extend((core, *s[:3], m) for s, m in zip(held, marks) if m)
 
-        def done():
-            marks = [sum(1 << k for k in range(low, len(left) + 1)) for low, left, _, _ in held] if len(held) == 1 else marks_of(held)
-            rows = [(core, *s[:3], m) for s, m in zip(held, marks) if m]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64()))], names=["core", "low", "left", "right", "mark"],
-            )
+    def sent():
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64()))], names=["core", "low", "left", "right", "mark"],
+        )
 
-        for b in batches:
-            for c, *s in zip(*(col.to_pylist() for col in b.columns)):
-                if c != core and held:
-                    yield done()
-                    held = []
-                core = c
-                held.append(tuple(s))
-        if held:
-            yield done()
+    for b in batches:
+        for c, *s in zip(*(col.to_pylist() for col in b.columns)):
+            if c != core and held:
+                done()
+                held = []
+                if len(rows) >= OUT_ROWS:  # most buckets are small, and a batch costs more than its rows
+                    yield sent()
+                    rows.clear()
+            core = c
+            held.append(tuple(s))
+    if held:
+        done()
+    yield sent()
 
+
+def sorted_marks(different: DataFrame) -> DataFrame:
+    """Marks of the slices of small buckets: each task sorts its buckets one after the other."""
     rows = different.select("core", "low", "left", "right", "copied")
-    return rows.repartition("core").sortWithinPartitions("core").mapInArrow(run, schema)
+    return rows.repartition("core").sortWithinPartitions("core").mapInArrow(bucket_marks, "core long, low int, left binary, right binary, mark long")
 
 
 def counted_marks(different: DataFrame) -> DataFrame:
@@ -196,12 +203,11 @@ def kept(texts: DataFrame) -> DataFrame:
             for text, marked in zip(b.column(1), b.column(2)):
                 raw = (text.as_py() or "").encode()
                 edges = np.zeros(len(raw) + 1, np.int32)
-                rows = marked.as_py()
-                at, mark = np.array([m["at"] for m in rows]), np.array([m["mark"] for m in rows])
-                for k in range(STEP):
-                    starts = at[(mark >> k & 1) == 1] - k
-                    np.add.at(edges, starts, 1)
-                    np.add.at(edges, starts + LENGTH, -1)
+                at, mark = (marked.values.field(name).to_numpy(zero_copy_only=False) for name in ("at", "mark"))
+                row, k = np.nonzero(mark[:, None] >> np.arange(STEP) & 1)
+                starts = at[row] - k
+                np.add.at(edges, starts, 1)
+                np.add.at(edges, starts + LENGTH, -1)
                 gone = np.cumsum(edges)[:-1] > 0
                 removed.append(int(gone.sum()))
                 spans.append(int((gone & ~np.append(False, gone[:-1])).sum()))

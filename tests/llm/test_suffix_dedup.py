@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -75,3 +76,19 @@ def test_odd_rows(odd, none):
     assert len(rows) == odd.count() and S.without_repeats(none).count() == 0
     assert by[1]["n_bytes"] == 0 and by[1]["kept_sha256"] == hashlib.sha256(b"").hexdigest()
     assert by[7]["n_removed"] == by[7]["n_bytes"] and by[8]["n_bytes"] - by[8]["n_removed"] == len("tail")
+
+
+def test_marks_of_many_buckets_leave_in_few_batches():
+    n = 3 * S.OUT_ROWS
+    # Buckets of one copied slice, and of two that share some of their windows.
+    left, right = b"a" * (S.STEP - 1), b"b" * (S.STEP - 1)
+    slices = [(core, 0, left, right, True) for core in range(0, n, 2)] + [(core, 0, x + left[1:], right, False) for core in range(1, n, 2) for x in (b"a", b"c")]
+    slices.sort(key=lambda s: s[0])
+    columns = [pa.array([s[k] for s in slices], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.bool_()))]
+    batch = pa.RecordBatch.from_arrays(columns, names=["core", "low", "left", "right", "copied"])
+    out = list(S.bucket_marks(iter([batch.slice(i, 1000) for i in range(0, len(slices), 1000)])))
+    rows = [r for b in out for r in b.to_pylist()]
+    every = (1 << S.STEP) - 1
+    assert sorted((r["core"], r["mark"]) for r in rows) == sorted((s[0], every if s[4] else every >> 1) for s in slices)
+    assert len(out) <= len(rows) // S.OUT_ROWS + 1
+    assert [b.num_rows for b in S.bucket_marks(iter([]))] == [0]
