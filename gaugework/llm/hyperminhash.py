@@ -148,8 +148,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     )).alias("band", "key"))
     shared = bands.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
     members = stored(bands.join(shared, ["band", "key"]), "members")
-    full = full_sets(members.select("node").distinct(), docs, classes, size)
-    labels = resolve(members.select(F.xxhash64("band", "key").alias("bucket"), "node"), full, percent, lambda pairs: estimated(pairs, classes, ESTIMATE_FROM))
+    near = stored(classes.join(members.select("node").distinct(), "node", "left_semi"), "near")
+    full = full_sets(near.select("node"), docs, near, size)
+    labels = resolve(members.select(F.xxhash64("band", "key").alias("bucket"), "node"), full, percent, lambda pairs: estimated(pairs, near, ESTIMATE_FROM))
 
     first = classes.select("node", F.col("source.doc_id").alias("id"))
     named = first.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

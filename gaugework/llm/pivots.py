@@ -30,7 +30,7 @@ from gaugework.llm.frames import stored, text_runs
 from gaugework.llm.words import distinct_by_doc, shingle_hashes, word_hashes
 
 SET_BYTES = 1 << 18  # text worked on at once
-SMALL = 128  # members of a bucket that are paired with each other instead of with a pivot
+SMALL = 128  # members of a bucket outside the pivot's component that are paired with its members instead of with a pivot
 PAIR_KEYS = ["parent", "pivot"]
 
 
@@ -108,7 +108,10 @@ def meetings(groups: DataFrame, labels: DataFrame, full: DataFrame, percent: int
     t, u = 100 + percent, 100 - percent
     rows = with_labels(groups, labels)
     several = rows.groupBy(*PAIR_KEYS).agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select(*PAIR_KEYS)
-    rows = stored(rows.join(several, PAIR_KEYS, "left_semi"), "torn")
+    # `own` members lie in the pivot's component, so no link among them is missing: each link that is has another one at an end.
+    of_pivot = labels.select(F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
+    torn = rows.join(several, PAIR_KEYS, "left_semi").join(of_pivot, "pivot", "left").withColumn("own", F.expr("label = coalesce(pivot_label, pivot)")).drop("pivot_label")
+    rows = stored(torn, "torn")
     if rows.isEmpty():
         return None
     delta = differences(rows.select("pivot", "node").distinct(), full)
@@ -121,20 +124,29 @@ def meetings(groups: DataFrame, labels: DataFrame, full: DataFrame, percent: int
     first = f"({t} * d - {u} * (n + least(greatest, 100 * n div {percent})) + {t - 1}) div {t}"
     second = f"if(linked, ({t} * d - {u} * (n - n_pivot)) div {2 * t} + 1, 1)"
     needs = sized.join(greatest, PAIR_KEYS).withColumn("need", F.expr(f"greatest(1, {first}, {second})")).where("need <= d")
-    each = needs.select(*PAIR_KEYS, "node", "label", "need", F.explode("delta").alias("h"))
+    each = needs.select(*PAIR_KEYS, "node", "label", "own", "need", F.explode("delta").alias("h"))
     common = each.groupBy(*PAIR_KEYS, "h").agg(F.count("*").alias("held"), F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-    shared = each.join(common.select(*PAIR_KEYS, "h", "held"), [*PAIR_KEYS, "h"]).groupBy(*PAIR_KEYS, "node", "need").agg(F.sort_array(F.collect_list(F.struct("held", "h"))).alias("x"))
+    shared = each.join(common.select(*PAIR_KEYS, "h", "held"), [*PAIR_KEYS, "h"]).groupBy(*PAIR_KEYS, "node", "own", "need").agg(F.sort_array(F.collect_list(F.struct("held", "h"))).alias("x"))
+    facts = sized.select(*PAIR_KEYS, "node", "label", "own", "n", "d", "linked")
+    # A prefix ends with its element number size - need + 1.
+    shared = stored(shared.where("size(x) >= need").withColumn("s", F.size("x").cast("long")).withColumn("end", F.expr("x[cast(size(x) - need as int)]")), "shared")
     prefix = F.explode(F.expr("slice(x, 1, cast(size(x) - need + 1 as int))")).alias("x")
-    facts = sized.select(*PAIR_KEYS, "node", "label", "n", "d", "linked")
-    indexed = shared.where("size(x) >= need").select(*PAIR_KEYS, "node", F.size("x").cast("long").alias("s"), prefix).select(*PAIR_KEYS, "node", "s", "x.h")
-    indexed = stored(indexed.join(facts, [*PAIR_KEYS, "node"]), "indexed")
     key = [*PAIR_KEYS, "h"]
-    met = indexed.groupBy(*key).agg(F.count("*").alias("members"), F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-    few = indexed.join(met.where(F.col("members") <= SMALL).select(*key), key, "left_semi")
-    other = few.select(*key, *[F.col(c).alias(f"{c}2") for c in ("node", "label", "n", "d", "s", "linked")])
-    possible = F.expr(f"label < label2 and not (linked and linked2) and {percent} * greatest(n, n2) <= 100 * least(n, n2) and {2 * t} * least(s, s2) >= {t} * (d + d2) - {u} * (n + n2)")
+    others = shared.where("not own").select(*PAIR_KEYS, "node", "s", prefix).select(*PAIR_KEYS, "node", "s", "x.h", "x.held")
+    others = stored(others.join(facts, [*PAIR_KEYS, "node"]), "others")
+    # Own members are entered only where one of the others is.
+    wanted = others.groupBy(*key).agg(F.first("held").alias("held"))
+    owned = each.where("own").select(*key, "node").join(wanted, key).join(shared.where("own").select(*PAIR_KEYS, "node", "s", "end"), [*PAIR_KEYS, "node"])
+    owned = owned.where("struct(held, h) <= end").select(*PAIR_KEYS, "node", "s", "h", "held").join(facts, [*PAIR_KEYS, "node"])
+    indexed = stored(others.unionByName(owned.select(others.columns)), "indexed")
+    met = indexed.groupBy(*key).agg(F.count_if(~F.col("own")).alias("others"), F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
+    few = indexed.join(met.where(F.col("others") <= SMALL).select(*key), key, "left_semi")
+    other = few.where("not own").select(*key, *[F.col(c).alias(f"{c}2") for c in ("node", "label", "n", "d", "s", "linked")])
+    possible = F.expr(
+        f"(own and label <> label2 or label < label2) and not (linked and linked2) and {percent} * greatest(n, n2) <= 100 * least(n, n2) and {2 * t} * least(s, s2) >= {t} * (d + d2) - {u} * (n + n2)",
+    )
     pairs = few.join(other, key).where(possible).select(*ordered("node", "node2")).distinct()
-    many = indexed.join(met.where(F.col("members") > SMALL).select(*key), key, "left_semi")
+    many = indexed.join(met.where(F.col("others") > SMALL).select(*key), key, "left_semi")
     members = many.select(F.xxhash64(*PAIR_KEYS).alias("parent"), F.xxhash64(*key).alias("bucket"), "node")
     return sized.where("linked").select(*ordered("node", "pivot")), pairs, members
 
@@ -175,3 +187,4 @@ def resolve(members: DataFrame, full: DataFrame, percent: int, likely: Callable[
         level = stored(rows.drop("label").join(several, ["parent", "bucket"], "left_semi"), "level")
         if level.isEmpty():
             return labels
+        full = stored(full.join(level.select("node").distinct(), "node", "left_semi"), "sets")

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from gaugework.llm import partenum as P
@@ -126,6 +127,31 @@ def test_candidates_grow_with_the_group(spark):
     assert rows[0] <= 2 * 400 and rows[1] <= 2 * 1200  # 79,800 and 719,400 pairs
 
 
+def test_members_of_the_pivots_component_meet_only_others(spark, monkeypatch):
+    """Of 300 copies linked with the pivot, those are entered that share a hash of another member's prefix; no level follows."""
+    r = random.Random(8)
+    base, pool = ([r.getrandbits(62) for _ in range(n)] for n in (150, 60))
+    sets = [set(base)]
+    for i in range(303):
+        gone = r.sample(range(0 if i < 300 else 60, 90 if i < 300 else 150), 4 if i < 300 else 12)
+        sets.append({x for k, x in enumerate(base) if k not in gone} | set(r.sample(pool, len(gone))))
+    full, kept = packed_sets(spark, sets), {}
+    monkeypatch.setattr(V, "stored", lambda df, label, stored=V.stored: kept.setdefault(label, stored(df, label)))
+    groups = full.where("node <> X'0000'").select("node", F.unhex(F.lit("0000")).alias("pivot"), F.lit(0).cast("long").alias("parent"))
+    labels = spark.createDataFrame([(bytes([i % 256, i // 256]), b"\0\0") for i in range(301)], "node binary, label binary")
+    _, pairs, members = V.meetings(groups, labels, full, 90)
+    rows = kept["indexed"].select("h", (F.col("label") == F.unhex(F.lit("0000"))).alias("of_pivot"))
+    assert rows.where("of_pivot").count() > 0
+    assert rows.where("of_pivot").join(rows.where("not of_pivot"), "h", "left_anti").count() == 0
+    assert members.count() == 0 and pairs.count() <= 3 * 304
+
+
+@pytest.mark.parametrize("small", [0, 3])
+def test_levels_find_what_pairs_do(spark, monkeypatch, small):
+    monkeypatch.setattr(V, "SMALL", small)
+    test_components_of_one_bucket(spark)
+
+
 def test_long_words_that_a_polynomial_cannot_tell_apart():
     word = b"a"
     for _ in range(11):
