@@ -10,7 +10,8 @@ has more or less than the pivot. For sets A and B with pivot P and differences a
 Two members that are both linked with the pivot are in one component. If one of them is not, they can be linked only if their differences have
 something in common: |a| (100 + t) > (100 - t) (|A| + |P|) and |b| >= ||B| - |P|| leave no room otherwise. How much they must have in common at
 least gives each member the length of a prefix of its difference, rarest first, in which it must meet every partner. Those
-meetings are the buckets of the next level, with pivots of their own, or pairs where a bucket is small. A group never holds the pivot of
+meetings are the buckets of the next level, with pivots of their own, or pairs where few members outside the pivot's component
+meet; members of that component, among whom no link is missing, are entered only where one of those is. A group never holds the pivot of
 the group it comes from, so the levels end.
 
 The rows of all levels grow with the members and the lengths of their differences, not with the square of a bucket.
@@ -130,10 +131,11 @@ def meetings(groups: DataFrame, labels: DataFrame, full: DataFrame, percent: int
     facts = sized.select(*PAIR_KEYS, "node", "label", "own", "n", "d", "linked")
     # A prefix ends with its element number size - need + 1.
     shared = stored(shared.where("size(x) >= need").withColumn("s", F.size("x").cast("long")).withColumn("end", F.expr("x[cast(size(x) - need as int)]")), "shared")
-    prefix = F.explode(F.expr("slice(x, 1, cast(size(x) - need + 1 as int))")).alias("x")
+    prefix = F.posexplode(F.expr("slice(x, 1, cast(size(x) - need + 1 as int))")).alias("at", "x")
     key = [*PAIR_KEYS, "h"]
-    others = shared.where("not own").select(*PAIR_KEYS, "node", "s", prefix).select(*PAIR_KEYS, "node", "s", "x.h", "x.held")
+    others = shared.where("not own").select(*PAIR_KEYS, "node", "s", prefix).select(*PAIR_KEYS, "node", (F.col("s") - F.col("at")).alias("s"), "x.h", "x.held")
     others = stored(others.join(facts, [*PAIR_KEYS, "node"]), "others")
+    # At the first hash that two members meet on, what is left of either (`s`) bounds what they have in common.
     # Own members are entered only where one of the others is.
     wanted = others.groupBy(*key).agg(F.first("held").alias("held"))
     owned = each.where("own").select(*key, "node").join(wanted, key).join(shared.where("own").select(*PAIR_KEYS, "node", "s", "end"), [*PAIR_KEYS, "node"])
