@@ -26,3 +26,4 @@ def components(links: DataFrame) -> DataFrame:
         if new.where("label <> old").isEmpty():
             return labels
         labels = new.select("node", "label")
+        labels._folder = new._folder  # for `scratch`

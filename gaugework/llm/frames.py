@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import threading
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Shuffle files of a written result go with its job; otherwise they stay until the driver happens to collect its garbage.
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a result once into the shared folder and read it back.
 
@@ -27,8 +33,69 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     folder = new_folder(spark, label)
-    df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        df.write.parquet(folder)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLES_GO)
+        else:
+            spark.conf.set(SHUFFLES_GO, before)
+    if (held := getattr(_blocks, "held", None)) is not None:
+        held.append(folder)
+    out = spark.read.schema(df.schema).parquet(folder)
+    out._folder = folder
+    return out
+
+
+_blocks = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """A block at whose end the files of what was `stored` in it are deleted.
+
+    Results that are read later go through the function it gives, as `stored` returned them; they fall to the block around it, if any.
+    """
+    around, held = getattr(_blocks, "held", None), []
+    _blocks.held = held
+
+    def keep(df: DataFrame) -> DataFrame:
+        if df._folder in held:
+            held.remove(df._folder)
+            if around is not None:
+                around.append(df._folder)
+        return df
+
+    try:
+        yield keep
+    finally:
+        _blocks.held = around
+    for folder in held:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+KEY_WORDS = 1 << 20  # words of 64 bits that are broadcast at most to tell keys apart
+
+
+def possible_keys(rows: DataFrame, keys: DataFrame, on: Sequence[str], most: int = KEY_WORDS) -> tuple[DataFrame, DataFrame]:
+    """`rows` in two parts: those whose values of `on` may be among `keys`, and those whose values surely are not.
+
+    A key sets three bits of one word, with eight bits or more for each key up to `most` words in all; with more keys than those hold, most rows land in
+    the first part. Null is a value like any other. So wide rows that match nothing need not be shuffled to find that out.
+    """
+    words = 1 << min(most - 1, max(1, keys.count() // 8)).bit_length()
+    h, free = F.xxhash64(*on), free_name(rows, "_word")
+    word = lambda: F.pmod(F.shiftrightunsigned(h, 20), F.lit(words)).cast("long")
+    bits = F.lit(0).cast("long")
+    for at in (0, 6, 12):
+        bits = bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(h, at).bitwiseAND(F.lit(63)).cast("int")))
+    table = keys.select(word().alias(free), bits.alias("bits")).groupBy(free).agg(F.bit_or("bits").alias(f"{free}s"))
+    marked = rows.withColumn(free, word()).join(F.broadcast(table), free, "left")
+    held = F.coalesce(F.col(f"{free}s").bitwiseAND(bits) == bits, F.lit(False))
+    return tuple(marked.where(x).select(*rows.columns) for x in (held, ~held))
 
 
 def free_name(df: DataFrame, name: str) -> str:

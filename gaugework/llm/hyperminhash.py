@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugework.llm.frames import stored, text_runs
+from gaugework.llm.frames import possible_keys, scratch, stored, text_runs
 from gaugework.llm.pivots import full_sets, resolve
 from gaugework.llm.words import distinct_by_doc, mix, shingle_hashes, word_hashes
 
@@ -137,20 +137,27 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     `size` words make a shingle; documents with 100 * intersection >= percent * union of their sets are linked, for
     percent >= 75. component_id is the least doc_id that links reach; kept marks that document.
     """
-    every = stored(sketch(docs, size), "sketches")
+    spark = docs.sparkSession
     least = F.min_by(F.struct("doc_id", "text_key"), F.struct(F.col("doc_id").isNull(), "doc_id", "text_key"))
-    classes = stored(
-        every.where("n_shingles > 0").groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs"), least.alias("source")), "classes",
-    )
-    # Bands: 16 hexadecimal digits of the registers are one key.
-    bands = classes.select("node", "n_shingles", F.posexplode(F.expr(
-        f"transform(sequence(0, {BANDS - 1}), i -> substring(regs, 1 + {2 * PER_BAND} * i, {2 * PER_BAND}))",
-    )).alias("band", "key"))
-    shared = bands.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
-    members = stored(bands.join(shared, ["band", "key"]), "members")
-    near = stored(classes.join(members.select("node").distinct(), "node", "left_semi"), "near")
-    full = full_sets(near.select("node"), docs, near, size)
-    labels = resolve(members.select(F.xxhash64("band", "key").alias("bucket"), "node"), full, percent, lambda pairs: estimated(pairs, near, ESTIMATE_FROM))
+    with scratch(spark) as keep:
+        with scratch(spark) as keep_on:  # registers are most of what is stored, and only members of shared bands need theirs any longer
+            sketches = stored(sketch(docs, size), "sketches")
+            every = keep_on(stored(sketches.drop("regs"), "rows"))
+            registered = stored(
+                sketches.where("n_shingles > 0").groupBy("node").agg(F.first("n_shingles").alias("n_shingles"), F.first("regs").alias("regs"), least.alias("source")), "registered",
+            )
+            classes = keep_on(stored(registered.select("node", "source"), "classes"))
+            # Bands: 16 hexadecimal digits of the registers are one key.
+            bands = registered.select("node", "n_shingles", F.posexplode(F.expr(
+                f"transform(sequence(0, {BANDS - 1}), i -> substring(regs, 1 + {2 * PER_BAND} * i, {2 * PER_BAND}))",
+            )).alias("band", "key"))
+            shared = bands.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+            members = keep_on(stored(bands.join(shared, ["band", "key"]), "members"))
+            near = keep_on(stored(registered.join(members.select("node").distinct(), "node", "left_semi"), "near"))
+        full = full_sets(near.select("node"), docs, near, size)
+        labels = resolve(members.select(F.xxhash64("band", "key").alias("bucket"), "node"), full, percent, lambda pairs: estimated(pairs, near, ESTIMATE_FROM))
+        for df in (every, classes, labels):
+            keep(df)
 
     first = classes.select("node", F.col("source.doc_id").alias("id"))
     named = first.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -165,6 +172,12 @@ def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -
     """The rows of `docs` with one document of each component, the one with the least doc_id; repeated rows are one document."""
     text_key, no_id, id_ = F.xxhash64("text").alias("text_key"), F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id")
     keys = ["text_key", "no_id", "id"]
-    kept = near_duplicates(docs, size, percent).where("kept").select("text_key", no_id, id_).distinct()
+    with scratch(docs.sparkSession) as keep:
+        found = near_duplicates(docs, size, percent).select("text_key", no_id, id_, "kept")
+        counted = found.groupBy(*keys).agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+        touched = keep(stored(counted.where("not kept or n > 1").select(*keys, "kept"), "touched"))
+    # A row whose key is kept and comes once stays as it is, so only the others are shuffled.
     keyed = docs.select(F.struct("*").alias("row"), text_key, no_id, id_)  # the caller's columns apart, whatever their names
-    return keyed.join(kept, keys, "left_semi").dropDuplicates(keys).select("row.*")
+    some, others = possible_keys(keyed, touched, keys)
+    kept = some.join(touched, keys, "left").where("coalesce(kept, true)").dropDuplicates(keys)
+    return kept.select("row").union(others.select("row")).select("row.*")

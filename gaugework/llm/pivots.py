@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gaugework.llm.components import components
-from gaugework.llm.frames import stored, text_runs
+from gaugework.llm.frames import possible_keys, scratch, stored, text_runs
 from gaugework.llm.words import distinct_by_doc, shingle_hashes, word_hashes
 
 SET_BYTES = 1 << 18  # text worked on at once
@@ -45,10 +45,14 @@ def full_sets(nodes: DataFrame, docs: DataFrame, classes: DataFrame, size: int)
                     [b.column(0).slice(x, y - x), pa.array([shingles[p:q].tobytes() for p, q in zip(by_doc[:-1], by_doc[1:])], pa.binary())], names=["node", "members"],
                 )
 
-    source = nodes.join(classes, "node").select("node", "source.*")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    found = texts.join(source, (texts["text_key"] == source["text_key"]) & texts["doc_id"].eqNullSafe(source["doc_id"])).select("node", "text")
-    return stored(found.mapInArrow(sets, "node binary, members binary").dropDuplicates(["node"]), "sets")
+    keys = ["text_key", "no_id", "id"]
+    chosen = nodes.join(classes, "node").select("node", "source.text_key", F.col("source.doc_id").isNull().alias("no_id"), F.coalesce("source.doc_id", F.lit(0).cast("long")).alias("id"))
+    texts = docs.select(F.xxhash64("text").alias("text_key"), F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("id"), "text")
+    with scratch(docs.sparkSession) as keep:
+        source = stored(chosen, "sources")
+        likely, _ = possible_keys(texts, source, keys)
+        found = likely.join(source, keys).dropDuplicates(keys).select("node", "text")  # dealt by the same keys, so texts move once
+        return keep(stored(found.mapInArrow(sets, "node binary, members binary"), "sets"))
 
 
 def _sets(column: pa.Array) -> Iterator[np.ndarray]:
@@ -171,22 +175,34 @@ def resolve(members: DataFrame, full: DataFrame, percent: int, likely: Callable[
     `full` holds the sets of all members. `likely` may narrow pairs (a, b) before their sets are compared; it must keep all links.
     """
     likely = likely or (lambda pairs: pairs)
-    level, labels = stored(members.select(F.lit(0).cast("long").alias("parent"), "bucket", "node").distinct(), "level"), None
-    while True:
-        weight = level.groupBy("node").agg(F.count("*").alias("weight"))
-        pivots = level.join(weight, "node").groupBy("parent", "bucket").agg(F.max_by("node", F.struct("weight", "node")).alias("pivot"))
-        groups = stored(level.join(pivots, ["parent", "bucket"]).where("node <> pivot").select(*PAIR_KEYS, "node").distinct(), "groups")
-        links = stored(verified(likely(groups.select(*ordered("node", "pivot")).distinct()), full, percent), "links")
-        labels = components(links) if labels is None else relabelled(labels, links)
-        rest = meetings(groups, labels, full, percent)
-        if rest is None:
-            return labels
-        with_pivot, pairs, following = rest
-        labels = relabelled(labels, stored(with_pivot.union(verified(likely(pairs), full, percent)).distinct(), "links"))
-        # Buckets that lie in one component by now need no level of their own.
-        rows = with_labels(following.select("parent", "bucket", "node").distinct(), labels)
-        several = rows.groupBy("parent", "bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("parent", "bucket")
-        level = stored(rows.drop("label").join(several, ["parent", "bucket"], "left_semi"), "level")
-        if level.isEmpty():
-            return labels
-        full = stored(full.join(level.select("node").distinct(), "node", "left_semi"), "sets")
+    with scratch(members.sparkSession) as keep:
+        level, labels = stored(members.select(F.lit(0).cast("long").alias("parent"), "bucket", "node").distinct(), "level"), None
+        while level is not None:
+            with scratch(members.sparkSession) as keep_on:
+                level, labels, full = one_level(level, labels, full, percent, likely)
+                for df in (labels, *([level, full] if level is not None else [])):
+                    keep_on(df)
+        return keep(labels)
+
+
+def one_level(
+    level: DataFrame, labels: DataFrame | None, full: DataFrame, percent: int, likely: Callable[[DataFrame], DataFrame],
+) -> tuple[DataFrame | None, DataFrame, DataFrame]:
+    """The next level, if there is one, the components after this one, and the sets that the next one needs."""
+    weight = level.groupBy("node").agg(F.count("*").alias("weight"))
+    pivots = level.join(weight, "node").groupBy("parent", "bucket").agg(F.max_by("node", F.struct("weight", "node")).alias("pivot"))
+    groups = stored(level.join(pivots, ["parent", "bucket"]).where("node <> pivot").select(*PAIR_KEYS, "node").distinct(), "groups")
+    links = stored(verified(likely(groups.select(*ordered("node", "pivot")).distinct()), full, percent), "links")
+    labels = components(links) if labels is None else relabelled(labels, links)
+    rest = meetings(groups, labels, full, percent)
+    if rest is None:
+        return None, labels, full
+    with_pivot, pairs, following = rest
+    labels = relabelled(labels, stored(with_pivot.union(verified(likely(pairs), full, percent)).distinct(), "links"))
+    # Buckets that lie in one component by now need no level of their own.
+    rows = with_labels(following.select("parent", "bucket", "node").distinct(), labels)
+    several = rows.groupBy("parent", "bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("parent", "bucket")
+    level = stored(rows.drop("label").join(several, ["parent", "bucket"], "left_semi"), "level")
+    if level.isEmpty():
+        return None, labels, full
+    return level, labels, stored(full.join(level.select("node").distinct(), "node", "left_semi"), "sets")
