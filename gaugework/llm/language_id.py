@@ -4,7 +4,7 @@ Features are hashed n-grams of one to three characters of the whole lower-cased
 rows. The classifier is fitted by FTRL-proximal with an elastic net (`L1`, `L2`), so most weights are exactly zero, on a sample
 of each language: the `PER_LANGUAGE` different texts of least hash, or all if there are fewer, a repeated text as often as its share of
 the language's rows asks for, so at most twice `PER_LANGUAGE` rows. A fifth of the sample's texts is kept back to fit the temperature that
-makes the scores probabilities. The fit runs in one task on that bounded sample; its weights, buckets x languages, are all that
+makes the scores probabilities; where that is fewer than `LEAST_HELD` texts a language, all of the sample serves. The fit runs in one task on that bounded sample; its weights, buckets x languages, are all that
 reaches the driver.
 
 Defined results: a null text, or one without a letter, is `und` with score 0, and so is every text if no row has a language.
@@ -26,6 +26,7 @@ from gaugework.llm.frames import free_name, id_crc, numbered_columns, stored
 BITS = 15
 BUCKETS = 1 << BITS
 PER_LANGUAGE = 2048
+LEAST_HELD = 5  # texts for each language, on average, from which the temperature can be told
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.5, 1.0, 0.02, 0.001
 RUN_CHARS = 1 << 20
 UNKNOWN = "und"
@@ -170,6 +171,8 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
         part = [r[1:] for r in all_rows if r[0] % 5]
         held = [r[1:] for r in all_rows if r[0] % 5 == 0]
         w = fit(part or held, len(labels))
+        if len({draw for draw, *_ in all_rows if draw % 5 == 0}) < LEAST_HELD * len(labels):
+            held = part + held
         logits = np.array([x @ w[at] + w[BUCKETS] for at, x, _ in held]).reshape(-1, len(labels))
         scale = temperature(logits, np.array([y for *_, y in held], int))
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()), pa.array([scale])], names=["weights", "scale"])
